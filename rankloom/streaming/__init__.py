@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The engine's scope is batch retrieval and evaluation: nothing in it has event time, watermarks or
+state, so this package is empty on purpose.
+"""
