@@ -1,7 +1,9 @@
 """Imports every module of registered queries."""
 
 from rankloom.catalog import (  # noqa: F401
+    report_queries,
     search_queries,
+    text_queries,
 )
 from rankloom.catalog.registry import REGISTRY
 

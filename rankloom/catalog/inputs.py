@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +16,24 @@ from rankloom.sources.topics import topic_queries
 DIMS = 64
 
 
+# The given tables' schemas: no footer has to be read to plan a query.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
 
@@ -26,6 +42,7 @@ def _count(df: DataFrame):
     return df.agg(F.count("*")).scalar()
 
 
+@lru_cache
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with an annotation: empty if unlabelled, malformed for some, else topic and grade."""
     labels = table(spark, sf_dir, "labels").withColumn("labelled", F.lit(True))
@@ -49,6 +66,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A topic per passage: its first sentence, its first line, and the whole passage."""
     text, line = F.col("text"), F.lit("\n")
@@ -60,10 +78,12 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache
 def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topic_queries(topics(spark, sf_dir))
 
 
+@lru_cache
 def bench_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = F.explode(F.array_distinct(standard_terms(F.col("text"))))
     return (
@@ -74,12 +94,14 @@ def bench_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache
 def stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of at least a quarter of the passages."""
     n_items = _count(table(spark, sf_dir, "benchmark"))
     return bench_terms(spark, sf_dir).where(F.col("n_items") * 4 >= n_items).select("term")
 
 
+@lru_cache
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("vec")
@@ -90,6 +112,7 @@ def _n_vectors(spark: SparkSession, sf_dir: str):
     return _count(table(spark, sf_dir, "embeddings"))
 
 
+@lru_cache
 def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The passages' words, each with one of the embeddings; other words are unknown."""
     digest = F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 8), 16, 10).cast("long")
@@ -101,6 +124,7 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache
 def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec_id = F.col("topic_id").cast("long") % _n_vectors(spark, sf_dir)
     return (
@@ -111,6 +135,7 @@ def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_chunks(corpus(spark, sf_dir))
 
@@ -119,6 +144,7 @@ def _chunk_vector(chunk_no, spark: SparkSession, sf_dir: str):
     return ((F.col("doc_id") * 31 + chunk_no) % _n_vectors(spark, sf_dir)).alias("vec_id")
 
 
+@lru_cache
 def chunk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = F.explode(F.sequence(F.lit(0), F.floor(F.length("text") / 1024).cast("int")))
     numbered = documents(spark, sf_dir).select("doc_id", numbers.alias("chunk_no"))
@@ -129,6 +155,7 @@ def chunk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache
 def doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One vector per document, that of its first chunk."""
     return (
@@ -139,6 +166,7 @@ def doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache
 def senses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two senses per known word."""
     both = F.array(
@@ -151,6 +179,7 @@ def senses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_vectors(spark, sf_dir).select("term", F.inline(both))
 
 
+@lru_cache
 def lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of one embedding are a sense's lemmas, some of two words."""
     grouped = word_vectors(spark, sf_dir).groupBy(F.col("vec_id").alias("sense_id")).agg(
@@ -165,6 +194,7 @@ def lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache
 def definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = _n_vectors(spark, sf_dir)
     return word_vectors(spark, sf_dir).groupBy(((F.col("vec_id") + n - 1) % n).alias("sense_id")).agg(
@@ -172,12 +202,14 @@ def definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = F.length("term") % 3
     tag = F.when(rest == 0, "NOUN").when(rest == 1, "ADJ").otherwise("OTHER")
     return bench_terms(spark, sf_dir).select("term", tag.alias("tag"))
 
 
+@lru_cache
 def instance_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and suppliers are instances of their nation."""
 
@@ -190,6 +222,7 @@ def instance_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members("customer", "Q1", "c_cust").unionByName(members("supplier", "Q2", "s_supp"))
 
 
+@lru_cache
 def subclass_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations are subclasses of their region."""
     return table(spark, sf_dir, "nation").select(
@@ -198,6 +231,7 @@ def subclass_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache
 def kg_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     def classes(name: str, mark: str) -> DataFrame:
         initial = name[0]
@@ -210,6 +244,7 @@ def kg_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes("nation", "Q3").unionByName(classes("region", "Q4"))
 
 
+@lru_cache
 def graph_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels and descriptions; some customers have no label."""
     nothing = F.lit(None).cast("string").alias("description")
@@ -227,6 +262,7 @@ def graph_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.unionByName(suppliers).unionByName(classes)
 
 
+@lru_cache
 def graph_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kg_classes(spark, sf_dir).select(
         F.col("entity").alias("query_id"),
@@ -234,6 +270,7 @@ def graph_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache
 def graph_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.array(
         F.struct(F.col("name").alias("term"), F.lit("NOUN").alias("tag")),
@@ -244,6 +281,7 @@ def graph_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kg_classes(spark, sf_dir).select(F.inline(words)).distinct()
 
 
+@lru_cache
 def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judgments that follow the text: 2 if a document holds the passage, 1 if its longest word.
 
@@ -267,8 +305,18 @@ def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.join(docs, "doc_id").select("topic_id", "doc_id", grade.alias("grade"))
 
 
+@lru_cache
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text fields alone, without the annotations."""
+    content = F.col("text")
+    return documents(spark, sf_dir).select(
+        "doc_id",
+        F.split_part(content, F.lit("\n"), F.lit(1)).alias("title"),
+        content.alias("content"),
+        *[content.alias(f) for f in ("custom_content", "classic_content", "whitespace_content")],
+    )
+
+
+@lru_cache
 def content_index(spark: SparkSession, sf_dir: str, *fields: str) -> Index:
-    docs = corpus(spark, sf_dir)
-    for name in {"custom_content", "classic_content", "whitespace_content"} & set(fields):
-        docs = docs.withColumn(name, F.col("content"))
-    return build_index(docs, list(fields) or ["content"])
+    return build_index(texts(spark, sf_dir), list(fields) or ["content"])

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from rankloom.catalog import inputs as I
 from rankloom.catalog.registry import query
-from rankloom.catalog.views import search_views, tok, with_views
+from rankloom.catalog.views import with_views
 from rankloom.functions import metrics
 from rankloom.operators import evaluate, index, report, search
+from rankloom.plans.joins import lookup_join
+from rankloom.plans.scratch import fresh_path, materialise
 
 METRICS_SQL = """
     SELECT query_id, count(*) AS n_hits,
@@ -67,3 +69,214 @@ def bm25_evaluation(spark, d):
     return all_metrics(spark, d).select(
         "query_id", "n_hits", "n_grade_1", "n_grade_2", *[r6(n) for n in names]
     )
+
+
+@query("A2", metric_sql("query_id, prec"))
+def precision_at_k(spark, d):
+    return all_metrics(spark, d).select("query_id", r6("prec"))
+
+
+@query("A3", metric_sql("query_id, ap"))
+def average_precision(spark, d):
+    return all_metrics(spark, d).select("query_id", r6("ap"))
+
+
+@query("A4 F16", metric_sql("query_id, dcg"))
+def discounted_gain(spark, d):
+    return all_metrics(spark, d).select("query_id", r6("dcg"))
+
+
+@query("A5", metric_sql("query_id, ndcg"))
+def normalised_gain(spark, d):
+    return all_metrics(spark, d).select("query_id", r6("ndcg"))
+
+
+@query("A6", metric_sql("query_id, first_page_ratio"))
+def first_page_ratio(spark, d):
+    return all_metrics(spark, d).select("query_id", r6("first_page_ratio"))
+
+
+@query("A16", metric_sql("query_id, n_grade_1, n_grade_2"))
+def graded_hit_counts(spark, d):
+    return all_metrics(spark, d).select("query_id", "n_grade_1", "n_grade_2")
+
+
+@query("A7", with_views(
+    "SELECT query_id, ap, prec, ndcg FROM metrics_all WHERE n_hits > 0", METRIC_VIEWS))
+def score_bundles(spark, d):
+    """The metrics on relevance vectors."""
+    bundle = metrics.score_bundle(F.col("relevance"), 20)
+    scored = evaluate.relevance_vectors(judged_hits(spark, d), 20).select(
+        "query_id", bundle.alias("s")
+    )
+    return scored.select("query_id", r6("s.ap", "ap"), r6("s.prec", "prec"), r6("s.ndcg", "ndcg"))
+
+
+@query("A8", with_views("""
+    SELECT 'bm_25' AS approach, query_type, round(sum(ndcg_raw) / (SELECT count(*) FROM topics), 6) AS mean_ndcg
+    FROM (SELECT q.query_type, CASE WHEN coalesce(m.best, 0) = 0 THEN 0.0 ELSE m.dcg / m.best END AS ndcg_raw
+          FROM queries q LEFT JOIN metric_rows m ON m.query_id = q.query_id) GROUP BY query_type""", METRIC_VIEWS))
+def mean_gain_by_approach(spark, d):
+    grid = all_metrics(spark, d).join(I.queries(spark, d), "query_id").select(
+        "topic_id", "query_type", F.lit("bm_25").alias("approach"), "ndcg"
+    )
+    return evaluate.grid_report(grid).select("approach", "query_type", r6("mean_ndcg"))
+
+
+@query("J1", with_views("""
+    SELECT q.query_id, p.doc_id, count(*) AS n_terms, CAST(sum(q.qtf) AS BIGINT) AS n_query_words,
+           CAST(sum(p.tf) AS BIGINT) AS n_doc_words
+    FROM content_qt q JOIN content_post p ON p.term = q.term GROUP BY q.query_id, p.doc_id"""))
+def term_matches(spark, d):
+    """Matched terms per query and document."""
+    terms = search.query_terms(I.queries(spark, d), ["content"])
+    postings = I.content_index(spark, d).postings
+    matched = lookup_join(postings, terms, ["field", "term"])
+    return matched.groupBy("query_id", "doc_id").agg(
+        F.count("*").alias("n_terms"),
+        F.sum("qtf").alias("n_query_words"),
+        F.sum("tf").alias("n_doc_words"),
+    )
+
+
+@query("A1", with_views("SELECT query_id, doc_id, score FROM content_scores"))
+def bm25_all_scores(spark, d):
+    return search.bm25_scores(I.content_index(spark, d), I.queries(spark, d), ["content"])
+
+
+@query("T1 W1", with_views("SELECT query_id, doc_id, score, rank FROM top20"))
+def top_hits(spark, d):
+    return content_hits(spark, d)
+
+
+@query("J2 P2 F17", with_views("SELECT query_id, doc_id, score, rank, grade FROM judged"))
+def graded_hits(spark, d):
+    return judged_hits(spark, d)
+
+
+@query("J2", with_views("""
+    SELECT h.query_id, h.doc_id, h.score, h.rank, coalesce(a.grade, 0) AS grade
+    FROM top20 h JOIN queries q ON q.query_id = h.query_id
+    LEFT JOIN qrels a ON a.doc_id = h.doc_id AND a.topic_id = q.topic_id"""))
+def hits_graded_by_table(spark, d):
+    judged = materialise(I.qrels(spark, d), "qrels")
+    return evaluate.judge_by_table(content_hits(spark, d), I.queries(spark, d), judged)
+
+
+@query("W8", with_views("""
+    SELECT query_id, rank, CAST(sum(CASE WHEN grade > 0 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY query_id ORDER BY rank) AS BIGINT) AS found FROM judged"""))
+def running_relevant_count(spark, d):
+    found = F.sum(F.when(F.col("grade") > 0, 1).otherwise(0)).over(
+        Window.partitionBy("query_id").orderBy("rank")
+    )
+    return judged_hits(spark, d).select("query_id", "rank", found.alias("found"))
+
+
+@query("W9", with_views("""
+    SELECT query_id, rank, grade, CAST(row_number() OVER (PARTITION BY query_id ORDER BY grade DESC, rank) AS INTEGER) AS ideal
+    FROM judged"""))
+def ideal_rank(spark, d):
+    order = Window.partitionBy("query_id").orderBy(F.col("grade").desc(), "rank")
+    return judged_hits(spark, d).select(
+        "query_id", "rank", "grade", F.row_number().over(order).alias("ideal")
+    )
+
+
+@query("A20 S4", with_views("""
+    SELECT 'content' AS field, n_docs, round(avg_len, 6) AS avg_len FROM content_stat
+    UNION ALL SELECT 'title', n_docs, round(avg_len, 6) FROM title_stat
+    UNION ALL SELECT 'classic_content', n_docs, round(avg_len, 6) FROM classic_stat
+    UNION ALL SELECT 'custom_content', n_docs, round(avg_len, 6) FROM custom_stat"""))
+def field_statistics(spark, d):
+    fields = ("content", "title", "classic_content", "custom_content")
+    return I.content_index(spark, d, *fields).field_stats.select("field", "n_docs", r6("avg_len"))
+
+
+@query("A20", with_views("""
+    SELECT 'content' AS field, term, df FROM content_df UNION ALL SELECT 'title', term, df FROM title_df"""))
+def term_statistics(spark, d):
+    return index.term_statistics(I.content_index(spark, d, "content", "title").postings)
+
+
+@query("S4 A20 C1", with_views("SELECT query_id, doc_id, score, rank FROM top20"))
+def stored_index_search(spark, d):
+    """Write the bucketed index, read it back and search it."""
+    path = fresh_path(spark, "index")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    index.write_index(I.content_index(spark, d), name, path, buckets=8)
+    return search.bm25_search(index.read_index(spark, name), I.queries(spark, d), "content")
+
+
+@query("P10 F3", with_views("SELECT query_id, doc_id, score, rank FROM classic_hits WHERE rank <= 20"))
+def classic_field_search(spark, d):
+    field = report.tokenizer_field("classic")
+    return search.bm25_search(I.content_index(spark, d, field), I.queries(spark, d), field)
+
+
+@query("P10 F2", with_views("SELECT query_id, doc_id, score, rank FROM custom_hits WHERE rank <= 20"))
+def whitespace_field_search(spark, d):
+    field = report.tokenizer_field("whitespace")
+    return search.bm25_search(I.content_index(spark, d, field), I.queries(spark, d), field)
+
+
+@query("P9", with_views("""
+    SELECT query_id, doc_id, score, rank FROM content_hits WHERE rank <= 20 AND NOT starts_with(query_id, '7-')
+    UNION ALL SELECT query_id, doc_id, score, rank FROM title_hits WHERE rank <= 20 AND starts_with(query_id, '7-')"""))
+def search_field_by_topic(spark, d):
+    """One topic searches another field than the others."""
+    fields = report.search_fields(I.queries(spark, d), ["7"]).withColumn(
+        "field", F.replace("field", F.lit("summary"), F.lit("title"))
+    )
+    both = ["content", "title"]
+    return search.bm25_search(I.content_index(spark, d, *both), fields, both)
+
+
+UNION_VIEWS = {
+    "both_searches": """
+        SELECT query_id, doc_id, score, 1 AS s FROM top20
+        UNION ALL SELECT query_id, doc_id, score, 2 FROM title_hits WHERE rank <= 20""",
+    "united": "SELECT query_id, doc_id, arg_max(score, s) AS score FROM both_searches GROUP BY query_id, doc_id",
+}
+
+
+def united_hits(spark: SparkSession, d: str) -> DataFrame:
+    queries = I.queries(spark, d)
+    return search.union_hits(
+        content_hits(spark, d),
+        search.bm25_search(I.content_index(spark, d, "title"), queries, "title"),
+    )
+
+
+@query("U1", with_views("SELECT query_id, doc_id, score FROM united", UNION_VIEWS))
+def union_of_hits(spark, d):
+    return united_hits(spark, d)
+
+
+PAGE_VIEWS = {
+    "page_hits": """
+        SELECT h.query_id, h.doc_id, h.score, h.rank, c.title, substring(c.content, 1, 150) AS snippet,
+               coalesce(a.grade, 0) AS grade
+        FROM content_hits h JOIN queries q ON q.query_id = h.query_id JOIN corpus c ON c.doc_id = h.doc_id
+        LEFT JOIN annotated a ON a.doc_id = h.doc_id AND a.topic_id = q.topic_id WHERE h.rank <= 16""",
+}
+
+
+@query("J10 P7", with_views(
+    "SELECT query_id, doc_id, score, rank, title, snippet, grade FROM page_hits", PAGE_VIEWS))
+def hits_with_title_and_snippet(spark, d):
+    return report.enriched_hits(
+        content_hits(spark, d, 16), I.queries(spark, d), I.corpus(spark, d), 16
+    )
+
+
+@query("W3", with_views("SELECT query_id, doc_id, rank FROM content_hits WHERE rank BETWEEN 9 AND 16"))
+def second_page(spark, d):
+    return report.page(content_hits(spark, d, 16), 1).select("query_id", "doc_id", "rank")
+
+
+@query("A19 W3", with_views("""
+    SELECT query_id, count(*) AS n_hits, CAST(count(*) // 8 AS BIGINT) AS max_pages FROM content_hits GROUP BY query_id"""))
+def result_counts(spark, d):
+    """All matches of each query, and the pages they fill."""
+    return report.result_counts(content_hits(spark, d, None))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import analyze, count_terms
@@ -29,6 +29,19 @@ def query_terms(queries: DataFrame, fields: list[str]) -> DataFrame:
     )
 
 
+def _statistic(index: Index, fields: list[str], name: str) -> Column:
+    """A statistic of the row's field, one scalar subquery per field."""
+    return F.coalesce(
+        *[
+            F.when(
+                F.col("field") == f,
+                index.field_stats.where(F.col("field") == f).select(name).scalar(),
+            )
+            for f in fields
+        ]
+    )
+
+
 def bm25_scores(
     index: Index, queries: DataFrame, fields: list[str], k1: float = 1.2, b: float = 0.75
 ) -> DataFrame:
@@ -46,22 +59,16 @@ def bm25_scores(
     else:
         narrowed = salted_join(index.postings, wanted, ["field", "term"], "left_semi")
     frequencies = narrowed.groupBy("field", "term").agg(F.count("*").alias("df"))
-    # One row per field: always small enough to copy.
-    stats = F.broadcast(index.field_stats)
-    df, n_docs = F.col("df"), F.col("n_docs")
-    weights = (
-        terms.join(broadcast_if(frequencies, small), ["field", "term"])
-        .join(stats, "field")
-        .select(
-            "query_id",
-            "field",
-            "term",
-            (F.col("qtf") * F.log(1 + (n_docs - df + 0.5) / (df + 0.5))).alias("weight"),
-        )
+    df, n_docs = F.col("df"), _statistic(index, fields, "n_docs")
+    weights = terms.join(broadcast_if(frequencies, small), ["field", "term"]).select(
+        "query_id",
+        "field",
+        "term",
+        (F.col("qtf") * F.log(1 + (n_docs - df + 0.5) / (df + 0.5))).alias("weight"),
     )
     tf = F.col("tf")
-    length = k1 * (1 - b + b * F.col("doc_len") / F.col("avg_len"))
-    saturated = index.postings.join(stats, "field").select(
+    length = k1 * (1 - b + b * F.col("doc_len") / _statistic(index, fields, "avg_len"))
+    saturated = index.postings.select(
         "field", "doc_id", "term", (tf * (k1 + 1) / (tf + length)).alias("saturation")
     )
     if small:
