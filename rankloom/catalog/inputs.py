@@ -238,7 +238,7 @@ def kg_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
         return table(spark, sf_dir, name).select(
             F.concat(F.lit(mark), f"{initial}_{name}key").alias("entity"),
             F.lit(name).alias("kind"),
-            F.replace(F.lower(f"{initial}_name"), F.lit(" "), F.lit("")).alias("name"),
+            F.regexp_replace(F.lower(f"{initial}_name"), "[^a-z0-9]", "").alias("name"),
         )
 
     return classes("nation", "Q3").unionByName(classes("region", "Q4"))

@@ -48,7 +48,7 @@ def r6(name: str, alias: str | None = None):
     return F.round(F.col(name), 6).alias(alias or name)
 
 
-def content_hits(spark: SparkSession, d: str, k: int | None = 20) -> DataFrame:
+def content_hits(spark: SparkSession, d: str, k: int = 20) -> DataFrame:
     return search.bm25_search(I.content_index(spark, d), I.queries(spark, d), "content", k)
 
 
@@ -225,9 +225,7 @@ def whitespace_field_search(spark, d):
     UNION ALL SELECT query_id, doc_id, score, rank FROM title_hits WHERE rank <= 20 AND starts_with(query_id, '7-')"""))
 def search_field_by_topic(spark, d):
     """One topic searches another field than the others."""
-    fields = report.search_fields(I.queries(spark, d), ["7"]).withColumn(
-        "field", F.replace("field", F.lit("summary"), F.lit("title"))
-    )
+    fields = report.search_fields(I.queries(spark, d), ["7"], special="title")
     both = ["content", "title"]
     return search.bm25_search(I.content_index(spark, d, *both), fields, both)
 
@@ -279,4 +277,5 @@ def second_page(spark, d):
     SELECT query_id, count(*) AS n_hits, CAST(count(*) // 8 AS BIGINT) AS max_pages FROM content_hits GROUP BY query_id"""))
 def result_counts(spark, d):
     """All matches of each query, and the pages they fill."""
-    return report.result_counts(content_hits(spark, d, None))
+    matches = search.bm25_scores(I.content_index(spark, d), I.queries(spark, d), ["content"])
+    return report.result_counts(matches)

@@ -115,8 +115,8 @@ VIEWS: dict[str, str] = {
     "subclass_of": """
         SELECT concat('Q3', n_nationkey) AS class, concat('Q4', n_regionkey) AS parent FROM nation""",
     "kg_classes": """
-        SELECT concat('Q3', n_nationkey) AS entity, 'nation' AS kind, replace(lower(n_name), ' ', '') AS name FROM nation
-        UNION ALL SELECT concat('Q4', r_regionkey), 'region', replace(lower(r_name), ' ', '') FROM region""",
+        SELECT concat('Q3', n_nationkey) AS entity, 'nation' AS kind, regexp_replace(lower(n_name), '[^a-z0-9]', '', 'g') AS name FROM nation
+        UNION ALL SELECT concat('Q4', r_regionkey), 'region', regexp_replace(lower(r_name), '[^a-z0-9]', '', 'g') FROM region""",
     "graph_labels": """
         SELECT concat('Q1', c_custkey) AS entity,
                CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_name END AS label, c_mktsegment AS description

@@ -37,9 +37,11 @@ def document(docs: DataFrame, doc_id: int | str) -> DataFrame:
     return docs.where(F.col("doc_id") == doc_id)
 
 
-def search_fields(queries: DataFrame, summary_topics: list[str]) -> DataFrame:
-    """Add the ``field`` to search: the summary for the listed topics, the content for others."""
-    field = F.when(F.col("topic_id").isin(summary_topics), "summary").otherwise("content")
+def search_fields(
+    queries: DataFrame, topic_ids: list[str], special: str = "summary", usual: str = "content"
+) -> DataFrame:
+    """Add the ``field`` to search: ``special`` for the listed topics, ``usual`` for the others."""
+    field = F.when(F.col("topic_id").isin(topic_ids), special).otherwise(usual)
     return queries.withColumn("field", field)
 
 
@@ -80,7 +82,10 @@ def page(hits: DataFrame, number: int, size: int = 8) -> DataFrame:
 
 
 def result_counts(hits: DataFrame, size: int = 8) -> DataFrame:
-    """Number of hits and of the last page per query: ``(query_id, n_hits, max_pages)``."""
+    """Number of hits and of the last page per query: ``(query_id, n_hits, max_pages)``.
+
+    Takes ranked hits, or the unranked scores if all matches are to be counted.
+    """
     return hits.groupBy("query_id").agg(
         F.count("*").alias("n_hits"), F.floor(F.count("*") / size).alias("max_pages")
     )

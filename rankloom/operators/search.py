@@ -84,7 +84,7 @@ def bm25_search(
     index: Index,
     queries: DataFrame,
     fields: str | list[str] = "content",
-    k: int | None = 20,
+    k: int = 20,
     k1: float = 1.2,
     b: float = 0.75,
 ) -> DataFrame:
