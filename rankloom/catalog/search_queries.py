@@ -204,7 +204,7 @@ def stored_index_search(spark, d):
     """Write the bucketed index, read it back and search it."""
     path = fresh_path(spark, "index")
     name = path.rsplit("/", 1)[-1].replace("-", "_")
-    index.write_index(I.content_index(spark, d), name, path, buckets=8)
+    index.write_index(I.texts(spark, d), ["content"], name, path, buckets=8)
     return search.bm25_search(index.read_index(spark, name), I.queries(spark, d), "content")
 
 

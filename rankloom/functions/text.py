@@ -122,28 +122,25 @@ def count_terms(df: DataFrame, keep: list[str], tokens: str = "tokens", outer: b
     Counted inside the row (sort, then run lengths), so no shuffle is needed: a text's tokens never
     leave its task. ``outer`` keeps rows without tokens, with a NULL term.
     """
-    at = F.element_at
-    by_term = df.select(*keep, F.sort_array(F.filter(tokens, lambda t: t.isNotNull())).alias("_terms"))
-    runs = by_term.select(
+    held = df.select(*keep, F.sort_array(tokens).alias("_terms"))
+    terms, starts = F.col("_terms"), F.col("_starts")
+    first_of_run = F.filter(
+        F.sequence(F.lit(0), F.size(terms) - 1),
+        lambda i: ~F.get(terms, i).eqNullSafe(F.get(terms, i - 1)),
+    )
+    runs = held.select(
         *keep,
-        "_terms",
-        F.when(
-            F.size("_terms") > 0,
-            F.filter(
-                F.sequence(F.lit(1), F.size("_terms")),
-                lambda i: (i == 1)
-                | (at(F.col("_terms"), i) != at(F.col("_terms"), F.greatest(i - 1, F.lit(1)))),
-            ),
-        )
+        terms,
+        F.when(F.size(terms) > 0, first_of_run)
         .otherwise(F.array().cast("array<int>"))
         .alias("_starts"),
     )
     counted = F.transform(
-        "_starts",
+        starts,
         lambda start, i: F.struct(
-            at(F.col("_terms"), start).alias("term"),
-            (F.coalesce(F.get(F.col("_starts"), i + 1), F.size("_terms") + 1) - start).alias("tf"),
+            F.get(terms, start).alias("term"),
+            (F.coalesce(F.get(starts, i + 1), F.size(terms)) - start).alias("tf"),
         ),
     )
     unnest = F.inline_outer if outer else F.inline
-    return runs.select(*keep, F.size("_terms").alias("n_tokens"), unnest(counted))
+    return runs.select(*keep, F.size(terms).alias("n_tokens"), unnest(counted))

@@ -93,27 +93,34 @@ def with_ordinal(scan: DataFrame) -> DataFrame:
     )
 
 
-def write_index(index: Index, name: str, path: str, buckets: int) -> None:
-    """Create or replace the stored index ``name`` under ``path``.
-
-    Postings are bucketed by document and sorted by term: a search sums each document's scores
-    without a shuffle, and column statistics skip the row groups that hold none of its terms.
-    Choose ``buckets`` so that a bucket stays within a few hundred megabytes.
+def write_index(docs: DataFrame, fields: list[str], name: str, path: str, buckets: int) -> None:
+    """Create or replace the stored index ``name`` of ``docs`` under ``path``.
+
+    The documents are moved to their buckets before they are analysed, so the texts are shuffled
+    once and the far more numerous postings never. Postings are bucketed by document and sorted by
+    term: a search sums each document's scores without a shuffle, and column statistics skip the
+    row groups that hold none of its terms. Choose ``buckets`` so that a bucket stays within a few
+    hundred megabytes. Field statistics are counted on the stored postings.
     """
-    spark = index.postings.sparkSession
+    spark = docs.sparkSession
     for part in ("postings", "field_stats"):
         spark.sql(f"DROP TABLE IF EXISTS {name}_{part}")
+    placed = docs.select("doc_id", *fields).repartition(buckets, "doc_id")
     (
-        index.postings.repartition(buckets, "doc_id")
-        .write.mode("overwrite")
+        build_index(placed, fields)
+        .postings.write.mode("overwrite")
         .option("path", f"{path}/postings")
         .partitionBy("field")
         .bucketBy(buckets, "doc_id")
         .sortBy("term")
         .saveAsTable(f"{name}_postings")
     )
+    lengths = spark.table(f"{name}_postings").groupBy("field", "doc_id").agg(
+        F.first("doc_len").alias("doc_len")
+    )
     (
-        index.field_stats.write.mode("overwrite")
+        field_statistics(lengths)
+        .write.mode("overwrite")
         .option("path", f"{path}/field_stats")
         .saveAsTable(f"{name}_field_stats")
     )
