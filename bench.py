@@ -12,9 +12,10 @@ from rankloom.session import local_session
 HEADLINE = [
     "standard_terms",
     "relevant_fraction",
+    "stored_postings",
     "top_hits",
     "bm25_evaluation",
-    "stored_index_search",
+    "search_without_stored_index",
     "union_of_hits",
     "cosine_rescore",
     "chunk_rerank",

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import standard_terms
-from rankloom.operators.index import Index, build_index
+from rankloom.operators.index import Index, build_index, read_index, write_index
 from rankloom.operators.summarize import split_chunks
 from rankloom.plans.joins import lookup_join, spread
+from rankloom.plans.scratch import fresh_path, materialise
 from rankloom.sources.topics import topic_queries
 
 DIMS = 64
@@ -98,7 +99,8 @@ def bench_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of at least a quarter of the passages."""
     n_items = _count(table(spark, sf_dir, "benchmark"))
-    return bench_terms(spark, sf_dir).where(F.col("n_items") * 4 >= n_items).select("term")
+    words = bench_terms(spark, sf_dir).where(F.col("n_items") * 4 >= n_items).select("term")
+    return materialise(words, "stopwords")
 
 
 @lru_cache
@@ -116,12 +118,13 @@ def _n_vectors(spark: SparkSession, sf_dir: str):
 def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The passages' words, each with one of the embeddings; other words are unknown."""
     digest = F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 8), 16, 10).cast("long")
-    return (
+    words = (
         bench_terms(spark, sf_dir)
         .select("term", (digest % _n_vectors(spark, sf_dir)).alias("vec_id"))
         .join(embeddings(spark, sf_dir), "vec_id")
         .select("term", "vec", "vec_id")
     )
+    return materialise(words, "word-vectors")
 
 
 @lru_cache
@@ -317,6 +320,18 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache
+def lazy_index(spark: SparkSession, sf_dir: str, *fields: str) -> Index:
+    """Postings and statistics that are computed with each query."""
+    return build_index(texts(spark, sf_dir), list(fields))
+
+
 @lru_cache
 def content_index(spark: SparkSession, sf_dir: str, *fields: str) -> Index:
-    return build_index(texts(spark, sf_dir), list(fields) or ["content"])
+    """The stored index of the fields, written on first use in a session and then only read."""
+    fields = fields or ("content",)
+    path = fresh_path(spark, "index")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    buckets = spark.sparkContext.defaultParallelism
+    write_index(texts(spark, sf_dir), list(fields), name, path, buckets)
+    return read_index(spark, name)
