@@ -117,7 +117,7 @@ def corpus_content_backfill(spark, d):
 
 @query("P19 C12", with_views("""
     SELECT c.doc_id, c.title, c.author, c.annotation, c.published_date, s.summary, v.n_vectors,
-           round(v.total, 6) AS total
+           round(v.total, 6) + 0.0 AS total
     FROM corpus c
     JOIN (SELECT doc_id, string_agg(summary, ' ' ORDER BY chunk_no) AS summary FROM model_summaries GROUP BY doc_id) s
       ON s.doc_id = c.doc_id
@@ -155,7 +155,7 @@ def json_lines_corpus(spark, d):
 
 
 @query("S1 F21", with_views("""
-    SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(count(*) AS INTEGER) AS n_vectors, round(sum((chunk_no + 1) * vec[1]), 6) AS total
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(count(*) AS INTEGER) AS n_vectors, round(sum((chunk_no + 1) * vec[1]), 6) + 0.0 AS total
     FROM chunk_vectors GROUP BY doc_id"""))
 def json_lines_vectors(spark, d):
     """Vectors of one chunk written flat, of several chunks nested; both read as nested arrays."""
@@ -193,7 +193,7 @@ def topics_file(spark, d):
 
 
 @query("S3", with_views("""
-    SELECT term, CAST(u.dim AS INTEGER) AS dim, round(vec[u.dim], 6) AS v
+    SELECT term, CAST(u.dim AS INTEGER) AS dim, round(vec[u.dim], 6) + 0.0 AS v
     FROM word_vectors, (SELECT unnest(generate_series(1, 64)) AS dim) u"""))
 def word_vector_file(spark, d):
     """Word vectors written as text under a header line and read back."""

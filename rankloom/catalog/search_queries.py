@@ -211,7 +211,8 @@ def search_without_stored_index(spark, d):
 def stored_postings(spark, d):
     """Create the bucketed index and read it back: distinct and total words per document."""
     postings = I.content_index(spark, d).postings
-    return postings.groupBy("doc_id", "doc_len").agg(
+    doc_len = F.col("doc_len").cast("long").alias("doc_len")
+    return postings.groupBy("doc_id", doc_len).agg(
         F.count("*").alias("n_terms"), F.sum("tf").alias("n_words")
     )
 

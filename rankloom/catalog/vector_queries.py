@@ -41,14 +41,14 @@ def vector_pairs(spark, d):
 
 
 @query("F12", with_views(
-    "SELECT query_id, doc_id, round(list_dot_product(a, b), 6) AS dot FROM pairs", PAIR_VIEWS))
+    "SELECT query_id, doc_id, round(list_dot_product(a, b), 6) + 0.0 AS dot FROM pairs", PAIR_VIEWS))
 def dot_products(spark, d):
     dot = vectors.dot(F.col("a"), F.col("b"))
     return vector_pairs(spark, d).select("query_id", "doc_id", F.round(dot, 6).alias("dot"))
 
 
 @query("F13", with_views(
-    "SELECT query_id, doc_id, round(list_cosine_similarity(a, b), 6) AS cosine FROM pairs", PAIR_VIEWS))
+    "SELECT query_id, doc_id, round(list_cosine_similarity(a, b), 6) + 0.0 AS cosine FROM pairs", PAIR_VIEWS))
 def cosine_similarities(spark, d):
     cosine = vectors.cosine(F.col("a"), F.col("b"))
     return vector_pairs(spark, d).select("query_id", "doc_id", F.round(cosine, 6).alias("cosine"))
@@ -64,7 +64,7 @@ def shifted_cosines(spark, d):
 
 
 @query("F15", with_views("""
-    SELECT query_id, doc_id, CAST(u.dim AS INTEGER) AS dim, round(5 * a[u.dim] + b[u.dim], 6) AS v
+    SELECT query_id, doc_id, CAST(u.dim AS INTEGER) AS dim, round(5 * a[u.dim] + b[u.dim], 6) + 0.0 AS v
     FROM pairs, (SELECT unnest(generate_series(1, 64)) AS dim) u""", PAIR_VIEWS))
 def weighted_vector_sums(spark, d):
     summed = vectors.scaled_sum(F.col("a"), F.col("b"), 5.0)
@@ -75,7 +75,7 @@ def weighted_vector_sums(spark, d):
 
 
 @query("J4", with_views(f"""
-    SELECT t.doc_id, t.term, t.tf, w.vec IS NOT NULL AS known, round(coalesce(w.vec[1], 0.0), 6) AS v1
+    SELECT t.doc_id, t.term, t.tf, w.vec IS NOT NULL AS known, round(coalesce(w.vec[1], 0.0), 6) + 0.0 AS v1
     FROM (SELECT doc_id, term, CAST(count(*) AS INTEGER) AS tf
           FROM (SELECT doc_id, unnest({norm_terms('content')}) AS term FROM corpus) GROUP BY doc_id, term) t
     LEFT JOIN word_vectors w ON w.term = t.term"""))
@@ -93,7 +93,7 @@ def word_vector_lookup(spark, d):
     )
 
 
-@query("A12 X1 F8", with_views("SELECT doc_id, dim, round(v, 6) AS v FROM doc_pool"))
+@query("A12 X1 F8", with_views("SELECT doc_id, dim, round(v, 6) + 0.0 AS v FROM doc_pool"))
 def mean_pooled_documents(spark, d):
     pooled_docs = pooling.mean_pool(
         I.corpus(spark, d), I.word_vectors(spark, d), I.stopwords(spark, d), I.DIMS
@@ -101,7 +101,7 @@ def mean_pooled_documents(spark, d):
     return by_dimension(pooled_docs, "doc_id")
 
 
-@query("A12", with_views("SELECT query_id, dim, round(v, 6) AS v FROM query_pool"))
+@query("A12", with_views("SELECT query_id, dim, round(v, 6) + 0.0 AS v FROM query_pool"))
 def mean_pooled_queries(spark, d):
     pooled_queries = pooling.mean_pool(
         I.queries(spark, d), I.word_vectors(spark, d), I.stopwords(spark, d), I.DIMS,
@@ -247,7 +247,7 @@ KEYWORD_POOL = {
 
 
 @query("F22", with_views("""
-    SELECT d.doc_id, CAST(u.dim AS INTEGER) AS dim, round(coalesce(s.v / n.n, 0.0), 6) AS v
+    SELECT d.doc_id, CAST(u.dim AS INTEGER) AS dim, round(coalesce(s.v / n.n, 0.0), 6) + 0.0 AS v
     FROM kw_docs d CROSS JOIN (SELECT unnest(generate_series(1, 64)) AS dim) u
     LEFT JOIN kw_n n ON n.doc_id = d.doc_id LEFT JOIN kw_sum s ON s.doc_id = d.doc_id AND s.dim = u.dim""",
     WEIGHT_VIEWS | KEYWORD_POOL))

@@ -1,4 +1,7 @@
-"""The inputs of :mod:`rankloom.catalog.inputs` as SQL views, for the SQL side of each query."""
+"""The inputs of :mod:`rankloom.catalog.inputs` as SQL views, for the SQL side of each query.
+
+Where a rounded value may be a tiny negative number, ``+ 0.0`` turns SQL's negative zero into zero.
+"""
 
 from __future__ import annotations
 
