@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankloom.catalog.registry import Builder
-from rankloom.llm import bpe_counts, packing, simple8b
+from rankloom.llm import bpe_counts, byte_cnn, ngram_rules, packing, secret_scan, simple8b, soft_mixing, tensored_minhash, threshold_topk
 from rankloom.plans import scratch
 
 QUERIES: dict[str, Builder] = {}
@@ -22,16 +23,82 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, domain)``: what the labels say a document is."""
+    kind = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "low")
+    return table(spark, sf_dir, "labels").select("doc_id", kind.alias("domain"))
+
+
 @query
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op3_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = table(spark, sf_dir, "embeddings").select(
+        "vec_id", threshold_topk.whole_units(F.col("embedding")).alias("units")
+    )
+    asked = units.where(F.col("vec_id") % 50 == 0).withColumnRenamed("vec_id", "query_id")
+    return threshold_topk.top_k(asked, units, k=5)
+
+
+SQL["op3_threshold_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.w) = len(q.w)
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query
+def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return byte_cnn.score(docs, byte_cnn.fit(docs, table(spark, sf_dir, "labels")), keep_from=0.7)
+
+
+@query
+def op5_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    return ngram_rules.judge(docs, ngram_rules.fit(docs, trusted))
+
+
+@query
+def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return soft_mixing.mix(
+        table(spark, sf_dir, "documents"), domain_labels(spark, sf_dir), {"clean": 0.85, "low": 0.12, "toxic": 0.03}
+    )
+
+
+@query
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tensored_minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, domain)``: what the labels say a document is."""
+    kind = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "low")
+    return table(spark, sf_dir, "labels").select("doc_id", kind.alias("domain"))
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.fresh_path(spark, "token-ids")

@@ -27,7 +27,10 @@ BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 FRAME = 1024
 ESCAPE_BITS = 20
 # A block ends behind the document that brings it to so many ids.
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 17
+WIDTHS = np.zeros(1 << ESCAPE_BITS, np.uint8)
+for _bit in range(ESCAPE_BITS):
+    WIDTHS[1 << _bit :] += 1
 
 
 class Coded(NamedTuple):
@@ -82,14 +85,16 @@ def selectors(ids: np.ndarray, n: int) -> np.ndarray:
 
     A word may reach beyond its frame; what lies there counts as fitting.
     """
-    chosen = np.full(n, 15, np.uint8)
-    left = np.minimum((np.arange(n) // FRAME + 1) * FRAME, n) - np.arange(n)
-    place = np.arange(n)
-    for s in range(14, -1, -1):
+    place = np.arange(n, dtype=np.int32)
+    left = np.minimum((place // FRAME + 1) * FRAME, n) - place
+    widths = WIDTHS[ids.astype(np.uint32)]
+    every = int(np.searchsorted(BITS, widths.max()))  # its bits suffice for all ids
+    chosen = np.full(n, every, np.uint8)
+    for s in range(every - 1, -1, -1):
         # The nearest id from each place on that is too wide for this selector.
-        too_wide = np.where(ids >> np.uint64(BITS[s]), place, n)
+        too_wide = np.where(widths > BITS[s], place, np.int32(n))
         nearest = np.minimum.accumulate(too_wide[::-1])[::-1] - place
-        chosen[nearest >= np.minimum(COUNTS[s], left)] = s
+        chosen[nearest >= np.minimum(np.int32(COUNTS[s]), left)] = s
     return chosen
 
 

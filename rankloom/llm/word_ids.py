@@ -16,9 +16,9 @@ import pyarrow as pa
 
 from rankloom.llm import batches
 
-MEMORY_WORDS = 1_000_000
+MEMORY_WORDS = 500_000
 LONGEST_REMEMBERED = 64
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 6 << 20
 # Byte classes: 0 white space, 1 the rest, 2 punctuation that may be cut off the end of a word.
 # Quotes and the characters of special strings stay with their word.
 CLASSES = np.ones(256, np.uint8)
