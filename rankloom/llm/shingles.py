@@ -18,7 +18,9 @@ BYTE_VALUES = batches.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761
 
 @lru_cache(maxsize=4)
 def powers(base: int, n: int) -> np.ndarray:
-    return np.multiply.accumulate(np.concatenate([[1], np.full(n - 1, base)]).astype(np.uint64))
+    factors = np.full(n, base, np.uint64)
+    factors[0] = 1
+    return np.multiply.accumulate(factors)
 
 
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
