@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.catalog.registry import Builder
-from rankloom.llm import bpe_counts, byte_cnn, ngram_rules, packing, secret_scan, simple8b, soft_mixing, tensored_minhash, threshold_topk
+from rankloom.llm import bpe_counts, byte_cnn, ngram_rules, packing, secret_scan, simple8b, soft_mixing, suffix_dedup, tensored_minhash, threshold_topk
 from rankloom.plans import scratch
 
 QUERIES: dict[str, Builder] = {}
@@ -34,6 +34,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = table(spark, sf_dir, "embeddings").select(
