@@ -205,7 +205,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     same = named.join(repeated, "doc_id").select("a", F.col("v").alias("b"))
     roots = components.components(similar.union(same))
     of_class = classes.select("f", "g", "n", "v").join(roots, "v", "left").select("f", "g", "n", F.coalesce("root", "v").alias("root"))
-    component = F.coalesce("root", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return rows.select("doc_id", "n", "f", "g").join(of_class, ["f", "g", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept")
     )
