@@ -27,8 +27,8 @@ CHUNK, HOP = 127, 112
 SLICE_BYTES = 1 << 19
 
 # Bounds of the training sample.
-TRAIN_ROWS = 3000
-TRAIN_BYTES = 16 << 20
+TRAIN_ROWS = 6000
+TRAIN_BYTES = 32 << 20
 
 
 class Weights(NamedTuple):
@@ -133,7 +133,7 @@ def gradients(w: Weights, data: np.ndarray, offsets: np.ndarray, labels: np.ndar
     return Weights(embedding, first, second, share.sum(0), error @ means, error.sum(keepdims=True))
 
 
-def train(texts: list[str], labels: np.ndarray, epochs: int = 4, size: int = 48, rate: float = 0.01, seed: int = 7) -> Weights:
+def train(texts: list[str], labels: np.ndarray, epochs: int = 6, size: int = 48, rate: float = 0.01, seed: int = 7) -> Weights:
     """Adam over whole texts in small batches. Without both labels, the share of label 1 is learned."""
     w = start(seed)
     if len(texts) == 0:
