@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from rankloom.plans import joins
 
-WHITE = " \t\n\x0b\f\r"
 WHITE_CLASS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 BUCKETS = 1 << 14
@@ -39,27 +38,30 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def word_hashes(text: Column) -> Column:
-    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` in order."""
-    inner = F.btrim(text, F.lit(WHITE))
-    words = F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, WHITE_CLASS))
-    return F.transform(words, lambda w: F.xxhash64(w))
+def words(text: Column) -> Column:
+    """The words ``[^\\x20\\x09-\\x0D]+`` in order."""
+    return F.array_remove(F.split(text, WHITE_CLASS), "")
 
 
-def pair_hash(hashes: Column, h: Column, i: Column) -> Column:
-    """Hash of the word and its follower; the last word is paired with the text's end."""
-    return F.xxhash64(h, F.get(hashes, i + 1))
+def pair_hashes(hashes: Column) -> Column:
+    """A hash of each word and its follower; the last word is paired with the text's end."""
+    return F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + 1)))
 
 
-def repeated_words(hashes: Column) -> Column:
+def hashed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``words`` replaced by ``hashes`` and ``pairs``, each in a step of its own."""
+    one = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).drop("words")
+    return one.withColumn("pairs", pair_hashes(F.col("hashes")))
+
+
+def repeated_words(pairs: Column) -> Column:
     """Words that lie in a three-word window that stands twice or more in the text.
 
-    Windows are compared by 64-bit hashes. Texts without a repeated window end at the first test.
+    A window is two pairs in a row; windows are compared by 64-bit hashes. Texts without a repeated
+    window end at the first test.
     """
-    n = F.size(hashes)
-    windows = F.slice(
-        F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + 1), F.get(hashes, i + 2))), F.lit(1), F.greatest(n - 2, F.lit(0))
-    )
+    n = F.size(pairs)
+    windows = F.slice(F.transform(pairs, lambda p, i: F.xxhash64(p, F.get(pairs, i + 1))), F.lit(1), F.greatest(n - 2, F.lit(0)))
 
     def covered(found: Column) -> Column:
         placed = F.array_sort(F.transform(found, lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
@@ -83,13 +85,9 @@ def repeated_words(hashes: Column) -> Column:
     return F.when(n < 3, F.lit(0)).otherwise(let(windows, covered)).cast("long")
 
 
-def without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def repeated_lines(text: Column) -> Column:
     """Lines with a word that equal an earlier line."""
-    lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(WHITE)) != "")
+    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
@@ -106,13 +104,10 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> Model:
         "left",
         max_rows=1_000_000,
     )
-    hashed = marked.select("trusted", word_hashes(F.col("text")).alias("hashes"))
-    h = F.col("hashes")
-    one = F.transform(h, lambda x: F.pmod(x, F.lit(buckets)).cast("int"))
-    two = F.transform(h, lambda x, i: F.pmod(pair_hash(h, x, i), F.lit(buckets)).cast("int"))
+    grams = hashed(marked.select("trusted", words(F.col("text")).alias("words")))
     counts = (
-        hashed.select("trusted", F.explode(F.concat(one, two)).alias("bucket"))
-        .groupBy("bucket")
+        grams.select("trusted", F.explode(F.concat("hashes", "pairs")).alias("gram"))
+        .groupBy(F.pmod("gram", F.lit(buckets)).cast("int").alias("bucket"))
         .agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
     )
     raw, target = [1] * buckets, [1] * buckets
@@ -136,17 +131,17 @@ def judge(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep: tup
     buckets = len(model.ratios)
     rows = docs.select(
         *own,
-        word_hashes(text).alias("hashes"),
-        F.length(without(text, WHITE)).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
+        words(text).alias("words"),
+        F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         repeated_lines(text).alias("n_dup_lines"),
     )
+    rows = hashed(rows.withColumn("word_chars", F.length(F.array_join("words", "")).cast("long")))
     h, ratios = F.col("hashes"), model.column()
 
     def of(value: Column) -> Column:
         return F.get(ratios, F.pmod(value, F.lit(buckets)).cast("int"))
 
-    terms = F.transform(h, lambda x, i: of(x) + of(pair_hash(h, x, i)))
+    terms = F.zip_with("hashes", "pairs", lambda x, p: of(x) + of(p))
     total = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
     n = F.size(h)
     figures = rows.select(
@@ -155,7 +150,7 @@ def judge(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep: tup
         "word_chars",
         "n_symbols",
         "n_dup_lines",
-        repeated_words(h).alias("n_repeat_words"),
+        repeated_words(F.col("pairs")).alias("n_repeat_words"),
         F.when(n > 0, total / (2 * n)).otherwise(F.lit(0.0)).alias("score"),
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

@@ -75,7 +75,7 @@ class SortedLists:
 
 
 def matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy().reshape(-1, width)
+    return column.combine_chunks().flatten().to_numpy().reshape(len(column), width)
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
