@@ -16,9 +16,10 @@ import pyarrow as pa
 
 from rankloom.llm import batches
 
-MEMORY_WORDS = 500_000
+# Words that a worker remembers: the first ones that it meets, which are mostly the frequent ones.
+MEMORY_WORDS = 400_000
 LONGEST_REMEMBERED = 64
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 # Byte classes: 0 white space, 1 the rest, 2 punctuation that may be cut off the end of a word.
 # Quotes and the characters of special strings stay with their word.
 CLASSES = np.ones(256, np.uint8)
@@ -77,13 +78,10 @@ class WordEncoder:
         with open(file, encoding="utf-8") as text:
             self.by_word = drops_space(json.load(text))
         self.memory: dict[str, int] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        self.memory.clear()
-        self.starts: list[int] = []
+        # Where each word's ids start in ``ids``; behind the remembered words lie those of one batch.
+        self.starts = np.zeros(1 << 16, np.int64)
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.used = 0
+        self.words = 0
 
     def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has."""
@@ -102,27 +100,38 @@ class WordEncoder:
 
     def lookup(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids of each word start in ``ids``, and how many they are."""
-        if len(self.starts) > MEMORY_WORDS:
-            self.forget()
         known = list(map(self.memory.get, words))
         new = [i for i, place in enumerate(known) if place is None]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for i, coded in zip(part, self.tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)):
-                known[i] = self.store(coded.ids)
-                if len(words[i]) <= LONGEST_REMEMBERED:
-                    self.memory[words[i]] = known[i]
-        edges = np.array([*self.starts, self.used], np.int64)
+        kept: list[int] = []
+        for i in new:
+            if len(self.memory) < MEMORY_WORDS and len(words[i]) <= LONGEST_REMEMBERED:
+                known[i] = self.memory[words[i]] = self.words + len(kept)
+                kept.append(i)
+        passing = [i for i in new if known[i] is None]
+        for i, place in zip(passing, range(self.words + len(kept), self.words + len(new))):
+            known[i] = place
+        self.store([words[i] for i in kept + passing])
         places = np.array(known, np.int64)
-        return edges[places], edges[places + 1] - edges[places]
-
-    def store(self, ids: list[int]) -> int:
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.starts.append(self.used)
-        self.used += len(ids)
-        return len(self.starts) - 1
+        starts, ends = self.starts[places], self.starts[places + 1]
+        self.words += len(kept)
+        return starts, ends - starts
+
+    def store(self, words: list[str]) -> None:
+        """Encode ``words`` and put their ids behind those of the remembered words."""
+        place, used = self.words, int(self.starts[self.words])
+        for at in range(0, len(words), 4096):
+            coded = [c.ids for c in self.tokenizer.encode_batch_fast(words[at : at + 4096], add_special_tokens=False)]
+            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+            ends = used + np.cumsum(sizes)
+            self.starts = grown(self.starts, place + len(coded) + 1)
+            self.ids = grown(self.ids, int(ends[-1]))
+            self.starts[place + 1 : place + 1 + len(coded)] = ends
+            self.ids[used : ends[-1]] = np.fromiter((i for ids in coded for i in ids), np.uint32, int(sizes.sum()))
+            place, used = place + len(coded), int(ends[-1])
+
+
+def grown(array: np.ndarray, size: int) -> np.ndarray:
+    return array if size <= len(array) else np.concatenate([array, np.zeros(max(size - len(array), len(array) // 2), array.dtype)])
 
 
 def drops_space(described: dict) -> bool:
