@@ -102,7 +102,6 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> Model:
         trusted.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("trusted", F.lit(1)),
         ["doc_id"],
         "left",
-        max_rows=1_000_000,
     )
     grams = hashed(marked.select("trusted", words(F.col("text")).alias("words")))
     counts = (

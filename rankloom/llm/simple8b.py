@@ -52,50 +52,52 @@ def encode(ids: np.ndarray) -> Coded:
     lanes = -(-n // FRAME)
     if not lanes:
         return Coded(np.zeros(0, np.uint64), np.zeros(0, np.uint32), wide.astype(np.uint32), escaped)
-    chosen = selectors(ids, n)
+    chosen = selectors(ids, lanes)
     # All frames step from word to word together.
-    at = np.arange(lanes) * FRAME
-    ends = np.minimum(at + FRAME, n)
-    at_word, lane_of_word = [], []
-    live = np.arange(lanes)
+    live, starting = np.arange(lanes) * FRAME, np.zeros(lanes * FRAME, bool)
+    ends = np.minimum(live + FRAME, n)
     while len(live):
-        at_word.append(at[live])
-        lane_of_word.append(live)
-        at[live] += COUNTS[chosen[at[live]]]
-        live = live[at[live] < ends[live]]
-    starts = np.concatenate(at_word)
-    order = np.argsort(starts)
-    starts, lane = starts[order], np.concatenate(lane_of_word)[order]
+        starting[live] = True
+        live = live + COUNTS[chosen[live]]
+        inside = live < ends
+        live, ends = live[inside], ends[inside]
+    starts = np.flatnonzero(starting)
+    limits = np.minimum((starts // FRAME + 1) * FRAME, n)
     selector = chosen[starts]
     words = selector.astype(np.uint64) << np.uint64(60)
     for s in np.unique(selector):
-        own = np.flatnonzero(selector == s)
-        limit = ends[lane[own]]
         if BITS[s]:
+            own = np.flatnonzero(selector == s)
+            packed = words[own]
             for k in range(int(COUNTS[s])):
                 place = starts[own] + k
-                inside = place < limit
-                words[own[inside]] |= ids[place[inside]] << np.uint64(k * int(BITS[s]))
+                value = ids[np.minimum(place, n - 1)] << np.uint64(k * int(BITS[s]))
+                packed |= np.where(place < limits[own], value, np.uint64(0))
+            words[own] = packed
     frames = np.searchsorted(starts, np.arange(lanes) * FRAME).astype(np.uint32)
     return Coded(words, frames, wide.astype(np.uint32), escaped)
 
 
-def selectors(ids: np.ndarray, n: int) -> np.ndarray:
+def selectors(ids: np.ndarray, lanes: int) -> np.ndarray:
     """For a word that starts at each id: the selector that takes the most of the ids from there on.
 
-    A word may reach beyond its frame; what lies there counts as fitting.
+    A word may reach beyond its frame or the last id; what lies there counts as fitting.
     """
-    place = np.arange(n, dtype=np.int32)
-    left = np.minimum((place // FRAME + 1) * FRAME, n) - place
-    widths = WIDTHS[ids.astype(np.uint32)]
-    every = int(np.searchsorted(BITS, widths.max()))  # its bits suffice for all ids
-    chosen = np.full(n, every, np.uint8)
-    for s in range(every - 1, -1, -1):
-        # The nearest id from each place on that is too wide for this selector.
-        too_wide = np.where(widths > BITS[s], place, np.int32(n))
-        nearest = np.minimum.accumulate(too_wide[::-1])[::-1] - place
-        chosen[nearest >= np.minimum(np.int32(COUNTS[s]), left)] = s
-    return chosen
+    widths = np.zeros((lanes, FRAME + COUNTS[0]), np.uint8)
+    flat = np.zeros(lanes * FRAME, np.uint8)
+    flat[: len(ids)] = WIDTHS[ids.astype(np.uint32)]
+    widths[:, :FRAME] = flat.reshape(lanes, FRAME)
+    # Widest of the next so many ids; of two overlapping stretches for longer ones.
+    widest, reach = widths, 1
+    chosen = np.full((lanes, FRAME), 15, np.uint8)
+    for s in range(14, -1, -1):
+        count = int(COUNTS[s])
+        while reach < count:
+            step = min(reach, count - reach)
+            widest = np.maximum(widest[:, : widest.shape[1] - step], widest[:, step:])
+            reach += step
+        chosen[widest[:, :FRAME] <= BITS[s]] = s
+    return chosen.ravel()
 
 
 def decode(coded: Coded, n: int) -> np.ndarray:

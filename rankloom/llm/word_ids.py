@@ -17,9 +17,9 @@ import pyarrow as pa
 from rankloom.llm import batches
 
 # Words that a worker remembers: the first ones that it meets, which are mostly the frequent ones.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 300_000
 LONGEST_REMEMBERED = 64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # Byte classes: 0 white space, 1 the rest, 2 punctuation that may be cut off the end of a word.
 # Quotes and the characters of special strings stay with their word.
 CLASSES = np.ones(256, np.uint8)
@@ -47,8 +47,8 @@ def words_of(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarra
     start = solid.copy()
     start[1:] &= ~solid[:-1] | first[1:]
     cut = np.flatnonzero((kind[1:] == 2) & ALNUM[data[:-1]] & ~first[1:]) + 1
-    other = np.append(np.flatnonzero(kind != 2), len(data))
-    after = other[np.searchsorted(other, cut)]
+    ends_of_runs = np.flatnonzero((kind == 2) & np.append(kind[1:] != 2, True)) + 1
+    after = ends_of_runs[np.searchsorted(ends_of_runs, cut, side="right")] if len(cut) else cut
     ends = offsets[np.searchsorted(offsets, cut, side="right")]
     trailing = (after >= ends) | (np.append(kind, 0)[after] == 0)
     start[cut[trailing]] = True
