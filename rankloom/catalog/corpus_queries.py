@@ -59,9 +59,15 @@ def document_summaries(spark, d):
     return summarize.summarize(I.corpus(spark, d)).select("doc_id", "summary")
 
 
-def first_sentence(text: str, max_length: int, min_length: int) -> str:
+def load_first_sentences():
     """A stand-in for a user's model."""
-    return text.split(".")[0]
+    return lambda texts, max_length, min_length: [text.split(".")[0] for text in texts]
+
+
+def joined_first_sentences(spark, d):
+    """Each chunk's first sentence, joined by document: ``(doc_id, summary, summary_chunks)``."""
+    first = F.split_part("chunk", F.lit("."), F.lit(1)).alias("summary")
+    return summarize.join_summaries(I.chunks(spark, d).select("doc_id", "chunk_no", first))
 
 
 MODEL_VIEWS = {
@@ -71,13 +77,13 @@ MODEL_VIEWS = {
 
 @query("X2", with_views("SELECT doc_id, chunk_no, summary FROM model_summaries", MODEL_VIEWS))
 def model_chunk_summaries(spark, d):
-    return summarize.model_summaries(I.chunks(spark, d), first_sentence)
+    return summarize.model_summaries(I.chunks(spark, d), load_first_sentences)
 
 
 @query("A17 X2", with_views(
     "SELECT doc_id, string_agg(summary, ' ' ORDER BY chunk_no) AS summary FROM model_summaries GROUP BY doc_id", MODEL_VIEWS))
 def joined_model_summaries(spark, d):
-    return summarize.summarize(I.corpus(spark, d), first_sentence).select("doc_id", "summary")
+    return summarize.summarize(I.corpus(spark, d), load_first_sentences).select("doc_id", "summary")
 
 
 @query("F11 P19", with_views("""
@@ -86,7 +92,7 @@ def joined_model_summaries(spark, d):
           FROM (SELECT doc_id, string_agg(summary, ' ' ORDER BY chunk_no) AS summary FROM model_summaries GROUP BY doc_id))""",
     MODEL_VIEWS))
 def summary_sentences(spark, d):
-    return prepare.summary_sentences(summarize.summarize(I.corpus(spark, d), first_sentence))
+    return prepare.summary_sentences(joined_first_sentences(spark, d))
 
 
 @query("J3 C12", with_views("""
@@ -126,7 +132,7 @@ def corpus_content_backfill(spark, d):
 def prepared_records(spark, d):
     """Documents with summary and chunk vectors; the vectors are shown by count and a weighted sum."""
     docs = I.corpus(spark, d)
-    summaries = summarize.summarize(docs, first_sentence).select("doc_id", "summary")
+    summaries = joined_first_sentences(spark, d).select("doc_id", "summary")
     records = prepare.prepared_records(docs.join(summaries, "doc_id"), I.chunk_vectors(spark, d))
     parts = F.transform("summary_vector", lambda vec, i: (i + 1) * vec[0])
     total = F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -160,13 +162,10 @@ def chunk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @lru_cache
 def doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One vector per document, that of its first chunk."""
-    return (
-        documents(spark, sf_dir)
-        .select("doc_id", _chunk_vector(F.lit(0), spark, sf_dir))
-        .join(embeddings(spark, sf_dir), "vec_id")
-        .select("doc_id", "vec")
-    )
+    """One vector per document, the mean of its chunks' vectors."""
+    total = Summarizer.sum(array_to_vector(F.col("vec").cast("array<double>")))
+    sums = chunk_vectors(spark, sf_dir).groupBy("doc_id").agg(total.alias("total"), F.count("*").alias("n"))
+    return sums.select("doc_id", F.transform(vector_to_array("total"), lambda x: x / F.col("n")).alias("vec"))
 
 
 @lru_cache

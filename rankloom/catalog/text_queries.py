@@ -9,7 +9,9 @@ from rankloom.catalog.registry import query
 from rankloom.catalog.views import classic, folded, norm_terms, tok, white, with_views
 from rankloom.functions import text
 from rankloom.operators import summarize
-from rankloom.plans.joins import lookup_join, salted_join
+from rankloom.operators.phrases import canonical_terms
+from rankloom.plans.joins import lookup_join
+from rankloom.plans.scratch import materialise
 
 
 def analysed(spark, d, analyser):
@@ -93,13 +95,12 @@ def stemmed_terms(spark, d):
     counted = text.count_terms(I.corpus(spark, d).select("doc_id", folded_terms), ["doc_id"])
     term = F.col("term")
     plural = (F.length(term) > 3) & F.endswith(term, F.lit("s"))
-    canonical = counted.select("term").distinct().select(
-        "term", F.when(plural, F.substring(term, F.lit(1), F.length(term) - 1)).otherwise(term).alias("stem")
-    )
-    stemmed = salted_join(counted, canonical, ["term"]).select("doc_id", "stem", "tf")
-    stops = I.stopwords(spark, d).withColumnRenamed("term", "stem")
-    kept = lookup_join(stemmed, stops, ["stem"], "left_anti")
-    return kept.groupBy("doc_id", "stem").agg(F.sum("tf").alias("tf"))
+    # The canonical form of each word that is not its own.
+    stem = F.substring(term, F.lit(1), F.length(term) - 1)
+    canonical = counted.where(plural).select("term").distinct().select("term", stem.alias("canonical"))
+    found = canonical_terms(counted, materialise(canonical, "canonical"))
+    kept = lookup_join(found, I.stopwords(spark, d), ["term"], "left_anti")
+    return kept.select("doc_id", F.col("term").alias("stem"), "tf")
 
 
 @query("P15 F18", with_views("""

@@ -84,8 +84,7 @@ def word_vector_lookup(spark, d):
     tokens = normalized_terms(F.lit(""), F.col("content")).alias("tokens")
     counted = count_terms(I.corpus(spark, d).select("doc_id", tokens), ["doc_id"])
     found = lookup_join(
-        counted, I.word_vectors(spark, d).select("term", "vec"), ["term"], "left",
-        max_rows=pooling.BROADCAST_VECTOR_ROWS,
+        counted, I.word_vectors(spark, d).select("term", "vec"), ["term"], "left"
     )
     vec = F.coalesce("vec", vectors.zeros(I.DIMS))
     return found.select(
@@ -399,9 +398,15 @@ def grid_scores(spark, d):
         "bert": rerank.rescore(plain, I.doc_vectors(spark, d), I.query_vectors(spark, d), 20),
         "fast": rerank.rescore(
             plain,
-            pooling.mean_pool(docs, words, stops, I.DIMS),
-            pooling.mean_pool(queries, words, stops, I.DIMS, "query_id", "query_text"),
+            # Only documents that were hit are pooled.
+            pooling.mean_pool(
+                docs.join(plain.select("doc_id").distinct(), "doc_id", "left_semi"), words, stops, I.DIMS
+            ).withColumnRenamed("vec", "ft_vector"),
+            pooling.mean_pool(
+                queries, words, stops, I.DIMS, "query_id", "query_text"
+            ).withColumnRenamed("vec", "ft_vector"),
             20,
+            column="ft_vector",
         ),
     }
     return evaluate.score_grid(approaches, queries, docs, 20)

@@ -96,7 +96,11 @@ VIEWS: dict[str, str] = {
         SELECT c.doc_id, c.chunk_no, CAST(e.embedding AS DOUBLE[]) AS vec
         FROM chunks c JOIN embeddings e
           ON e.vec_id = (c.doc_id * 31 + c.chunk_no) % (SELECT count(*) FROM embeddings)""",
-    "doc_vectors": "SELECT doc_id, vec FROM chunk_vectors WHERE chunk_no = 0",
+    "doc_vectors": """
+        SELECT doc_id, list(v ORDER BY dim) AS vec FROM (
+          SELECT doc_id, dim, avg(v) AS v
+          FROM (SELECT doc_id, unnest(vec) AS v, unnest(generate_series(1, len(vec))) AS dim FROM chunk_vectors)
+          GROUP BY doc_id, dim) GROUP BY doc_id""",
     "senses": """
         SELECT term, 1 AS sense_rank, vec_id AS sense_id FROM word_vectors
         UNION ALL SELECT term, 2, (vec_id + 3) % (SELECT count(*) FROM embeddings) FROM word_vectors""",

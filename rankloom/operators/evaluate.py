@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.annotations import grade_for_topic, grade_of, topic_of, well_formed
 from rankloom.plans.joins import broadcast_if, fits, lookup_join
+from rankloom.plans.scratch import materialise
 
 
 def judgments(docs: DataFrame) -> DataFrame:
@@ -19,27 +20,28 @@ def judgments(docs: DataFrame) -> DataFrame:
     )
 
 
-def judge(hits: DataFrame, queries: DataFrame, docs: DataFrame, depth: int) -> DataFrame:
-    """Grade the first ``depth`` hits of each query by the documents' annotations.
+def hits_with(hits: DataFrame, queries: DataFrame, docs: DataFrame, depth: int | None) -> DataFrame:
+    """The first ``depth`` hits, or all, with their topic and the columns of ``docs``.
 
-    ``(query_id, doc_id, score, rank, grade)``. The hits, at most ``depth`` per query, are copied to
-    where the documents are, so the documents are neither shuffled nor looked up one by one.
+    Every hit stays, also one whose document is missing. The hits are stored and their ids copied to
+    where the documents are; only the documents that are hit move.
     """
-    wanted = hits.where(F.col("rank") <= depth).join(
-        queries.select("query_id", "topic_id"), "query_id"
-    )
-    small = fits(queries.count() * depth)
-    return (
-        docs.select("doc_id", "annotation")
-        .join(broadcast_if(wanted, small), "doc_id")
-        .select(
-            "query_id",
-            "doc_id",
-            "score",
-            "rank",
-            grade_for_topic(F.col("annotation"), F.col("topic_id")).alias("grade"),
-        )
-    )
+    chosen = hits if depth is None else hits.where(F.col("rank") <= depth)
+    chosen = materialise(chosen.select("query_id", "doc_id", "score", "rank"), "hits")
+    ids = chosen.select("doc_id").distinct()
+    found = docs.join(broadcast_if(ids, fits(chosen.count())), "doc_id", "left_semi")
+    return chosen.join(queries.select("query_id", "topic_id"), "query_id").join(found, "doc_id", "left")
+
+
+def judge(hits: DataFrame, queries: DataFrame, docs: DataFrame, depth: int | None = None) -> DataFrame:
+    """Grade the first ``depth`` hits of each query, or all, by the documents' annotations.
+
+    ``(query_id, doc_id, score, rank, grade)``. A hit without a judgment, or without a document, has
+    grade 0.
+    """
+    joined = hits_with(hits, queries, docs.select("doc_id", "annotation"), depth)
+    grade = F.coalesce(grade_for_topic(F.col("annotation"), F.col("topic_id")), F.lit(0))
+    return joined.select("query_id", "doc_id", "score", "rank", grade.alias("grade"))
 
 
 def judge_by_table(hits: DataFrame, queries: DataFrame, judged: DataFrame) -> DataFrame:
@@ -108,12 +110,17 @@ def score(judged: DataFrame, queries: DataFrame, k: int = 20, first_page: int =
 
 
 def score_grid(
-    approaches: dict[str, DataFrame], queries: DataFrame, docs: DataFrame, k: int = 20
+    approaches: dict[str, DataFrame],
+    queries: DataFrame,
+    docs: DataFrame,
+    k: int = 20,
+    depth: int | None = None,
 ) -> DataFrame:
     """Scores of every topic, query type and approach.
 
     ``approaches`` maps a name to its hits. All hits are judged in one pass over the documents:
-    ``(topic_id, query_type, approach, prec, ap, ndcg)``.
+    ``(topic_id, query_type, approach, prec, ap, ndcg)``. ``k`` is that of precision and NDCG;
+    average precision and the ideal order run over all hits, or the first ``depth``.
     """
     tagged = [
         hits.withColumn("query_id", F.concat_ws("|", F.lit(name), "query_id"))
@@ -122,7 +129,7 @@ def score_grid(
     runs = queries.withColumn(
         "approach", F.explode(F.array(*[F.lit(name) for name in approaches]))
     ).withColumn("query_id", F.concat_ws("|", "approach", "query_id"))
-    scored = score(judge(reduce(DataFrame.unionByName, tagged), runs, docs, k), runs, k)
+    scored = score(judge(reduce(DataFrame.unionByName, tagged), runs, docs, depth), runs, k)
     return scored.join(runs, "query_id").select(
         "topic_id", "query_type", "approach", "prec", "ap", "ndcg"
     )

@@ -39,14 +39,24 @@ def phrase_entities(
     """Instances of any class below an entity that is labelled with the phrase.
 
     ``phrases(phrase)`` gives ``(phrase, place, entity, label, description)``, at most ``limit``
-    entities per phrase by id; an entity without a label has its id as label.
+    entities per phrase by id; an entity without a label has its id as label. Of each class only the
+    first ``limit`` instances by id can be among them, so a class with very many is cut before the
+    join.
     """
     roots = labels.join(
         phrases.select(F.col("phrase").alias("label")).distinct(), "label", "left_semi"
     ).select(F.col("label").alias("phrase"), F.col("entity").alias("class"))
+    by_id = Window.partitionBy("class").orderBy("entity")
+    first = (
+        instance_of.select("class", "entity")
+        .distinct()
+        .withColumn("_no", F.row_number().over(by_id))
+        .where(F.col("_no") <= limit)
+        .drop("_no")
+    )
     members = (
         subclasses(roots, subclass_of)
-        .join(instance_of, "class")
+        .join(first, "class")
         .select("phrase", "entity")
         .distinct()
     )

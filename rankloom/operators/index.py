@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,12 +10,19 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.text import analyze, count_terms
 
+PARTS = ("postings", "field_stats", "term_stats")
+
 
 class Index(NamedTuple):
-    """``postings(field, doc_id, term, tf, doc_len)`` and ``field_stats(field, n_docs, avg_len)``."""
+    """Postings, field statistics and term statistics.
+
+    ``postings(field, doc_id, term, tf, doc_len)``, ``field_stats(field, n_docs, avg_len)`` and
+    ``term_stats(field, term, df)``.
+    """
 
     postings: DataFrame
     field_stats: DataFrame
+    term_stats: DataFrame
 
 
 def index_documents(corpus: DataFrame) -> DataFrame:
@@ -48,7 +56,7 @@ def analyzed_fields(docs: DataFrame, fields: list[str]) -> DataFrame:
 def build_index(docs: DataFrame, fields: list[str]) -> Index:
     """Postings and field statistics of the named text fields.
 
-    Postings are counted inside each document's row, without a shuffle. Both tables are lazy;
+    Postings are counted inside each document's row, without a shuffle. All tables are lazy;
     :func:`write_index` stores them, which pays off from the second search on.
     """
     analyzed = analyzed_fields(docs, fields)
@@ -56,7 +64,7 @@ def build_index(docs: DataFrame, fields: list[str]) -> Index:
         "field", "doc_id", "term", "tf", F.col("n_tokens").alias("doc_len")
     )
     lengths = analyzed.select("field", F.size("tokens").alias("doc_len"))
-    return Index(postings, field_statistics(lengths))
+    return Index(postings, field_statistics(lengths), term_statistics(postings))
 
 
 def field_statistics(lengths: DataFrame) -> DataFrame:
@@ -74,21 +82,26 @@ def term_statistics(postings: DataFrame) -> DataFrame:
 
 
 def with_ordinal(scan: DataFrame) -> DataFrame:
-    """Add the position of each row of a file scan, from 0, as ``ordinal``.
+    """Add the position of each row of a file scan, from 0, as ``ordinal``: files by path, then rows.
 
-    Rows are numbered inside their partition; the partitions' offsets come from their row counts,
-    one row per partition. Nothing is sorted and no row leaves its task.
+    A split of a file is read in order by one task, which may read other splits before it. So a
+    row's place inside its split is its place in the task less the split's smallest one, and the
+    splits' offsets come from their row counts by file and position: one row per split. Nothing is
+    sorted and no row leaves its task.
     """
-    in_partition = F.expr("monotonically_increasing_id() & ((1L << 33) - 1)")
+    split = ["_file", "_start"]
     numbered = scan.select(
-        "*", F.spark_partition_id().alias("_part"), in_partition.alias("_place")
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.expr("monotonically_increasing_id() & ((1L << 33) - 1)").alias("_place"),
     )
-    counts = numbered.groupBy("_part").agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = numbered.groupBy(*split).agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+        *split, (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_offset")
     )
-    return numbered.join(F.broadcast(offsets), "_part").select(
+    return numbered.join(F.broadcast(offsets), split).select(
         *scan.columns, (F.col("_offset") + F.col("_place")).alias("ordinal")
     )
 
@@ -97,14 +110,17 @@ def write_index(docs: DataFrame, fields: list[str], name: str, path: str, bucket
     """Create or replace the stored index ``name`` of ``docs`` under ``path``.
 
     The documents are moved to their buckets before they are analysed, so the texts are shuffled
-    once and the far more numerous postings never. Postings are bucketed by document and sorted by
-    term: a search sums each document's scores without a shuffle, and column statistics skip the
-    row groups that hold none of its terms. Choose ``buckets`` so that a bucket stays within a few
-    hundred megabytes. Field statistics are counted on the stored postings.
+    once and the far more numerous postings never. Postings are partitioned by field, bucketed by
+    document and sorted by term: a search reads the postings of its fields once and sums each
+    document's scores without a shuffle. Choose ``buckets`` so that a bucket stays within a few
+    hundred megabytes. Field and term statistics are counted on the stored postings.
+
+    Every index has folders of its own; tables of the old index are dropped when the new files are
+    complete, so a failed build leaves the old index as it was.
     """
     spark = docs.sparkSession
-    for part in ("postings", "field_stats"):
-        spark.sql(f"DROP TABLE IF EXISTS {name}_{part}")
+    path = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
+    fresh = f"{name}_{uuid.uuid4().hex[:8]}"
     placed = docs.select("doc_id", *fields).repartition(buckets, "doc_id")
     (
         build_index(placed, fields)
@@ -113,18 +129,29 @@ def write_index(docs: DataFrame, fields: list[str], name: str, path: str, bucket
         .partitionBy("field")
         .bucketBy(buckets, "doc_id")
         .sortBy("term")
-        .saveAsTable(f"{name}_postings")
+        .saveAsTable(f"{fresh}_postings")
     )
-    lengths = spark.table(f"{name}_postings").groupBy("field", "doc_id").agg(
+    stored = spark.table(f"{fresh}_postings")
+    lengths = stored.groupBy("field", "doc_id").agg(
         F.first("doc_len").alias("doc_len")
     )
     (
         field_statistics(lengths)
         .write.mode("overwrite")
         .option("path", f"{path}/field_stats")
-        .saveAsTable(f"{name}_field_stats")
+        .saveAsTable(f"{fresh}_field_stats")
     )
+    (
+        term_statistics(stored)
+        .write.mode("overwrite")
+        .option("path", f"{path}/term_stats")
+        .partitionBy("field")
+        .saveAsTable(f"{fresh}_term_stats")
+    )
+    for part in PARTS:
+        spark.sql(f"DROP TABLE IF EXISTS {name}_{part}")
+        spark.sql(f"ALTER TABLE {fresh}_{part} RENAME TO {name}_{part}")
 
 
 def read_index(spark: SparkSession, name: str) -> Index:
-    return Index(spark.table(f"{name}_postings"), spark.table(f"{name}_field_stats"))
+    return Index(*(spark.table(f"{name}_{part}") for part in PARTS))

@@ -56,3 +56,13 @@ def phrase_terms(pairs: DataFrame, stopwords: DataFrame, key: str) -> DataFrame:
         spread_by=key,
     )
     return kept.groupBy(key, "term").agg(F.count("*").alias("tf"))
+
+
+def canonical_terms(terms: DataFrame, canonical: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Terms replaced by their canonical form: ``(key, term, tf)``.
+
+    ``terms(key, term, tf)``, ``canonical(term, canonical)``: one row for each word that is not its
+    own canonical form, as a stemmer or a lemmatiser would give them.
+    """
+    named = lookup_join(terms, canonical.select("term", "canonical"), ["term"], "left", spread_by=key)
+    return named.groupBy(key, F.coalesce("canonical", "term").alias("term")).agg(F.sum("tf").alias("tf"))

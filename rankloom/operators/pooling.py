@@ -5,15 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankloom.functions.text import count_terms, normalized_terms
-from rankloom.functions.vectors import zeros
-from rankloom.plans.joins import BROADCAST_VECTOR_ROWS, lookup_join
+from rankloom.plans.joins import lookup_join
 
 
 def mean_pool(
@@ -42,22 +40,14 @@ def pool_counted(
     stops = stopwords.select("term", F.lit(True).alias("is_stop"))
     flagged = lookup_join(counted, stops, ["term"], "left", spread_by=key)
     valid = F.col("term").isNotNull() & F.col("is_stop").isNull()
-    counted_valid = flagged.select(key, "term", F.when(valid, F.col("tf")).alias("n"))
+    kept = flagged.select(key, F.when(valid, F.col("term")).alias("term"), F.when(valid, F.col("tf")).alias("n"))
     vectors = word_vectors.select("term", "vec")
-    joined = lookup_join(
-        counted_valid, vectors, ["term"], "left", spread_by=key, max_rows=BROADCAST_VECTOR_ROWS
-    )
-    vec = F.when(F.col("n").isNotNull(), F.col("vec")).cast("array<double>")
-    # Rows that must not count carry the zero vector, so any positive weight does for them.
-    summed = joined.groupBy(key).agg(
-        Summarizer.sum(
-            array_to_vector(F.coalesce(vec, zeros(dims))),
-            F.coalesce(F.col("n"), F.lit(1)).cast("double"),
-        ).alias("total"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-    )
-    mean = F.transform(vector_to_array("total"), lambda x: x / F.greatest("n", F.lit(1)))
-    return summed.select(key, mean.alias("vec"))
+    joined = lookup_join(kept, vectors, ["term"], "left", spread_by=key)
+    # One plain sum for each dimension: a buffer of fixed size, kept in a hash table on the map side.
+    # Unknown words have no vector and so add nothing.
+    sums = [F.coalesce(F.sum(F.get("vec", F.lit(i)).cast("double") * F.col("n")), F.lit(0.0)) for i in range(dims)]
+    n = F.greatest(F.coalesce(F.sum("n"), F.lit(0)), F.lit(1))
+    return joined.groupBy(key).agg(F.array(*[total / n for total in sums]).alias("vec"))
 
 
 def encode(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.annotations import grade_for_topic, grade_of, topic_of, well_formed
 from rankloom.functions.text import snippet
-from rankloom.plans.joins import broadcast_if, fits
+from rankloom.operators.evaluate import hits_with
 
 
 def relevance_counts(docs: DataFrame, topic_id: str | None = None) -> DataFrame:
@@ -56,23 +56,13 @@ def tokenizer_field(tokenizer: str = "") -> str:
 def enriched_hits(hits: DataFrame, queries: DataFrame, docs: DataFrame, depth: int) -> DataFrame:
     """Hits with title, snippet and grade, in one pass over the documents.
 
-    ``(query_id, doc_id, score, rank, title, snippet, grade)`` for the first ``depth`` hits.
+    ``(query_id, doc_id, score, rank, title, snippet, grade)`` for the first ``depth`` hits. A hit
+    whose document is missing has neither title nor snippet, and grade 0.
     """
-    wanted = hits.where(F.col("rank") <= depth).join(
-        queries.select("query_id", "topic_id"), "query_id"
-    )
-    return (
-        docs.select("doc_id", "title", "content", "annotation")
-        .join(broadcast_if(wanted, fits(queries.count() * depth)), "doc_id")
-        .select(
-            "query_id",
-            "doc_id",
-            "score",
-            "rank",
-            "title",
-            snippet(F.col("content")).alias("snippet"),
-            grade_for_topic(F.col("annotation"), F.col("topic_id")).alias("grade"),
-        )
+    shown = docs.select("doc_id", "title", snippet(F.col("content")).alias("snippet"), "annotation")
+    grade = F.coalesce(grade_for_topic(F.col("annotation"), F.col("topic_id")), F.lit(0))
+    return hits_with(hits, queries, shown, depth).select(
+        "query_id", "doc_id", "score", "rank", "title", "snippet", grade.alias("grade")
     )
 
 

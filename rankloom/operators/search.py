@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.text import analyze, count_terms
 from rankloom.operators.index import Index
-from rankloom.plans.joins import broadcast_if, fits, salted_join
+from rankloom.plans.joins import broadcast_if, small_table, split_join
 from rankloom.plans.ranking import ranked, rounded
+from rankloom.plans.scratch import materialise
 
 
 def query_terms(queries: DataFrame, fields: list[str]) -> DataFrame:
@@ -47,18 +48,15 @@ def bm25_scores(
 ) -> DataFrame:
     """Score of every document that holds a query term: ``(query_id, doc_id, score)``.
 
-    A word given twice in a query counts twice. Document frequencies are counted for query terms
-    only. The query side is broadcast if it is small; otherwise hot terms are cut into pieces by
-    document, because a common word may occur in most documents and in most queries.
+    A word given twice in a query counts twice. The query terms are stored first, because they are
+    read twice. They are broadcast if they are small; otherwise frequent terms are cut into pieces
+    by document, because a common word may occur in most documents and in most queries.
     """
-    terms = query_terms(queries, fields)
-    small = fits(terms.count())
+    terms = materialise(query_terms(queries, fields), "query-terms")
+    small = small_table(terms)
     wanted = terms.select("field", "term").distinct()
-    if small:
-        narrowed = index.postings.join(F.broadcast(wanted), ["field", "term"], "left_semi")
-    else:
-        narrowed = salted_join(index.postings, wanted, ["field", "term"], "left_semi")
-    frequencies = narrowed.groupBy("field", "term").agg(F.count("*").alias("df"))
+    # The query terms' row of the statistics, at most one for each of them.
+    frequencies = index.term_stats.where(F.col("field").isin(fields)).join(broadcast_if(wanted, small), ["field", "term"], "left_semi")
     df, n_docs = F.col("df"), _statistic(index, fields, "n_docs")
     weights = terms.join(broadcast_if(frequencies, small), ["field", "term"]).select(
         "query_id",
@@ -68,13 +66,15 @@ def bm25_scores(
     )
     tf = F.col("tf")
     length = k1 * (1 - b + b * F.col("doc_len") / _statistic(index, fields, "avg_len"))
-    saturated = index.postings.select(
+    saturated = index.postings.where(F.col("field").isin(fields)).select(
         "field", "doc_id", "term", (tf * (k1 + 1) / (tf + length)).alias("saturation")
     )
     if small:
         matched = saturated.join(F.broadcast(weights), ["field", "term"])
     else:
-        matched = salted_join(saturated, weights, ["field", "term"])
+        matched = split_join(
+            saturated, weights, ["field", "term"], counts=frequencies.select("field", "term", F.col("df").alias("rows"))
+        )
     return matched.groupBy("query_id", "doc_id").agg(
         rounded(F.sum(F.col("weight") * F.col("saturation"))).alias("score")
     )

@@ -12,6 +12,7 @@ from rankloom.functions.vectors import cosine
 from rankloom.operators.pooling import mean_pool
 from rankloom.plans.joins import lookup_join
 from rankloom.plans.ranking import rounded
+from rankloom.plans.scratch import materialise
 
 
 class SenseStrategy(Enum):
@@ -91,7 +92,6 @@ def vector_senses(
         ["sense_id"],
         "left",
         "query_id",
-        max_rows=20_000,
     )
     both = with_sense.join(
         query_vectors.select("query_id", F.col("vec").alias("query_vec")), "query_id", "left"
@@ -147,8 +147,12 @@ def expand_senses(
         chosen = vector_senses(
             candidates,
             mean_pool(queries, word_vectors, stopwords, dims, "query_id", "query_text"),
-            mean_pool(
-                sense_texts(lemmas, definitions), word_vectors, stopwords, dims, "sense_id", "text"
+            # Stored, because the join measures them before it reads them.
+            materialise(
+                mean_pool(
+                    sense_texts(lemmas, definitions), word_vectors, stopwords, dims, "sense_id", "text"
+                ),
+                "sense-vectors",
             ),
         )
     found = sense_lemmas(chosen, lemmas)

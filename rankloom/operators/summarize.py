@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.text import count_terms, standard_terms
 from rankloom.operators.tfidf import fit_tfidf, term_rows
-from rankloom.plans.joins import salted_join
+from rankloom.plans.joins import split_join
 from rankloom.plans.ranking import rounded
 
 
@@ -32,8 +32,8 @@ def chunks_of(text: Column, k: int = 1024, keep_empty_tail: bool = True) -> Colu
 def split_chunks(
     docs: DataFrame, k: int = 1024, keep_empty_tail: bool = True, text: str = "content"
 ) -> DataFrame:
-    """``(doc_id, chunk_no, chunk)``."""
-    pieces = chunks_of(F.col(text), k, keep_empty_tail)
+    """``(doc_id, chunk_no, chunk)``; a NULL text counts as empty."""
+    pieces = chunks_of(F.coalesce(text, F.lit("")), k, keep_empty_tail)
     return docs.select("doc_id", F.posexplode(pieces).alias("chunk_no", "chunk"))
 
 
@@ -47,13 +47,19 @@ def truncated(text: Column, k: int = 1024) -> Column:
 
 
 def sentence_weights(chunks: DataFrame, idf: DataFrame) -> DataFrame:
-    """Mean tf-idf weight of each sentence: ``(doc_id, chunk_no, sentence_no, weight)``."""
+    """Mean tf-idf weight of each sentence: ``(doc_id, chunk_no, sentence_no, weight)``.
+
+    ``idf(term, df, idf)``; a word is at least as frequent as the texts that it is in, so ``df``
+    tells which words have to be cut into pieces.
+    """
     keys = ["doc_id", "chunk_no", "sentence_no"]
     tokens = chunks.select(
         "doc_id", "chunk_no", F.posexplode(sentences(F.col("chunk"))).alias("sentence_no", "s")
     ).select(*keys, standard_terms(F.col("s")).alias("tokens"))
     terms = count_terms(tokens, keys)
-    weighed = salted_join(terms, idf.select("term", "idf"), ["term"], spread_by=F.struct(*keys))
+    weighed = split_join(
+        terms, idf.select("term", "idf"), ["term"], spread_by=F.struct(*keys), counts=idf.select("term", F.col("df").alias("rows"))
+    )
     return weighed.groupBy(*keys).agg(
         rounded(F.sum(F.col("tf") * F.col("idf")) / F.first("n_tokens")).alias("weight")
     )
@@ -79,15 +85,26 @@ def extract_summaries(chunks: DataFrame, idf: DataFrame) -> DataFrame:
 
 def model_summaries(
     chunks: DataFrame,
-    summarizer: Callable[[str, int, int], str],
+    make_summarizer: Callable[[], Callable[[list[str], int, int], list[str]]],
     max_length: int = 150,
     min_length: int = 2,
+    batch_size: int = 64,
 ) -> DataFrame:
-    """``(doc_id, chunk_no, summary)`` by a user's model, called as ``(text, max_length, min_length)``."""
+    """``(doc_id, chunk_no, summary)`` by a user's model; the summary of a NULL chunk is NULL.
+
+    ``make_summarizer`` loads the model once per task and returns a function of
+    ``(texts, max_length, min_length)``, which is called with lists of at most ``batch_size`` texts.
+    """
 
     @F.pandas_udf("string")
-    def summarise(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: summarizer(text, max_length, min_length))
+    def summarise(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        summarizer = make_summarizer()
+        for texts in batches:
+            known = texts.dropna()
+            made: list[str] = []
+            for start in range(0, len(known), batch_size):
+                made += summarizer(known.iloc[start : start + batch_size].tolist(), max_length, min_length)
+            yield pd.Series(made, index=known.index, dtype=object).reindex(texts.index)
 
     return chunks.select("doc_id", "chunk_no", summarise("chunk").alias("summary"))
 
@@ -106,16 +123,16 @@ def join_summaries(summaries: DataFrame) -> DataFrame:
 
 def summarize(
     docs: DataFrame,
-    summarizer: Callable[[str, int, int], str] | None = None,
+    make_summarizer: Callable[[], Callable[[list[str], int, int], list[str]]] | None = None,
     k: int = 1024,
 ) -> DataFrame:
     """Summary of each document: chunk, summarise each chunk, join.
 
-    Without a ``summarizer`` each chunk gives its sentence of highest mean tf-idf weight, with
+    Without a model each chunk gives its sentence of highest mean tf-idf weight, with
     document frequencies of the whole corpus.
     """
     chunks = split_chunks(docs, k)
-    if summarizer is not None:
-        return join_summaries(model_summaries(chunks, summarizer))
+    if make_summarizer is not None:
+        return join_summaries(model_summaries(chunks, make_summarizer))
     idf = fit_tfidf(term_rows(docs), docs)
     return join_summaries(extract_summaries(chunks, idf))

@@ -10,7 +10,7 @@ from rankloom.functions.text import count_terms, standard_terms
 from rankloom.functions.vectors import scaled_sum, zeros
 from rankloom.operators.pooling import mean_pool, pool_counted
 from rankloom.operators.rerank import cosine_rerank
-from rankloom.plans.joins import salted_join
+from rankloom.plans.joins import split_join
 from rankloom.plans.ranking import rounded
 from rankloom.plans.scratch import materialise
 
@@ -48,10 +48,12 @@ def fit_tfidf(terms: DataFrame, texts: DataFrame) -> DataFrame:
 def tfidf_weights(terms: DataFrame, idf: DataFrame, key: str = "doc_id") -> DataFrame:
     """Tf times idf, scaled to unit length per text: ``(key, term, weight)``.
 
-    Terms that the fit has not seen are dropped. The vocabulary is as large as the corpus makes
-    it, so the join is never a forced broadcast; common words are cut into pieces by text.
+    ``idf(term, df, idf)``. Terms that the fit has not seen are dropped. The vocabulary is as large
+    as the corpus makes it, so the join is never a forced broadcast; ``df`` tells which words are so
+    common that they have to be cut into pieces by text.
     """
-    raw = salted_join(terms, idf.select("term", "idf"), ["term"], spread_by=key).select(
+    common = idf.select("term", F.col("df").alias("rows"))
+    raw = split_join(terms, idf.select("term", "idf"), ["term"], spread_by=key, counts=common).select(
         key, "term", (F.col("tf") * F.col("idf")).alias("raw")
     )
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest lookup table, in rows, that is copied to every executor. Rows of plain lookup tables
-# are a few dozen bytes; rows of vector tables are a few kilobytes, hence the lower limit.
+# The largest table that is copied to every executor, in bytes of its values.
+BROADCAST_BYTES = 64 << 20
+# The same in rows, for tables of a few plain columns.
 BROADCAST_ROWS = 200_000
-BROADCAST_VECTOR_ROWS = 20_000
+# A key with more rows than this is cut into pieces of about so many. At most ``MOST_SPLIT`` keys
+# are cut: beyond that the limit rises with the table.
+SPLIT_ROWS = 1_000_000
+MOST_SPLIT = 100_000
 
 
 def fits(rows: int, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether a side of ``rows`` rows is small enough to be copied to every executor."""
+    """Whether ``rows`` rows of a few plain columns are small enough to be copied to every executor."""
     return rows <= limit
 
 
@@ -21,29 +26,53 @@ def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def salt_count(spark: SparkSession) -> int:
-    """How many pieces a hot key is cut into; follows the shuffle width, between 2 and 32."""
-    return max(2, min(32, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+def value_bytes(name: str, kind: T.DataType) -> Column:
+    """About how many bytes a value takes."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(name)
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+        size = 8 * F.size(name)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        size = F.octet_length(F.to_json(F.struct(name)))
+    else:
+        size = F.lit(8)
+    return F.coalesce(size, F.lit(0)) + 8
 
 
-def salted_join(
+def small_table(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the values of ``df`` take at most ``limit`` bytes; one aggregate over it."""
+    row = sum((value_bytes(f.name, f.dataType) for f in df.schema.fields), F.lit(0))
+    return (df.agg(F.sum(row.cast("long"))).first()[0] or 0) <= limit
+
+
+def split_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
     how: str = "inner",
     spread_by: str | Column = "doc_id",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Shuffle join that cuts every key of ``left`` into pieces, so a hot key cannot fill one task.
+    """Shuffle join that cuts the frequent keys of ``left``, and only those, into pieces.
 
-    ``left`` rows get a piece number from the hash of ``spread_by``; ``right``, the lookup side, is
-    repeated once per piece. Correct for inner, left, left_semi and left_anti joins.
+    ``counts(*on, rows)`` says how many rows of ``left`` each key has; without it they are counted.
+    A frequent key has as many pieces as its rows need; a row's piece follows the hash of
+    ``spread_by``, and ``right`` repeats that key once for each piece. The table of frequent keys is
+    bounded by ``MOST_SPLIT`` and broadcast. Correct for inner, left, left_semi and left_anti joins.
     """
-    pieces = salt_count(left.sparkSession)
-    cut = left.withColumn("_piece", F.pmod(F.xxhash64(spread_by), F.lit(pieces)))
-    repeated = right.withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long")))
+    if counts is None:
+        counts = left.groupBy(*on).agg(F.count("*").alias("rows"))
+    limit = F.greatest(F.lit(SPLIT_ROWS), F.coalesce((counts.agg(F.sum("rows")).scalar() / MOST_SPLIT).cast("long"), F.lit(0)))
+    frequent = F.broadcast(
+        counts.where(F.col("rows") > limit).select(*on, F.ceil(F.col("rows") / limit).cast("int").alias("_pieces"))
+    )
+    cut = left.join(frequent, on, "left").withColumn(
+        "_piece", F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_pieces")).cast("int"), F.lit(0))
+    )
+    repeated = right.join(frequent, on, "left").withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))
     )
-    return cut.join(repeated, [*on, "_piece"], how).drop("_piece")
+    return cut.drop("_pieces").join(repeated.drop("_pieces"), [*on, "_piece"], how).drop("_piece")
 
 
 def lookup_join(
@@ -52,23 +81,23 @@ def lookup_join(
     on: list[str],
     how: str = "inner",
     spread_by: str | Column = "doc_id",
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join a large table with a lookup table that is normally small.
 
-    The lookup table is counted first. Up to ``max_rows`` rows it is broadcast and ``left`` is not
-    shuffled; beyond that the join is salted on ``spread_by``.
+    The lookup table is measured first. Up to ``max_bytes`` it is broadcast and ``left`` is not
+    shuffled; beyond that frequent keys are cut into pieces (:func:`split_join`).
     """
-    if fits(right.count(), max_rows):
+    if small_table(right, max_bytes):
         return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how, spread_by)
+    return split_join(left, right, on, how, spread_by)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute by ``key`` only if the scan has fewer partitions than the cluster has cores.
+    """Deal the rows of a file scan out by ``key`` if it has fewer files than the cluster has cores.
 
-    A large table arrives in many splits and is left alone. A small single-file table would run on
-    one core; hashing it by ``key`` also spares the later shuffles on that key.
+    A large table arrives in many files and is left alone. A table in one file, and one row group,
+    would run on one core; dealing it by ``key`` also spares later shuffles on that key.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df

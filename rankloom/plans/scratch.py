@@ -9,14 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only if it is unset, a new temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
+    """This application's folder below ``spark.checkpoint.dir``.
+
+    Where no folder is set, a session in one process (``local[...]``) gets a temporary one; on a
+    cluster that is an error, because no executor could read what another one wrote.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="rankloom-")
         spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return f"{folder.rstrip('/')}/rankloom-{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all that this application has stored; call it before the session ends."""
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext
+    path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

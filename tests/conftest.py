@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parent.parent))
 
+from rankloom.plans import scratch  # noqa: E402
 from rankloom.session import local_session  # noqa: E402
 
 
@@ -13,4 +14,5 @@ def spark():
     session = local_session(8, "8g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    scratch.clear(session)
     session.stop()

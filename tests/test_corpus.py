@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankloom.functions import vectors
-from rankloom.operators import pooling, prepare, summarize, tfidf
+from rankloom.operators import phrases, pooling, prepare, summarize, tfidf
 from rankloom.sources import corpus, reports, topics, triples, word_vectors
 
 
@@ -154,12 +154,38 @@ def test_summaries(spark):
     )
     got = {r.doc_id: r.summary for r in summarize.summarize(docs).collect()}
     assert got == {1: "rare words here", 2: "car", 3: ""}
-    model = summarize.summarize(docs, lambda text, longest, shortest: text[:3], k=4)
+    model = summarize.summarize(docs, lambda: lambda texts, longest, shortest: [t[:3] for t in texts], k=4)
     assert {r.doc_id: r.summary for r in model.collect()}[2] == "car"
     chunks = model.where("doc_id = 1").first()
     assert chunks.summary == " ".join(chunks.summary_chunks)
 
 
+def test_null_texts_have_summaries(spark):
+    docs = spark.createDataFrame([(1, None), (2, "car")], "doc_id long, content string")
+    assert {r.doc_id: r.summary for r in summarize.summarize(docs).collect()} == {1: "", 2: "car"}
+
+
+def test_models_are_loaded_once_and_called_with_lists(spark, tmp_path):
+    log = str(tmp_path / "loads")
+
+    def load():
+        with open(log, "a") as file:
+            file.write("x")
+        return lambda texts, longest, shortest: [f"{len(texts)}" for _ in texts]
+
+    chunks = spark.range(0, 100, 1, 1).selectExpr("id AS doc_id", "0 AS chunk_no", "IF(id % 10 = 0, NULL, 'text') AS chunk")
+    rows = summarize.model_summaries(chunks, load, batch_size=40).collect()
+    assert {r.summary for r in rows if r.doc_id % 10} == {"40", "10"} and all(r.summary is None for r in rows if r.doc_id % 10 == 0)
+    assert len(open(log).read()) == 1
+
+
+def test_canonical_terms(spark):
+    terms = spark.createDataFrame([(1, "cars", 2), (1, "car", 1), (2, "bus", 1)], "doc_id long, term string, tf int")
+    canonical = spark.createDataFrame([("cars", "car")], "term string, canonical string")
+    found = {(r.doc_id, r.term): r.tf for r in phrases.canonical_terms(terms, canonical).collect()}
+    assert found == {(1, "car"): 3, (2, "bus"): 1}
+
+
 def test_prepared_records(spark):
     docs = spark.createDataFrame([(1, "t", "a", "c", "690-1", "2001/01/01", "s. u.")], "doc_id long, title string, author string, content string, annotation string, published_date string, summary string")
     vecs = spark.createDataFrame([(1, 1, [2.0]), (1, 0, [1.0])], "doc_id long, chunk_no int, vec array<double>")

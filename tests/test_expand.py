@@ -79,6 +79,14 @@ def test_closure_of_a_deep_chain(spark):
     assert graph.subclasses(roots, edges).count() == 7
 
 
+def test_large_classes_are_cut_before_the_join(spark):
+    members = spark.range(500).select(F.format_string("Q1%04d", "id").alias("entity"), F.lit("Q3").alias("class"))
+    labels = spark.createDataFrame([("Q3", "big class", None)], "entity string, label string, description string")
+    none = spark.createDataFrame([], "class string, parent string")
+    found = graph.phrase_entities(spark.createDataFrame([("big class",)], "phrase string"), members, none, labels, 50)
+    assert sorted(r.entity for r in found.collect()) == [f"Q1{i:04d}" for i in range(50)]
+
+
 def test_graph_expansion(spark):
     queries = spark.createDataFrame([("q", "about red cars"), ("r", "nothing")], "query_id string, query_text string")
     lexicon = spark.createDataFrame([("red", "ADJ"), ("cars", "NOUN")], "term string, tag string")

@@ -140,8 +140,54 @@ def test_tokenizer_fields():
         report.tokenizer_field("ngram")
 
 
-def test_ordinals_follow_the_file(spark, tmp_path):
-    spark.range(0, 100, 1, 1).selectExpr("CAST(id * 7 AS STRING) AS value").write.text(str(tmp_path / "t"))
-    read = spark.read.text(str(tmp_path / "t"))
-    got = {r.value: r.ordinal for r in index.with_ordinal(read).collect()}
-    assert got == {str(i * 7): i for i in range(100)}
+def test_ordinals_follow_files_and_rows(spark, tmp_path, monkeypatch):
+    folder, start = tmp_path / "t", 0
+    folder.mkdir()
+    for name, rows in (("a", 10), ("b", 2_990), ("c", 30_000)):
+        (folder / f"part-{name}.txt").write_text("".join(f"{i}\n" for i in range(start, start + rows)))
+        start += rows
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("40000", old):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            read = index.with_ordinal(spark.read.text(str(folder)))
+            assert read.where(F.col("value").cast("long") != F.col("ordinal")).isEmpty()
+            assert read.count() == start
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_hits_without_a_document_stay(spark):
+    hits = spark.createDataFrame([("q", 1, 3.0, 1), ("q", 99, 2.0, 2), ("q", 2, 1.0, 3)], "query_id string, doc_id long, score double, rank int")
+    queries = spark.createDataFrame([("q", "690")], "query_id string, topic_id string")
+    docs = spark.createDataFrame([(1, "690-2", "t", "c"), (2, "690-1", "t", "c")], "doc_id long, annotation string, title string, content string")
+    judged = evaluate.judge(hits, queries, docs).orderBy("rank").collect()
+    assert [(r.doc_id, r.grade) for r in judged] == [(1, 2), (99, 0), (2, 1)]
+    shown = report.enriched_hits(hits, queries, docs, 2).orderBy("rank").collect()
+    assert [(r.doc_id, r.title, r.grade) for r in shown] == [(1, "t", 2), (99, None, 0)]
+
+
+def test_average_precision_of_a_grid_runs_over_all_hits(spark):
+    hits = spark.range(1, 31).select(
+        F.lit("q").alias("query_id"), F.col("id").alias("doc_id"), (-F.col("id")).cast("double").alias("score"), F.col("id").cast("int").alias("rank")
+    )
+    queries = spark.createDataFrame([("q", "690", "title")], "query_id string, topic_id string, query_type string")
+    docs = spark.createDataFrame([(1, "690-1"), (25, "690-2")], "doc_id long, annotation string")
+    row = evaluate.score_grid({"bm": hits}, queries, docs, 20).first()
+    assert row.ap == pytest.approx((1 + 2 / 25) / 2) and row.prec == pytest.approx(1 / 20)
+    assert evaluate.score_grid({"bm": hits}, queries, docs, 20, depth=20).first().ap == 1.0
+
+
+def test_a_stored_index_has_its_statistics(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "red car red"), (2, "blue car"), (3, "")], "doc_id long, content string")
+    for name in ("first", "second"):  # the second build replaces the first
+        index.write_index(docs, ["content"], "small_index", str(tmp_path / name), 2)
+    stored = index.read_index(spark, "small_index")
+    assert {(r.term, r.df) for r in stored.term_stats.collect()} == {("red", 1), ("blue", 1), ("car", 2)}
+    queries = spark.createDataFrame([("a", "red car")], "query_id string, query_text string")
+    lazy = search.bm25_search(index.build_index(docs, ["content"]), queries).collect()
+    assert search.bm25_search(stored, queries).collect() == lazy and len(lazy) == 2
+    scores = search.bm25_scores(stored, queries, ["content"])
+    scores.collect()
+    plan = scores._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan")[0]
+    assert plan.count("small_index_postings") == 1
