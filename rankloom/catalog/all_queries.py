@@ -2,6 +2,7 @@
 
 from rankloom.catalog import (  # noqa: F401
     corpus_queries,
+    evaluation_queries,
     expand_queries,
     report_queries,
     search_queries,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankloom.catalog import inputs as I
 from rankloom.catalog.registry import query
-from rankloom.catalog.search_queries import PAGE_VIEWS, UNION_VIEWS, content_hits, r6, united_hits
+from rankloom.catalog.search_queries import METRICS_SQL, PAGE_VIEWS, UNION_VIEWS, content_hits, r6, united_hits
 from rankloom.catalog.views import norm_terms, pooled, rank, tok, with_views
 from rankloom.functions import vectors
 from rankloom.functions.text import count_terms, normalized_terms, standard_terms
@@ -443,3 +443,34 @@ def result_page(spark, d):
     hits = search.bm25_search(I.content_index(spark, d), queries, "content", 16)
     ranked = rerank.chunk_rerank(hits, I.chunk_vectors(spark, d), I.query_vectors(spark, d))
     return report.enriched_hits(report.page(ranked, 0), queries, I.corpus(spark, d), 8)
+
+
+PAGE_SCORE_VIEWS = {
+    "page_results": """
+        SELECT query_id, doc_id, rank FROM content_hits WHERE rank <= 16 AND NOT starts_with(query_id, '7-')
+        UNION ALL SELECT query_id, doc_id, rank FROM title_hits WHERE rank <= 16 AND starts_with(query_id, '7-')""",
+    "page_judged": """
+        SELECT r.query_id, r.rank, coalesce(a.grade, 0) AS grade
+        FROM page_results r JOIN queries q ON q.query_id = r.query_id
+        LEFT JOIN annotated a ON a.doc_id = r.doc_id AND a.topic_id = q.topic_id""",
+    "page_metrics": METRICS_SQL.format(judged="page_judged").replace("<= 20", "<= 8").replace("20.0", "8.0"),
+}
+
+
+@query("C6 A6 A7 A19 W3 P9", with_views("""
+    SELECT q.query_id, CAST(coalesce(m.n_hits, 0) AS BIGINT) AS n_hits, CAST(coalesce(m.n_hits, 0) // 8 AS BIGINT) AS max_pages,
+           round(CAST(coalesce(m.prec, 0) AS DOUBLE), 6) AS prec, round(coalesce(m.ap, 0), 6) AS ap,
+           round(CASE WHEN coalesce(m.best, 0) = 0 THEN 0.0 ELSE m.dcg / m.best END, 6) AS ndcg,
+           round(CASE WHEN coalesce(m.best_page, 0) = 0 THEN 0.0 ELSE CAST(m.page AS DOUBLE) / CAST(m.best_page AS DOUBLE) END, 6)
+               AS first_page_ratio
+    FROM queries q LEFT JOIN page_metrics m ON m.query_id = q.query_id""", PAGE_SCORE_VIEWS))
+def result_page_scores(spark, d):
+    """What stands beside the hits of a page: metrics, number of hits and last page; the field goes by topic."""
+    queries, both = report.search_fields(I.queries(spark, d), ["7"], special="title"), ["content", "title"]
+    hits = materialise(search.bm25_search(I.content_index(spark, d, *both), queries, both, 16), "hits")
+    scores = evaluate.score(evaluate.judge(hits, queries, I.corpus(spark, d)), queries, k=8)
+    counts = report.result_counts(hits).select("query_id", "max_pages")
+    return scores.join(counts, "query_id", "left").select(
+        "query_id", "n_hits", F.coalesce("max_pages", F.lit(0)).cast("long").alias("max_pages"),
+        r6("prec"), r6("ap"), r6("ndcg"), r6("first_page_ratio"),
+    )
