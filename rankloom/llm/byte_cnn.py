@@ -76,16 +76,37 @@ def responses(w: Weights, padded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return steps, found
 
 
-def probabilities(w: Weights, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """One probability for each text. An empty text is a chunk of padding."""
-    if len(offsets) < 2:
-        return np.zeros(0)
+def chunk_sums(w: Weights, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the chunks' pooled values, and the number of chunks, of each text."""
     at = layout(data, offsets)
     _, found = responses(w, at.padded)
     edges = np.stack([at.chunk_starts, at.chunk_ends], axis=1).ravel()
     pooled = np.maximum(np.maximum.reduceat(found, edges, axis=0)[::2] + w.bias, 0)
     counts = np.diff(np.append(at.first_chunk, len(pooled)))[:, None]
-    means = np.add.reduceat(pooled, at.first_chunk, axis=0) / counts
+    return np.add.reduceat(pooled, at.first_chunk, axis=0), counts
+
+
+def long_chunk_sums(w: Weights, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``chunk_sums`` for one long text, a bounded stretch of whole chunks at a time."""
+    positions = -(-(len(data) - WIDTH) // STEP) + 1
+    chunks = -(-(positions - CHUNK) // HOP) + 1
+    step = SLICE_BYTES // (HOP * STEP)
+    sums = []
+    for first in range(0, chunks, step):
+        last = min(first + step, chunks)
+        end = min((last - 1) * HOP + CHUNK, positions)
+        part = data[first * HOP * STEP : (end - 1) * STEP + WIDTH]
+        sums.append(chunk_sums(w, part, np.array([0, len(part)]))[0])
+    return np.sum(sums, axis=0), np.array([[chunks]])
+
+
+def probabilities(w: Weights, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """One probability for each text. An empty text is a chunk of padding."""
+    if len(offsets) < 2:
+        return np.zeros(0)
+    alone = len(offsets) == 2 and len(data) > SLICE_BYTES
+    sums, counts = long_chunk_sums(w, data) if alone else chunk_sums(w, data, offsets)
+    means = sums / counts
     logits = (means @ w.out + w.offset[0]).astype(np.float64)
     return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
 

@@ -152,6 +152,9 @@ def judge(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep: tup
         repeated_words(F.col("pairs")).alias("n_repeat_words"),
         F.when(n > 0, total / (2 * n)).otherwise(F.lit(0.0)).alias("score"),
     )
+    # Counting here keeps a filter on the result from being moved below, where it would make the
+    # hashes anew for every element.
+    figures = figures.observe("ngram_rules", F.count("*").alias("documents"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return figures.select(
         *[F.col(f"_{c}").alias(c) for c in keep],

@@ -13,6 +13,8 @@ WHITE[list(b" \t\n\v\f\r")] = True
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 # Coefficients of the hashes: any odd numbers would do, the same ones everywhere.
 BASE = np.uint64(0x9E3779B97F4A7C15)
+# A longer text is hashed a stretch at a time.
+STRETCH_BYTES = 4 << 20
 BYTE_VALUES = batches.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
@@ -36,6 +38,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     """Hashes of the words of all texts, A-Z lower-cased, and the words before each text's start."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    if len(offsets) == 2 and len(data) > STRETCH_BYTES:
+        return long_word_hashes(data)
     solid = ~WHITE[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
@@ -47,6 +51,22 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return range_hashes(LOWER[data], first, np.flatnonzero(ends) + 1), np.searchsorted(first, offsets)
 
 
+def long_word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``word_hashes`` of one long text, in stretches that end before white space."""
+    found, start = [], 0
+    while start < len(data):
+        end = min(start + STRETCH_BYTES, len(data))
+        while end < len(data) and not WHITE[data[end]]:
+            end += 1
+        part = data[start:end]
+        first = np.flatnonzero(~WHITE[part] & np.append(True, WHITE[part[:-1]]))
+        last = np.flatnonzero(~WHITE[part] & np.append(WHITE[part[1:]], True)) + 1
+        found.append(range_hashes(LOWER[part], first, last))
+        start = end
+    words = np.concatenate(found)
+    return words, np.array([0, len(words)])
+
+
 def sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Each text's distinct shingles, sorted, in a row, and where each set starts and ends.
 

@@ -43,7 +43,18 @@ class Coded(NamedTuple):
 
 
 def encode(ids: np.ndarray) -> Coded:
-    """Code any unsigned 32-bit ids; the inverse of ``decode``."""
+    """Code any unsigned 32-bit ids; the inverse of ``decode``. Works on a bounded stretch at a time."""
+    parts = [encode_stretch(ids[at : at + BLOCK_IDS]) for at in range(0, max(len(ids), 1), BLOCK_IDS)]
+    words_before = np.cumsum([0, *(len(p.words) for p in parts[:-1])])
+    return Coded(
+        np.concatenate([p.words for p in parts]),
+        np.concatenate([p.frames + b for p, b in zip(parts, words_before)]).astype(np.uint32),
+        np.concatenate([p.escape_at + i * BLOCK_IDS for i, p in enumerate(parts)]).astype(np.uint32),
+        np.concatenate([p.escaped for p in parts]),
+    )
+
+
+def encode_stretch(ids: np.ndarray) -> Coded:
     ids = ids.astype(np.uint64)
     wide = np.flatnonzero(ids >> np.uint64(ESCAPE_BITS))
     escaped = ids[wide].astype(np.uint32)

@@ -106,7 +106,12 @@ def rate(shares: Column, plan: Plan) -> Column:
         return F.lit(1.0)
     steps = ";".join(",".join(repr(x) for x in pull) for pull in plan.pulls)
     each = F.transform(F.split(F.lit(steps), ";"), lambda s: F.split(s, ",").cast("array<double>"))
-    return F.round(F.aggregate(each, F.lit(1.0), lambda r, e: step(r, dot(shares, e), plan.highest)), 6)
+
+    def replayed(known: Column) -> Column:
+        return F.aggregate(each, F.lit(1.0), lambda r, e: step(r, dot(known, e), plan.highest))
+
+    # The posterior is bound once; inside the steps it would be made anew for each.
+    return F.round(F.get(F.transform(F.array(shares), replayed), F.lit(0)), 6)
 
 
 def solve(scored: DataFrame, names: tuple[str, ...], weights: dict[str, float], total: float | None = None, highest: float | None = None) -> Plan:

@@ -87,11 +87,21 @@ def anchored(data: np.ndarray, offsets: np.ndarray, buckets: int) -> Runs:
 
 
 def block_slices(table: pa.Table):
-    """Slices of a block's rows: ids, bytes and offsets."""
+    """Slices of a block's rows: ids, bytes and offsets. A long text is a slice of its own."""
     for part in batches.slices(iter(table.combine_chunks().to_batches()), limit=SLICE_BYTES):
         yield part.column("doc_id").to_numpy(), *batches.bytes_and_offsets(batches.text_of(part))
 
 
+def pieces(data: np.ndarray, offsets: np.ndarray):
+    """A slice as it is; one long text in pieces that hold each of its windows once, and their places."""
+    if len(offsets) != 2 or len(data) <= SLICE_BYTES:
+        yield 0, data, offsets
+        return
+    for start in range(0, len(data) - WINDOW + 1, SLICE_BYTES):
+        piece = data[start : start + SLICE_BYTES + WINDOW - 1]
+        yield start, piece, np.array([0, len(piece)])
+
+
 def context_hashes(data: np.ndarray, runs: Runs) -> np.ndarray:
     """Hashes of the text that a run's windows cover, with the anchor's place in it."""
     found = shingles.range_hashes(data, runs.first, runs.last + WINDOW)
@@ -141,7 +151,7 @@ FINDINGS = "block long, hashes binary, contexts binary, spans binary, docs binar
 def send_hashes(buckets: int):
     def send(key: tuple, table: pa.Table) -> pa.Table:
         codes, least, most = [], [], []
-        for ids, data, offsets in block_slices(table):
+        for ids, data, offsets in ((i, d, o) for i, *whole in block_slices(table) for _, d, o in pieces(*whole)):
             runs = anchored(data, offsets, buckets)
             order, starts = grouped(runs.code)
             if len(starts):
@@ -193,7 +203,7 @@ def send_contexts(buckets: int):
         ]
         codes = np.sort(np.concatenate(wanted)) if wanted else np.zeros(0, np.uint64)
         parts: list[tuple] = []
-        for ids, data, offsets in block_slices(table) if len(codes) else ():
+        for ids, data, offsets in ((i, d, o) for i, *whole in block_slices(table) for _, d, o in pieces(*whole)):
             runs = chosen(anchored(data, offsets, buckets), codes)
             if not len(runs.code):
                 continue
@@ -300,18 +310,18 @@ def remove(buckets: int):
         out: dict[str, list] = {"doc_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
         for ids, data, offsets in block_slices(table):
             cover = np.zeros(len(data) + 1, np.int32)
-            if len(codes):
-                runs = chosen(anchored(data, offsets, buckets), codes)
-                wanted = batches.mix(runs.code) + context_hashes(data, runs)
+            for place, piece, edges in pieces(data, offsets) if len(codes) else ():
+                runs = chosen(anchored(piece, edges, buckets), codes)
+                wanted = batches.mix(runs.code) + context_hashes(piece, runs)
                 a, b = np.searchsorted(told, wanted), np.searchsorted(told, wanted, side="right")
                 pick = np.repeat(np.arange(len(wanted)), b - a)
                 found = batches.gather(a, b - a)
                 own = ids[runs.doc[pick]] > holder[found]
                 pick, found = pick[own], found[own]
-                anchor = runs.anchor[pick]
+                anchor = place + runs.anchor[pick]
                 np.add.at(cover, anchor - spans[found, 1], 1)
                 np.add.at(cover, anchor - spans[found, 0] + WINDOW, -1)
-            gone = np.cumsum(cover[:-1]) > 0
+            gone = np.cumsum(cover[:-1], dtype=np.int32) > 0
             out["doc_id"] += ids.tolist()
             for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
                 mask = gone[start:end]

@@ -152,9 +152,32 @@ def encoder(file: str) -> WordEncoder:
     return WordEncoder(file)
 
 
+def cut_at_space(texts: pa.LargeStringArray) -> Iterator[pa.LargeStringArray]:
+    """One text in pieces of about ``SLICE_BYTES``, cut before white space; longer ones where there is none."""
+    data, _ = batches.bytes_and_offsets(texts)
+    start = 0
+    while len(data) - start > SLICE_BYTES:
+        end = start + SLICE_BYTES
+        while end < len(data):
+            white = np.flatnonzero(CLASSES[data[end : end + SLICE_BYTES]] == 0)
+            if len(white):
+                end += int(white[0])
+                break
+            end = min(end + SLICE_BYTES, len(data))
+        yield pa.array([data[start:end].tobytes()], pa.large_binary()).cast(pa.large_string())
+        start = end
+    yield pa.array([data[start:].tobytes()], pa.large_binary()).cast(pa.large_string())
+
+
 def encoded(rows: Iterator[pa.RecordBatch], file: str, end_id: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """For each slice of rows: the slice, its ids with ``end_id`` behind every text, and counts with it."""
     coder = encoder(file)
     for part in batches.slices(rows, limit=SLICE_BYTES):
-        ids, counts = coder.encode(batches.text_of(part))
+        texts = batches.text_of(part)
+        if coder.by_word and len(texts) == 1:
+            found = [coder.encode(piece)[0] for piece in cut_at_space(texts)]
+            ids = np.concatenate(found)
+            counts = np.array([len(ids)])
+        else:
+            ids, counts = coder.encode(texts)
         yield part, np.insert(ids, np.cumsum(counts), end_id), counts + 1

@@ -5,9 +5,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
-from rankloom.llm import components, deep_shallow, suffix_dedup, tensored_minhash
+from rankloom.llm import batches, components, deep_shallow, shingles, suffix_dedup, tensored_minhash
 
 
 def removed_by_force(rows):
@@ -55,6 +57,35 @@ def test_suffix_dedup_equals_force(spark, seed):
     assert sorted((tuple(r) for r in found), key=str) == removed_by_force(rows)
 
 
+def test_suffix_dedup_of_long_texts(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 90)  # the steps run in this process
+    rows = [(i, t) for i, t in repeated_texts(3) if i is not None]
+    wanted = removed_by_force(rows)
+    tables = {}
+    for i, t in rows:
+        tables.setdefault(i % 3, []).append((i, t or ""))
+    blocks = {b: pa.table({"doc_id": [i for i, _ in r], "text": [t for _, t in r]}) for b, r in tables.items()}
+    key = lambda k: (pa.scalar(k),)
+
+    def by(name, made):
+        whole = pa.concat_tables(made)
+        return {k: whole.filter(pc.equal(whole[name], k)) for k in set(whole[name].to_pylist())}, whole.slice(0, 0)
+
+    hashes, _ = by("bucket", [suffix_dedup.send_hashes(5)(key(b), t) for b, t in blocks.items()])
+    common, none = by("block", [suffix_dedup.find_common(key(b), t) for b, t in hashes.items()])
+    sent, _ = by("bucket", [suffix_dedup.send_contexts(5)(key(b), t, common.get(b, none)) for b, t in blocks.items()])
+    back, none = by("block", [suffix_dedup.smallest_holders(key(b), t) for b, t in sent.items()])
+    result = pa.concat_tables([suffix_dedup.remove(5)(key(b), t, back.get(b, none)) for b, t in blocks.items()])
+    assert sorted((tuple(r.values()) for r in result.to_pylist()), key=str) == wanted
+
+
+def test_long_texts_have_the_same_sets(monkeypatch):
+    data, edges = batches.bytes_and_offsets(pa.array([" ".join(f"Word{i % 97} \n x" for i in range(3000))], pa.large_string()))
+    plain, _ = shingles.sets(data, edges, 3)
+    monkeypatch.setattr(shingles, "STRETCH_BYTES", 100)
+    assert (shingles.sets(data, edges, 3)[0] == plain).all() and len(plain) > 90
+
+
 def test_suffix_dedup_of_nothing(spark):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).isEmpty()
 

@@ -41,6 +41,17 @@ def test_network_covers_whole_texts():
     assert np.allclose(found, [plain_probability(w, t.encode()) for t in texts], atol=1e-5)
 
 
+def test_long_texts_are_scored_in_stretches(monkeypatch):
+    w = byte_cnn.start(4)
+    data = np.frombuffer(b"some long text ### " * 700, np.uint8)
+    for size in (5000, 13_300, 448 * 9 + 64, 448 * 9 + 65):
+        edges = np.array([0, size])
+        monkeypatch.setattr(byte_cnn, "SLICE_BYTES", 1 << 19)
+        whole = byte_cnn.probabilities(w, data[:size], edges)
+        monkeypatch.setattr(byte_cnn, "SLICE_BYTES", 1000)
+        assert np.allclose(byte_cnn.probabilities(w, data[:size], edges), whole, atol=1e-6)
+
+
 def test_network_gradient():
     w = byte_cnn.start(5)
     texts = pa.array(["good words here and there", "bad ### words " * 60, "x"], pa.large_string())

@@ -68,6 +68,16 @@ def test_ids_by_word_equal_the_library(monkeypatch, memory):
             assert ids[edges[i] : edges[i + 1]].tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_long_texts_are_cut_at_white_space(monkeypatch):
+    file = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["It's a long text. " * 200, "x" * 500 + " y " + "z" * 700, "", "a\u3000b" * 90]
+    rows = [pa.record_batch({"text": pa.array(texts)})]
+    whole = [ids.tolist() for _, ids, _ in word_ids.encoded(iter(rows), file, 7)]
+    monkeypatch.setattr(word_ids, "SLICE_BYTES", 64)
+    cut = [ids.tolist() for _, ids, _ in word_ids.encoded(iter(rows), file, 7)]
+    assert len(cut) > 2 and sum(cut, []) == sum(whole, [])
+
+
 def test_other_tokenizers_are_run_text_by_text():
     coder = word_ids.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
     assert not coder.by_word
@@ -112,13 +122,15 @@ def test_token_files_round_trip(spark, docs, tmp_path):
 
 @pytest.mark.parametrize("n", [0, 1, 239, 1023, 1024, 1025, 7000])
 @pytest.mark.parametrize("top", [1, 2, 300, 49408, 1 << 20, 1 << 32])
-def test_simple8b_is_exact(n, top):
+def test_simple8b_is_exact(monkeypatch, n, top):
     rng = np.random.default_rng(n)
     ids = rng.integers(0, top, n, dtype=np.uint64).astype(np.uint32)
     ids[n // 3 : n // 2] = 0
     ids[n // 2 : n // 2 + 1] = (1 << 32) - 1
     coded = simple8b.encode(ids)
     assert (simple8b.decode(coded, n) == ids).all()
+    monkeypatch.setattr(simple8b, "BLOCK_IDS", 2048)
+    assert all((a == b).all() for a, b in zip(simple8b.encode(ids), coded, strict=True))
     if n > 1000 and top == 300:
         assert len(coded.words) * 8 < 2 * n
 
