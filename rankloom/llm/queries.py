@@ -39,6 +39,28 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+SQL["op2_suffix_dedup"] = r"""
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents
+), w AS (
+  SELECT doc_id, p, substring(t, 2 * p + 1, 100) AS s
+  FROM (SELECT doc_id, t, unnest(range(0, len(t) // 2 - 49)) AS p FROM h)
+), m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s
+), g AS (SELECT w.doc_id, w.p FROM w JOIN m ON m.s = w.s WHERE m.least < w.doc_id
+), f AS (
+  SELECT doc_id, p, sum(CASE WHEN p <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS span
+  FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM g)
+), spans AS (SELECT doc_id, span, min(p) AS a, max(p) + 50 AS z FROM f GROUP BY doc_id, span
+), gaps AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS k, a AS e, z - a AS gone FROM spans
+  UNION ALL SELECT h.doc_id, coalesce(max(s.z), 0), any_value(len(h.t) // 2), 0 FROM h LEFT JOIN spans s ON s.doc_id = h.doc_id GROUP BY h.doc_id
+)
+SELECT h.doc_id, CAST(any_value(len(h.t) // 2) AS BIGINT) AS n_bytes, CAST(sum(gone) AS BIGINT) AS n_removed,
+       CAST(count(*) FILTER (WHERE gone > 0) AS BIGINT) AS n_spans,
+       sha256(unhex(string_agg(substring(h.t, 2 * k + 1, 2 * (e - k)), '' ORDER BY k))) AS kept_sha256
+FROM h JOIN gaps ON gaps.doc_id = h.doc_id GROUP BY h.doc_id
+"""
+
+
 @query
 def op3_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = table(spark, sf_dir, "embeddings").select(
@@ -88,6 +110,27 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tensored_minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+SQL["op8_near_duplicates"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS t FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 3 THEN [array_to_string(t, ' ')]
+    ELSE list_transform(range(1, len(t) - 1), lambda i: concat(t[i], ' ', t[i + 1], ' ', t[i + 2])) END) AS shingle FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * i >= 85 * (a.n + b.n - i)
+), e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+), r AS (
+  SELECT doc_id, doc_id AS reached FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached
+), c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept
+FROM documents d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
