@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.annotations import has_topic_prefix
+from rankloom.operators.pooling import encode
 from rankloom.operators.summarize import sentences
 
 
@@ -50,3 +54,22 @@ def summary_sentences(docs: DataFrame) -> DataFrame:
     return docs.select(
         "doc_id", F.posexplode(sentences(F.col("summary"))).alias("sentence_no", "sentence")
     )
+
+
+def encoded_summaries(
+    docs: DataFrame,
+    make_predict_fn: Callable[[], Callable[[np.ndarray], np.ndarray]],
+    batch_size: int = 256,
+) -> DataFrame:
+    """Add ``summary_vector``: the vector of each sentence of ``summary``, in order.
+
+    Sentences are encoded in batches across documents, then gathered by document; the other columns
+    of ``docs`` wait for them in a join on ``doc_id``.
+    """
+    encoded = encode(summary_sentences(docs), make_predict_fn, "sentence", batch_size)
+    vectors = encoded.select("doc_id", F.col("sentence_no").alias("chunk_no"), "vec").groupBy("doc_id").agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("chunk_no", "vec"))), lambda c: c["vec"]
+        ).alias("summary_vector")
+    )
+    return docs.join(vectors, "doc_id", "left")
