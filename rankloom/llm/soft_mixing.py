@@ -182,7 +182,7 @@ def resample(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anch
     ``surplus`` times above what it has, so its documents reach rate 1 and stay.
     """
     domains = fit_domains(docs, labels, tuple(sorted(weights)))
-    scored = posteriors(docs, domains)
+    scored = posteriors(docs.select(F.struct(*docs.columns).alias("row"), "text"), domains)
     held = scratch.materialise(scored.select("_tokens", "_shares"), "mixing-posteriors")
     if anchor not in domains.names:
         return docs
@@ -190,5 +190,5 @@ def resample(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anch
     own = held.agg(F.sum(F.col("_tokens") * F.get("_shares", F.lit(at)) / UNITS)).first()[0] or 0.0
     share = weights[anchor] / (sum(weights.get(n, 0.0) for n in domains.names) or 1.0)
     plan = solve(held, domains.names, weights, surplus * own / share if share else None, 1.0)
-    used = copies(rate(F.col("_shares"), plan), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return scored.where(used >= 1).select(*docs.columns)
+    used = copies(rate(F.col("_shares"), plan), F.coalesce(F.col("row")["doc_id"].cast("string"), F.lit("")))
+    return scored.where(used >= 1).select("row.*")

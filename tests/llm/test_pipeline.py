@@ -103,7 +103,7 @@ def test_stages_take_odd_tables(spark, tmp_path):
     odd = spark.createDataFrame(
         [(1, None, "en", None, None), (None, "words " * 80, None, "s", 3), (2, "", "en", "s", 0), (3, "a b", "en", "s", 3), (3, "a b", "en", "s", 3)],
         "doc_id long, text string, lang string, source string, n_chars long",
-    ).withColumn("n_words", F.lit("clash")).withColumn("score", F.lit(1))
+    ).withColumn("n_words", F.lit("clash")).withColumn("score", F.lit(1)).withColumn("_tokens", F.lit(2)).withColumn("_words", F.lit("w")).withColumn("set", F.lit("s"))
     for docs in (odd, odd.limit(0)):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             made = stage(spark, docs, str(tmp_path))
