@@ -28,6 +28,8 @@ FRAME = 1024
 ESCAPE_BITS = 20
 # A block ends behind the document that brings it to so many ids.
 BLOCK_IDS = 1 << 17
+# Bounds of the encoder: a task here also holds the sorted shuffle of the texts.
+REMEMBER, SLICE_BYTES = 250_000, 2 << 20
 WIDTHS = np.zeros(1 << ESCAPE_BITS, np.uint8)
 for _bit in range(ESCAPE_BITS):
     WIDTHS[1 << _bit :] += 1
@@ -149,7 +151,7 @@ def coded_blocks(docs: DataFrame, file: str, end_id: int) -> DataFrame:
 
     def made(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, before = TaskContext.get().partitionId(), 0, 0
-        for batch, ids, counts in word_ids.encoded(rows, file, end_id):
+        for batch, ids, counts in word_ids.encoded(rows, file, end_id, REMEMBER, SLICE_BYTES):
             ends = np.cumsum(counts)
             doc_ids = batch.column("doc_id")
             first = 0
