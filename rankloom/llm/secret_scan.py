@@ -30,12 +30,14 @@ KINDS = ("assign", "access", "hex", "guess")
 
 # Context in which a value is a credential; wider than ASSIGN in its names and characters.
 CONTEXT = re.compile(
-    r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)|pwd|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key)["']?\x20*(?::|=|\x20is\x20)\x20*["']?([^\s"'<>,;]{6,128})""",
+    r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)|pwd|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key)["']?\x20*(?::|=|\x20is\x20)\x20*["']?([^\s"'<>,;]{6,})""",
     re.IGNORECASE | re.ASCII,
 )
 NAMES = re.compile("pass|pwd|secret|token|key|credential", re.IGNORECASE | re.ASCII)
 # Log10 of the guesses from which a value counts as a secret.
 HARD = 8.0
+# Values up to here are priced in full and remembered; of longer ones only the verdict is worked out.
+PRICED = 128
 
 # Common words of passwords, most common first; the rank is the cost. Fixed values.
 WORDS = (
@@ -64,19 +66,23 @@ def alphabet(value: str) -> int:
     return size + 33 * any(not c.isalnum() for c in value) or 1
 
 
+def words_and_dates(value: str, small: str, plain: str, i: int) -> Iterator[tuple[int, int, float]]:
+    for j in range(i + 3, min(len(value), i + LONGEST_WORD) + 1):
+        rank = RANKS.get(small[i:j]) or RANKS.get(plain[i:j])
+        if rank:
+            twisted = (small[i:j] not in RANKS) + (value[i:j] != small[i:j])
+            yield i, j, math.log10(2 * rank) + 0.7 * twisted
+    if found := DATE.match(value, i):
+        yield i, found.end(), math.log10(366 * 120) if found.end() - i > 4 else math.log10(120)
+
+
 def spans(value: str) -> Iterator[tuple[int, int, float]]:
     """Spans ``(start, end, cost)`` that are cheaper to guess than by brute force."""
     small = value.lower()
     plain = small.translate(PLAIN)
     n = len(value)
     for i in range(n):
-        for j in range(i + 3, min(n, i + LONGEST_WORD) + 1):
-            rank = RANKS.get(small[i:j]) or RANKS.get(plain[i:j])
-            if rank:
-                twisted = (small[i:j] not in RANKS) + (value[i:j] != small[i:j])
-                yield i, j, math.log10(2 * rank) + 0.7 * twisted
-        if found := DATE.match(value, i):
-            yield i, found.end(), math.log10(366 * 120) if found.end() - i > 4 else math.log10(120)
+        yield from words_and_dates(value, small, plain, i)
         for size in range(1, 5):
             j = i + size
             while value[j : j + size] == value[i : i + size] and j + size <= n:
@@ -110,6 +116,64 @@ def guess_cost(value: str) -> float:
     return min(cheapest[n])
 
 
+def long_is_hard(value: str, hard: float) -> bool:
+    """``guess_cost(value) >= hard``, in time and memory that stay in proportion to the length.
+
+    Only costs below ``hard`` are carried on. When none is left, no further characters can bring the
+    value below ``hard``, and the rest is not priced.
+    """
+    n, joint, single = len(value), math.log10(2), math.log10(alphabet(value))
+    small = value.lower()
+    plain = small.translate(PLAIN)
+    ahead: dict[int, float] = {}  # the cheapest span by its end
+    furthest = 0
+    span, brute = 0.0, math.inf
+    same = [0] * 5  # up to where each character equals the one ``size`` places on
+    walks: list[tuple[int, float]] = []  # starts in the present keyboard walk, and the cost up to there
+    twisted = -1  # the last capital
+    for i in range(n + 1):
+        if i:
+            brute = min(brute + single, span + single + joint)
+            span = ahead.pop(i, math.inf)
+            if value[i - 1] != small[i - 1]:
+                twisted = i - 1
+            for start, cost in walks:
+                if i - start >= 3:
+                    span = min(span, cost + (math.log10(50) + math.log10(i - start) + 0.3 * (twisted >= start)) + joint)
+            if i < n and (small[i - 1], small[i]) not in NEXT:
+                walks = []
+            walks = [w for w in walks if w[1] + math.log10(50 * max(i - w[0], 3)) + joint < hard]
+        least = min(span, brute)
+        if least >= hard:
+            if i >= furthest and not walks:
+                return True
+            continue
+        if i == n:
+            return False
+        # A start is of no use where an earlier one gives every later end as cheaply.
+        if all(cost + math.log10(i + 3 - start) + 0.3 > least + math.log10(3) for start, cost in walks):
+            walks.append((i, least))
+        cheap = list(words_and_dates(value, small, plain, i))
+        for size in range(1, 5):
+            k = max(same[size], i)
+            while k + size < n and value[k] == value[k + size]:
+                k += 1
+            same[size] = k
+            j = i + size + (k - i) // size * size
+            if j <= n and j - i >= max(3, 2 * size):
+                cheap.append((i, j, size * math.log10(alphabet(value[i : i + size])) + math.log10((j - i) // size)))
+        for _, end, cost in cheap:
+            cost = least + cost + joint
+            if cost < hard:
+                ahead[end] = min(ahead.get(end, math.inf), cost)
+                furthest = max(furthest, end)
+    return True
+
+
+def is_hard(value: str, hard: float) -> bool:
+    return guess_cost(value) >= hard if len(value) <= PRICED else long_is_hard(value, hard)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of the fixed patterns; kind is an index into ``KINDS``."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= SHORTEST_VALUE]
@@ -120,7 +184,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def guessed_spans(text: str, hard: float) -> list[tuple[int, int, int]]:
     """Values in credential context whose cost reaches ``hard``."""
-    return [(m.start(1), 3, m.end(1)) for m in CONTEXT.finditer(text) if guess_cost(m[1]) >= hard]
+    return [(m.start(1), 3, m.end(1)) for m in CONTEXT.finditer(text) if is_hard(m[1], hard)]
 
 
 def all_spans(text: str, hard: float = HARD) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -140,7 +204,7 @@ def scan(docs: DataFrame, hard: float = HARD) -> DataFrame:
 
     ``spans`` lists kind:start:end in code points, end exclusive, by start and kind. A null text
     counts as empty and has no spans; repeated rows and null ids are kept; texts are scanned whole,
-    and values in credential context of up to 128 characters are priced.
+    and values in credential context are marked whole, however long.
     """
 
     def scanned(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
