@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankloom.plans import joins
-
+from rankloom.plans import joins, scratch
 
-def sample(docs: DataFrame, labels: DataFrame, label: Column, rows: int, total_bytes: int, wanted: Column | None = None) -> DataFrame:
-    """``(doc_id, text, label)``: whole texts of at most ``rows`` labelled documents.
 
-    Documents are taken in the order of a hash of their id while their texts together stay within
-    ``total_bytes``. Left out are null ids, null labels and ids with contradicting labels; of
-    repeated rows of a document the sample holds one.
-    """
+def sizes(docs: DataFrame, labels: DataFrame, label: Column, wanted: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Labels that agree, ``(doc_id, label)``, and the labelled documents with the bytes of their texts."""
     agreed = (
         labels.select("doc_id", label.alias("label"))
         .where("doc_id IS NOT NULL AND label IS NOT NULL")
@@ -23,13 +20,50 @@ def sample(docs: DataFrame, labels: DataFrame, label: Column, rows: int, total_b
         .where("label = _most")
         .drop("_most")
     )
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     if wanted is not None:
         agreed = agreed.where(wanted)
-    sized = texts.select("doc_id", F.octet_length("text").alias("bytes")).join(agreed, "doc_id", "left_semi")
-    first = sized.groupBy("doc_id").agg(F.max("bytes").alias("bytes")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    sized = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).alias("bytes"))
+    return agreed, sized
+
+
+def texts_of(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``(doc_id, text, label)`` of the few documents ``known(doc_id, label)``, one row each."""
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return texts.join(F.broadcast(known), "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text"))
+
+
+def sample(docs: DataFrame, labels: DataFrame, label: Column, rows: int, total_bytes: int, wanted: Column | None = None) -> DataFrame:
+    """``(doc_id, text, label)``: whole texts of at most ``rows`` labelled documents.
+
+    Documents are taken in the order of a hash of their id while their texts together stay within
+    ``total_bytes``. Left out are null ids, null labels and ids with contradicting labels; of
+    repeated rows of a document the sample holds one.
+    """
+    agreed, sized = sizes(docs, labels, label, wanted)
+    first = sized.join(agreed, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("bytes").alias("bytes")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     so_far = F.sum("bytes").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = first.withColumn("so_far", so_far).where(F.col("so_far") <= total_bytes).select("doc_id")
     # At most ``rows`` ids are broadcast.
     known = joins.broadcast_if(chosen, joins.fits(rows)).join(agreed, "doc_id")
-    return texts.join(F.broadcast(known), "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text"))
+    return texts_of(docs, known)
+
+
+def sample_by_label(docs: DataFrame, labels: DataFrame, label: Column, many: int, rows: int, total_bytes: int) -> tuple[DataFrame, dict[int, int]]:
+    """As ``sample``, of labels 0 to ``many`` - 1 in turn, and how many documents each label has.
+
+    The first document of every label by hash, then the second of every label, and so on: a label
+    stays out only if it has no document, and a rare one has all of its documents in.
+    """
+    agreed, sized = sizes(docs, labels, label, F.col("label").between(0, many - 1))
+    known = scratch.materialise(sized.join(agreed, "doc_id").groupBy("doc_id", "label").agg(F.max("bytes").alias("bytes")), "labelled")
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    # The first rows of each label by a limit, which keeps that many in each task, too.
+    firsts = [known.where(F.col("label") == i).orderBy(*order).limit(rows) for i in sorted(counts)]
+    if not firsts:
+        return texts_of(docs, known.select("doc_id", "label")), counts
+    turn = F.row_number().over(Window.partitionBy("label").orderBy(*order))
+    dealt = reduce(DataFrame.unionByName, firsts).withColumn("turn", turn).orderBy("turn", "label").limit(rows)
+    so_far = F.sum("bytes").over(Window.orderBy("turn", "label"))
+    chosen = dealt.withColumn("so_far", so_far).where(F.col("so_far") <= total_bytes)
+    return texts_of(docs, chosen.select("doc_id", "label")), counts

@@ -37,9 +37,14 @@ STEPS = 60
 
 
 class Domains(NamedTuple):
-    """Names in the order of the classifier's classes, and the classifier."""
+    """All names; which of them have labels, in the order of the classifier's classes; and the classifier.
+
+    ``factors`` say how many labelled documents a document of the sample stands for, by class.
+    """
 
     names: tuple[str, ...]
+    seen: tuple[int, ...]
+    factors: tuple[float, ...]
     model: PipelineModel | None
 
 
@@ -58,16 +63,20 @@ def words(text: Column) -> Column:
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, names: tuple[str, ...]) -> Domains:
-    """Train on a bounded sample of ``labels(doc_id, domain)``; other domains are left out.
+    """Train on a bounded sample of ``labels(doc_id, domain)`` that holds every labelled domain.
 
-    Without labelled documents every posterior is uniform; with one domain only, it is certain.
+    Domains are sampled in turn, so a rare one is not lost among many labels. Without labelled
+    documents every posterior is uniform; with one domain only, it is certain. A name without any
+    label has posterior 0 beside others.
     """
     number = F.array_position(F.array(*map(F.lit, names)), F.col("domain")).cast("int") - 1
-    known = labelled.sample(docs, labels, number, TRAIN_ROWS, TRAIN_BYTES, F.col("label") >= 0)
+    known, counts = labelled.sample_by_label(docs, labels, number, len(names), TRAIN_ROWS, TRAIN_BYTES)
     rows = scratch.materialise(known.select(words(F.col("text")).alias("_words"), F.col("label").cast("double").alias("_label")), "mixing-sample")
-    seen = [int(r["_label"]) for r in rows.select("_label").distinct().orderBy("_label").collect()]
+    sampled = {int(r["_label"]): r["count"] for r in rows.groupBy("_label").count().collect()}
+    seen = sorted(sampled)
+    factors = tuple(counts[i] / sampled[i] for i in seen)
     if len(seen) < 2:
-        return Domains(tuple(names[i] for i in seen) or names, None)
+        return Domains(names, tuple(seen), factors, None)
     # Classes without a label get no column of their own.
     dense = rows.withColumn("_label", F.array_position(F.array(*map(F.lit, seen)), F.col("_label").cast("int")).cast("double") - 1)
     stages = [
@@ -75,17 +84,30 @@ def fit_domains(docs: DataFrame, labels: DataFrame, names: tuple[str, ...]) -> D
         Normalizer(inputCol="_counts", outputCol="_features", p=2.0),
         LogisticRegression(featuresCol="_features", labelCol="_label", probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_class", family="multinomial", regParam=1e-4, maxIter=40, standardization=False),
     ]
-    return Domains(tuple(names[i] for i in seen), Pipeline(stages=stages).fit(dense))
+    return Domains(names, tuple(seen), factors, Pipeline(stages=stages).fit(dense))
 
 
 def posteriors(docs: DataFrame, domains: Domains) -> DataFrame:
-    """``docs`` with ``_tokens``, the words of the text, and ``_shares``, 64ths by domain."""
+    """``docs`` with ``_tokens``, the words of the text, and ``_shares``, 64ths by domain.
+
+    The classifier saw domains as often as the sample has them. Its probabilities times ``factors``
+    are those of the whole label table: taking documents by class moves its intercepts only.
+    """
     counted = docs.withColumn("_words", words(F.col("text"))).withColumn("_tokens", F.size("_words").cast("long"))
     if domains.model is None:
-        even = F.array_repeat(F.lit(round(UNITS / len(domains.names))), len(domains.names))
+        sure = domains.seen or tuple(range(len(domains.names)))
+        even = F.array(*[F.lit(round(UNITS / len(sure)) if i in sure else 0) for i in range(len(domains.names))])
         return counted.drop("_words").withColumn("_shares", even)
     scored = domains.model.transform(counted)
-    shares = F.transform(vector_to_array("_probability"), lambda p: F.round(p * UNITS).cast("int"))
+
+    def whole_units(weighed: Column) -> Column:
+        total = F.aggregate(weighed, F.lit(0.0), lambda a, x: a + x)
+        units = [F.round(F.get(weighed, F.lit(j)) / total * UNITS).cast("int") for j in range(len(domains.seen))]
+        return F.array(*[units[domains.seen.index(i)] if i in domains.seen else F.lit(0) for i in range(len(domains.names))])
+
+    weighed = F.zip_with(vector_to_array("_probability"), F.array(*map(F.lit, domains.factors)), lambda p, f: p * f)
+    # Bound once, as in ``rate``.
+    shares = F.get(F.transform(F.array(weighed), whole_units), F.lit(0))
     return scored.withColumn("_shares", shares).select(*docs.columns, "_tokens", "_shares")
 
 
@@ -118,7 +140,8 @@ def solve(scored: DataFrame, names: tuple[str, ...], weights: dict[str, float],
     """Projected gradient over the output of ``posteriors``.
 
     Targets are ``weights``, scaled to a sum of 1, times ``total`` tokens (default: as many as there
-    are). ``highest`` bounds the rates from above, too. Domains without tokens have no influence.
+    are). ``highest`` bounds the rates from above, too. Domains without tokens keep their target, which
+    no rate can reach, and have no influence.
     """
     k = range(len(names))
     top = float("1e18") if highest is None else float(highest)
@@ -161,7 +184,8 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float]) -> DataFr
     """``(doc_id, n_tokens, p_<domain> ..., rate, copies)`` for every row of ``docs(doc_id, text)``.
 
     ``labels(doc_id, domain)`` is the labelled table, ``weights`` the wanted token shares. A null or
-    empty text has no tokens and gets a rate, too; repeated rows count once each.
+    empty text has no tokens and gets a rate, too; repeated rows count once each. Every name in
+    ``weights`` has its column and its target; without labels for it, ``p`` is 0.
     """
     domains = fit_domains(docs, labels, tuple(sorted(weights)))
     scored = scratch.materialise(posteriors(docs.select("doc_id", "text"), domains).select("doc_id", "_tokens", "_shares"), "mixing-posteriors")
@@ -179,7 +203,8 @@ def resample(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anch
     """``docs`` with the same columns, thinned so that the token shares come near ``weights``.
 
     No document is used more than once. The amount is set by domain ``anchor``: its target lies
-    ``surplus`` times above what it has, so its documents reach rate 1 and stay.
+    ``surplus`` times above what it has, so its documents reach rate 1 and stay. Without labels or
+    tokens for ``anchor`` there is no amount, and all documents stay.
     """
     domains = fit_domains(docs, labels, tuple(sorted(weights)))
     scored = posteriors(docs.select(F.struct(*docs.columns).alias("row"), "text"), domains)
@@ -188,6 +213,8 @@ def resample(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anch
         return docs
     at = domains.names.index(anchor)
     own = held.agg(F.sum(F.col("_tokens") * F.get("_shares", F.lit(at)) / UNITS)).first()[0] or 0.0
+    if not own:
+        return docs
     share = weights[anchor] / (sum(weights.get(n, 0.0) for n in domains.names) or 1.0)
     plan = solve(held, domains.names, weights, surplus * own / share if share else None, 1.0)
     used = copies(rate(F.col("_shares"), plan), F.coalesce(F.col("row")["doc_id"].cast("string"), F.lit("")))

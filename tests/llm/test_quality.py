@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from rankloom.llm import batches, byte_cnn, ngram_rules, secret_scan, soft_mixing, threshold_topk
 from rankloom.llm.queries import domain_labels, table
@@ -224,6 +225,31 @@ def test_mixing_on_odd_tables(spark):
     assert soft_mixing.mix(docs.limit(0), none, {"clean": 1.0}).isEmpty()
 
 
+def test_a_rare_domain_keeps_its_column_and_target(spark, monkeypatch):
+    monkeypatch.setattr(soft_mixing, "TRAIN_ROWS", 60)
+    ids = [r.id for r in spark.range(900).orderBy(F.xxhash64("id"), "id").collect()]
+    kinds = {i: "toxic" if at >= 888 else ("clean", "low")[at % 2] for at, i in enumerate(ids)}
+    rng = np.random.default_rng(5)
+    text = lambda kind: " ".join(f"{kind}{w}" if w < 12 else f"word{w}" for w in rng.integers(0, 40, 50))
+    docs = spark.createDataFrame([(i, text(k)) for i, k in kinds.items()], "doc_id long, text string")
+    labels = spark.createDataFrame([*kinds.items(), (10_000, "toxic")], "doc_id long, domain string")
+    weights = {"clean": 0.55, "low": 0.4, "toxic": 0.05}
+    found = soft_mixing.mix(docs, labels, weights).collect()
+    mean = {k: np.mean([r.p_toxic for r in found if kinds[r.doc_id] == k]) for k in weights}
+    assert mean["toxic"] > 0.5 > 0.02 > max(mean["clean"], mean["low"])
+    whole = sum(r.n_tokens for r in found)
+    for name, share in weights.items():
+        assert abs(sum(r.rate * r.n_tokens * r[f"p_{name}"] for r in found) - share * whole) < 0.02 * whole
+    # Calibrated: as much of it as there is.
+    assert 6 < sum(r.p_toxic for r in found) < 24
+    kept = {r.doc_id for r in soft_mixing.resample(docs, labels, {"clean": 0.5, "low": 0.499, "toxic": 0.001}, "clean").collect()}
+    assert sum(kinds[i] == "toxic" for i in kept) < 8 and sum(kinds[i] == "clean" for i in kept) > 430
+    # A name without labels has a column, and its target is not dealt to the others.
+    one = soft_mixing.mix(docs, labels.where("domain = 'clean'"), {"clean": 0.5, "low": 0.5}).collect()
+    assert all(r.p_clean == 1 and r.p_low == 0 for r in one) and abs(np.mean([r.rate for r in one]) - 0.5) < 0.05
+    assert soft_mixing.resample(docs, labels.where("domain = 'clean'"), {"clean": 0.5, "low": 0.5}, "low").count() == 900
+
+
 # ---------------------------------------------------------------- secrets
 
 
