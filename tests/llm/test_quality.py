@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rankloom.llm import batches, byte_cnn, ngram_rules, secret_scan, soft_mixing, threshold_topk
+from rankloom.llm import batches, byte_cnn, labelled, ngram_rules, secret_scan, soft_mixing, threshold_topk
 from rankloom.llm.queries import domain_labels, table
 
 SF = "/root/testdata/sf0.01"
@@ -250,6 +250,17 @@ def test_a_rare_domain_keeps_its_column_and_target(spark, monkeypatch):
     assert soft_mixing.resample(docs, labels.where("domain = 'clean'"), {"clean": 0.5, "low": 0.5}, "low").count() == 900
 
 
+def test_a_huge_labelled_text_leaves_room_for_others(spark):
+    ids = [r.id for r in spark.range(20).orderBy(F.xxhash64("id"), "id").collect()]
+    # By hash: longer than the bound; a text above the share; and short ones.
+    sizes = dict(zip(ids, [10_000, 3000, *[40] * 18]))
+    docs = spark.createDataFrame([(i, "x" * n) for i, n in sizes.items()], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, kind int")
+    for bound, wanted in ((6400, ids[1:]), (3000, ids[2:])):
+        for found in (labelled.sample(docs, labels, F.col("kind"), 100, bound), labelled.sample_by_label(docs, labels, F.col("kind"), 2, 100, bound)[0]):
+            assert sorted(r.doc_id for r in found.collect()) == sorted(wanted)
+
+
 # ---------------------------------------------------------------- secrets
 
 
