@@ -430,7 +430,7 @@ def evaluation_report(spark, d):
     )
 
 
-@query("C6 P6 P9 T1 A13 J10 P7 W3", with_views(f"""
+@query("C6 P6 T1 A13 J10 P7 W3", with_views(f"""
     SELECT query_id, doc_id, score, rank, title, snippet, grade FROM (
       SELECT b.query_id, b.doc_id, b.best AS score, {rank('b.best').replace('query_id', 'b.query_id').replace('(doc_id', '(b.doc_id')} AS rank,
              p.title, p.snippet, p.grade
