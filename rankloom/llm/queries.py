@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.catalog.registry import Builder
-from rankloom.llm import bpe_counts, byte_cnn, ngram_rules, packing, phrase_mining, secret_scan, simple8b, soft_mixing, spelling_variants, suffix_dedup, tensored_minhash, threshold_topk
+from rankloom.llm import bpe_counts, byte_cnn, ngram_join, ngram_rules, packing, phrase_mining, secret_scan, simple8b, soft_mixing, spelling_variants, suffix_dedup, tensored_minhash, threshold_topk
 from rankloom.plans import scratch
 
 QUERIES: dict[str, Builder] = {}
@@ -184,6 +184,16 @@ FROM z WHERE rank <= 2000
 """
 
 
+@query
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
+SQL["op12_ngram_join"] = (
+    "SELECT doc_id, n_shingles, component_id FROM (" + SQL["op8_near_duplicates"].replace("100 * i >= 85 *", "100 * i >= 90 *") + ")"
+)
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(table(spark, sf_dir, "documents"))
