@@ -31,8 +31,11 @@ SHARDS = 8
 FILTER_BITS = 26
 # Word places in a stored row, and places that a task counts at a time.
 ROW_PLACES = 1 << 20
-PLACES_AT_ONCE = 1 << 21
-STRETCH_BYTES = 4 << 20
+PLACES_AT_ONCE = 1 << 20
+# Just below a power of two, to which the tables of the word hashes are rounded up.
+STRETCH_BYTES = (2 << 20) - 1
+# Distinct words that a task holds before it passes their counts on.
+WORDS_HELD = 400_000
 # Bytes between words, and bytes that also end a piece.
 BETWEEN = np.zeros(256, np.uint8)
 BETWEEN[list(b" \t")] = 1
@@ -62,8 +65,41 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndar
         pieces, begin = int(piece[-1]), end
 
 
-def word_rows(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Rows of ``WORDS_SCHEMA`` for a slice of ``(text, lang, shard, salt)``."""
+class WordCounts:
+    """Words of a task with their language, hash and count, from many slices."""
+
+    def __init__(self) -> None:
+        self.parts: list[pa.Table] = []
+        self.rows = 0
+
+    def add(self, lang: pa.Array, w: np.ndarray, word: pa.Array, n: np.ndarray) -> None:
+        self.parts.append(pa.table({"lang": lang, "w": w.view(np.int64), "word": word, "n": n}))
+        self.rows += len(w)
+
+    def merged(self) -> pa.Table:
+        whole = pa.concat_tables(self.parts).combine_chunks()
+        w = whole["w"].to_numpy()
+        _, first, of = np.unique(w, return_index=True, return_inverse=True)
+        counts = np.bincount(of, whole["n"].to_numpy()).astype(np.int64)
+        return whole.take(pa.array(first)).set_column(3, "n", pa.array(counts))
+
+    def flush(self, last: bool = False) -> Iterator[pa.RecordBatch]:
+        """What is held, once it is too much; all of it in the end."""
+        if not self.parts or not (last or self.rows > WORDS_HELD):
+            return
+        whole = self.merged()
+        self.parts, self.rows = [whole], whole.num_rows
+        if last or self.rows > WORDS_HELD // 2:
+            self.parts, self.rows = [], 0
+            for batch in whole.to_batches(max_chunksize=20_000):
+                yield words_batch(**dict(zip(batch.schema.names, batch.columns)))
+
+
+def word_rows(part: pa.RecordBatch, counted: WordCounts) -> Iterator[pa.RecordBatch]:
+    """Rows of ``WORDS_SCHEMA`` with the places of a slice of ``(text, lang, shard, salt)``.
+
+    The slice's words are added to ``counted``.
+    """
     data, offsets = batches.bytes_and_offsets(batches.text_of(part))
     langs, shard = part.column("lang").to_pylist(), part.column("shard").to_numpy()
     salt = part.column("salt").to_numpy().view(np.uint64)
@@ -79,7 +115,7 @@ def word_rows(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sizes = (last - first)[place]
         letters = stretch[batches.gather(first[place], sizes)]
         words = pa.LargeStringArray.from_buffers(len(place), pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)])), pa.py_buffer(letters))
-        yield words_batch(lang=pa.array([langs[t] for t in text[place]], pa.string()), w=distinct.view(np.int64), key=keys(distinct[:, None]), word=words.cast(pa.string()), n=counts)
+        counted.add(pa.array([langs[t] for t in text[place]], pa.string()), distinct, words.cast(pa.string()), counts)
         found.append(hashes)
         texts.append(text)
         pieces.append(piece)
@@ -102,9 +138,9 @@ def word_rows(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 LONGEST = 5
 WORDS_SCHEMA = pa.schema(
-    [("lang", pa.string()), ("shard", pa.int32()), ("places", pa.binary()), ("own", pa.int64()), ("w", pa.int64()), ("key", pa.binary()), ("word", pa.string()), ("n", pa.int64())]
+    [("lang", pa.string()), ("shard", pa.int32()), ("places", pa.binary()), ("own", pa.int64()), ("w", pa.int64()), ("word", pa.string()), ("n", pa.int64())]
 )
-WORDS_COLUMNS = "lang string, shard int, places binary, own long, w long, key binary, word string, n long"
+WORDS_COLUMNS = "lang string, shard int, places binary, own long, w long, word string, n long"
 
 
 def words_batch(**columns: object) -> pa.RecordBatch:
@@ -114,17 +150,20 @@ def words_batch(**columns: object) -> pa.RecordBatch:
 
 
 def keys(words: np.ndarray) -> pa.Array:
-    """The rows of a table of hashes as binary values."""
+    """The rows of a table of hashes as binary values, eight bytes for each word, the highest first."""
     edges = np.arange(len(words) + 1, dtype=np.int32) * (8 * words.shape[1])
-    return pa.BinaryArray.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(words.astype("<u8")))])
+    return pa.BinaryArray.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(words.astype(">u8")))])
 
 
 def described(docs: DataFrame) -> DataFrame:
     """Stored rows: places of words by language and shard, and each language's words with counts."""
 
     def made(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches.slices(rows):
-            yield from word_rows(part)
+        counted = WordCounts()
+        for part in batches.slices(rows, limit=STRETCH_BYTES):
+            yield from word_rows(part, counted)
+            yield from counted.flush()
+        yield from counted.flush(last=True)
 
     lang = F.coalesce(F.col("lang"), F.lit("und"))
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(SHARDS)).cast("int")
@@ -250,7 +289,7 @@ def frequent_phrases(docs: DataFrame, support: int = 100) -> tuple[DataFrame, Da
     groups = joins.lookup_join(by_shard, whole, ["lang"], spread_by="shard").select(
         F.xxhash64("lang", "shard").alias("g"), F.expr(f"({support} * n + whole - 1) div whole").alias("local")
     )
-    words = rows.where("places IS NULL").groupBy("w").agg(F.first("key").alias("key"), F.first("word").alias("word"), F.sum("n").alias("n"))
+    words = rows.where("places IS NULL").groupBy("w", "word").agg(F.sum("n").alias("n"))
     words = scratch.materialise(words.where(F.col("n") >= support), "phrase-vocabulary")
     of_shard = placed.select(F.xxhash64("lang", "shard").alias("g"), "places", "own")
     candidates = single = words.select(F.col("w").alias("h"))
@@ -265,7 +304,7 @@ def frequent_phrases(docs: DataFrame, support: int = 100) -> tuple[DataFrame, Da
     frequent = counts.where(F.col("n") >= support).select(
         F.col("g").alias("lang"), "phrase", (F.length("phrase") / 8).cast("int").alias("words"), F.col("n").alias("f")
     )
-    return scratch.materialise(frequent, "phrases"), totals, words.select("key", "word")
+    return scratch.materialise(frequent, "phrases"), totals, words.select(F.unhex(F.lpad(F.hex("w"), 16, "0")).alias("key"), "word")
 
 
 def collocations(docs: DataFrame, support: int = 100, first: int = 2000) -> DataFrame:
