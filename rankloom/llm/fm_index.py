@@ -12,6 +12,8 @@ import numpy as np
 
 # Queries that are searched side by side; bounds the intervals held at once.
 QUERIES_AT_ONCE = 4096
+# Steps between two searches for equal states: in a run of one symbol all places of an error are equal.
+EQUAL_STATES = 16
 
 
 class Words:
@@ -97,23 +99,33 @@ def chunk_with_one_error(index: SuffixRanks, queries: Words, exact: np.ndarray,
         low[move], high[move] = index.step(c, low[move]), index.step(c, high[move])
         left = left - move
         query, left, goal, low, high = (x[high > low] for x in (query, left, goal, low, high))
-    # The other part: spend the error here, or match one more symbol and go on.
-    while len(query):
+    # The other part: spend the error here, or match one more symbol and go on. States that have spent
+    # it go on side by side, whenever they did.
+    nothing = np.zeros(0, np.int64)
+    spent = (nothing, nothing, nothing, nothing)
+    steps = 0
+    while len(query) or len(spent[0]):
+        steps += 1
+        if steps % EQUAL_STATES == 0:
+            spent = tuple(np.unique(np.stack(spent), axis=1))
         some = np.flatnonzero(left > 0)
         c = np.full(len(query), -1)
         c[some] = symbols[queries.starts[query[some]] + left[some] - 1]
         of, symbol, grown_low, grown_high = extensions(index, low, high)
         other = np.flatnonzero((left[of] > 0) & (symbol != c[of]))
-        spent = [
+        words, spent = one_step(index, queries, symbols, *spent)
+        found.append(words)
+        new = [
+            spent,
             (query[of], left[of], grown_low, grown_high),
             (query[of[other]], left[of[other]] - 1, grown_low[other], grown_high[other]),
             (query[some], left[some] - 1, low[some], high[some]),
         ]
-        found.append(matched(index, queries, symbols, *(np.concatenate(x) for x in zip(*spent))))
+        spent = tuple(np.concatenate(x) for x in zip(*new))
         low, high = index.step(c[some], low[some]), index.step(c[some], high[some])
         query, left = query[some], left[some] - 1
         query, left, low, high = (x[high > low] for x in (query, left, low, high))
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    return np.unique(np.concatenate(found)) if found else nothing
 
 
 def extensions(index: SuffixRanks, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -141,16 +153,15 @@ def extensions(index: SuffixRanks, low: np.ndarray, high: np.ndarray) -> tuple[n
     )
 
 
-def matched(index: SuffixRanks, queries: Words, symbols: np.ndarray, query: np.ndarray, left: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Words that the intervals reach when what is left of their queries is matched as it is."""
-    done = []
-    while len(query):
-        c = np.where(left > 0, symbols[np.minimum(queries.starts[query] + np.maximum(left, 1) - 1, len(symbols) - 1)], 0)
-        low, high = index.step(c, low), index.step(c, high)
-        some = high > low
-        # Behind the delimiter there is one rank for each word, and words are distinct.
-        last = some & (left == 0)
-        done.append(query[last] * index.words + index.word[low[last]])
-        more = some & (left > 0)
-        query, left, low, high = query[more], left[more] - 1, low[more], high[more]
-    return np.concatenate(done) if done else np.zeros(0, np.int64)
+def one_step(
+    index: SuffixRanks, queries: Words, symbols: np.ndarray, query: np.ndarray, left: np.ndarray, low: np.ndarray, high: np.ndarray
+) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Match one more symbol, or the delimiter: ``query * words + word`` of what ends, and the rest."""
+    inside = left > 0
+    c = np.zeros(len(query), np.int64)
+    c[inside] = symbols[queries.starts[query[inside]] + left[inside] - 1]
+    low, high = index.step(c, low), index.step(c, high)
+    some = high > low
+    # Behind the delimiter there is one rank for each word, and words are distinct.
+    last, more = some & ~inside, some & inside
+    return query[last] * index.words + index.word[low[last]], (query[more], left[more] - 1, low[more], high[more])
