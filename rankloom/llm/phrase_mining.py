@@ -31,11 +31,11 @@ SHARDS = 8
 FILTER_BITS = 26
 # Word places in a stored row, and places that a task counts at a time.
 ROW_PLACES = 1 << 20
-PLACES_AT_ONCE = 1 << 20
+PLACES_AT_ONCE = 1 << 19
 # Just below a power of two, to which the tables of the word hashes are rounded up.
 STRETCH_BYTES = (2 << 20) - 1
 # Distinct words that a task holds before it passes their counts on.
-WORDS_HELD = 400_000
+WORDS_HELD = 300_000
 # Bytes between words, and bytes that also end a piece.
 BETWEEN = np.zeros(256, np.uint8)
 BETWEEN[list(b" \t")] = 1
@@ -251,7 +251,8 @@ def mined(rows: DataFrame, groups: DataFrame, shorter: Broadcast, length: int) -
         found, times = np.unique(whole[some], return_counts=True)
         yield [pa.array(found.view(np.int64)), pa.array(times)]
 
-    local = counted(rows, count, ["h", "n"], "g long, h long, n long").groupBy("g", "h").agg(F.sum("n").alias("n"))
+    # Counts are combined in the workers: a second combination before the shuffle would only take memory.
+    local = counted(rows, count, ["h", "n"], "g long, h long, n long").repartition("g", "h").groupBy("g", "h").agg(F.sum("n").alias("n"))
     return joins.lookup_join(local, groups, ["g"], spread_by="h").where("n >= local").select("h").distinct()
 
 
@@ -289,7 +290,7 @@ def frequent_phrases(docs: DataFrame, support: int = 100) -> tuple[DataFrame, Da
     groups = joins.lookup_join(by_shard, whole, ["lang"], spread_by="shard").select(
         F.xxhash64("lang", "shard").alias("g"), F.expr(f"({support} * n + whole - 1) div whole").alias("local")
     )
-    words = rows.where("places IS NULL").groupBy("w", "word").agg(F.sum("n").alias("n"))
+    words = rows.where("places IS NULL").select("w", "word", "n").repartition("w").groupBy("w", "word").agg(F.sum("n").alias("n"))
     words = scratch.materialise(words.where(F.col("n") >= support), "phrase-vocabulary")
     of_shard = placed.select(F.xxhash64("lang", "shard").alias("g"), "places", "own")
     candidates = single = words.select(F.col("w").alias("h"))
