@@ -40,8 +40,7 @@ SUMMARY_VIEWS = {
 
 
 def corpus_idf(spark, d):
-    docs = I.corpus(spark, d)
-    return tfidf.fit_tfidf(tfidf.term_rows(docs), docs)
+    return tfidf.index_model(I.content_index(spark, d))
 
 
 @query("C3 F11 A15", with_views("SELECT doc_id, chunk_no, sentence_no, weight FROM c_weights", SUMMARY_VIEWS))
@@ -56,7 +55,7 @@ def chunk_summaries(spark, d):
 
 @query("C3 A17 F9", with_views("SELECT doc_id, summary FROM summaries", SUMMARY_VIEWS))
 def document_summaries(spark, d):
-    return summarize.summarize(I.corpus(spark, d)).select("doc_id", "summary")
+    return summarize.summarize(I.corpus(spark, d), idf=corpus_idf(spark, d)).select("doc_id", "summary")
 
 
 def load_first_sentences():

@@ -327,10 +327,14 @@ def lazy_index(spark: SparkSession, sf_dir: str, *fields: str) -> Index:
 
 @lru_cache
 def content_index(spark: SparkSession, sf_dir: str, *fields: str) -> Index:
-    """The stored index of the fields, written on first use in a session and then only read."""
+    """The stored index of the fields, written on first use in a session and then only read.
+
+    It holds the whole corpus with its annotations; all text fields but the title analyse the content.
+    """
     fields = fields or ("content",)
     path = fresh_path(spark, "index")
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     buckets = spark.sparkContext.defaultParallelism
-    write_index(texts(spark, sf_dir), list(fields), name, path, buckets)
+    sources = {f: "title" if f == "title" else "content" for f in fields}
+    write_index(corpus(spark, sf_dir), sources, name, path, buckets)
     return read_index(spark, name)

@@ -53,7 +53,7 @@ def content_hits(spark: SparkSession, d: str, k: int = 20) -> DataFrame:
 
 
 def judged_hits(spark: SparkSession, d: str) -> DataFrame:
-    return evaluate.judge(content_hits(spark, d), I.queries(spark, d), I.corpus(spark, d), 20)
+    return evaluate.judge(content_hits(spark, d), I.queries(spark, d), I.content_index(spark, d).documents, 20)
 
 
 def all_metrics(spark: SparkSession, d: str) -> DataFrame:
@@ -206,6 +206,24 @@ def search_without_stored_index(spark, d):
     return search.bm25_search(built, I.queries(spark, d), "content")
 
 
+@query("S4 J1", with_views("""
+    SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS n_words, CAST(max(tf) AS INTEGER) AS max_tf,
+           CAST(min(doc_len) AS INTEGER) AS min_len FROM content_post GROUP BY term"""))
+def term_postings(spark, d):
+    """The postings laid out by term: documents, words and bounds of every term, from its blocks."""
+    blocks = I.content_index(spark, d).blocks
+    words = F.aggregate("entries", F.lit(0).cast("long"), lambda s, e: s + e["tf"])
+    return blocks.groupBy("term").agg(
+        F.sum("n").alias("df"), F.sum(words).alias("n_words"), F.max("max_tf").alias("max_tf"), F.min("min_len").alias("min_len")
+    )
+
+
+@query("S4", with_views("SELECT doc_id, title, annotation, length(content) AS n_chars FROM corpus"))
+def stored_documents(spark, d):
+    """The documents table of the stored index."""
+    return I.content_index(spark, d).documents.select("doc_id", "title", "annotation", F.length("content").cast("long").alias("n_chars"))
+
+
 @query("S4 A20 J1", with_views("""
     SELECT doc_id, doc_len, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS n_words FROM content_post GROUP BY doc_id, doc_len"""))
 def stored_postings(spark, d):
@@ -273,7 +291,7 @@ PAGE_VIEWS = {
     "SELECT query_id, doc_id, score, rank, title, snippet, grade FROM page_hits", PAGE_VIEWS))
 def hits_with_title_and_snippet(spark, d):
     return report.enriched_hits(
-        content_hits(spark, d, 16), I.queries(spark, d), I.corpus(spark, d), 16
+        content_hits(spark, d, 16), I.queries(spark, d), I.content_index(spark, d).documents, 16
     )
 
 
@@ -285,6 +303,5 @@ def second_page(spark, d):
 @query("A19 W3", with_views("""
     SELECT query_id, count(*) AS n_hits, CAST(count(*) // 8 AS BIGINT) AS max_pages FROM content_hits GROUP BY query_id"""))
 def result_counts(spark, d):
-    """All matches of each query, and the pages they fill."""
-    matches = search.bm25_scores(I.content_index(spark, d), I.queries(spark, d), ["content"])
-    return report.result_counts(matches)
+    """All matches of each query, and the pages they fill; no match is scored."""
+    return report.with_pages(search.match_counts(I.content_index(spark, d), I.queries(spark, d)))

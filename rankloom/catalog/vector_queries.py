@@ -219,19 +219,19 @@ WEIGHT_VIEWS = {
 
 
 def document_weights(spark, d):
-    docs = I.corpus(spark, d)
-    terms = tfidf.term_rows(docs)
-    return tfidf.tfidf_weights(terms, tfidf.fit_tfidf(terms, docs))
+    """Weights of the stored terms, by the stored document frequencies."""
+    stored = I.content_index(spark, d)
+    return tfidf.weighted_texts(tfidf.forward_terms(stored), tfidf.index_model(stored), ["doc_id"])
 
 
 @query("A15", with_views("SELECT doc_id, term, weight FROM weights", WEIGHT_VIEWS))
 def tfidf_weights(spark, d):
-    return document_weights(spark, d)
+    return tfidf.opened_weights(document_weights(spark, d), ["doc_id"])
 
 
 @query("T3", with_views("SELECT doc_id, term, weight, place FROM keywords", WEIGHT_VIEWS))
 def top_keywords(spark, d):
-    return tfidf.top_keywords(document_weights(spark, d), 10)
+    return tfidf.heaviest(document_weights(spark, d), ["doc_id"], 10)
 
 
 KEYWORD_POOL = {
@@ -298,11 +298,10 @@ KEYWORD_RERANK = (
     KEYWORD_RERANK))
 def keyword_rerank(spark, d):
     """150 candidates reranked by keyword vectors, twenty kept; the model is fitted on the corpus."""
-    docs = I.corpus(spark, d)
+    stored = I.content_index(spark, d)
     return tfidf.keyword_rerank(
-        content_hits(spark, d, 150), docs, I.queries(spark, d),
-        tfidf.fit_tfidf(tfidf.term_rows(docs), docs),
-        I.word_vectors(spark, d), I.stopwords(spark, d), I.DIMS, k=20,
+        content_hits(spark, d, 150), stored.documents, I.queries(spark, d), tfidf.index_model(stored),
+        I.word_vectors(spark, d), I.stopwords(spark, d), I.DIMS, k=20, terms=tfidf.forward_terms(stored),
     )
 
 
@@ -349,6 +348,91 @@ def noun_phrase_model(spark, d):
     return tfidf.fit_tfidf(words, I.corpus(spark, d)).select("term", "df", r6("idf"))
 
 
+TOPIC_MODELS = PHRASE_VIEWS | {
+    "fit_docs": """
+        SELECT topic_id, doc_id FROM (
+          SELECT topic_id, doc_id, row_number() OVER (PARTITION BY topic_id ORDER BY grade DESC, doc_id) AS place FROM annotated)
+        WHERE place <= 33""",
+    "topic_idf": """
+        SELECT f.topic_id, t.term, count(*) AS df, ln((1.0 + any_value(n.n)) / (1.0 + count(*))) + 1.0 AS idf
+        FROM (SELECT DISTINCT doc_id, term FROM (SELECT doc_id, first AS term FROM phrases
+                                                 UNION ALL SELECT doc_id, second FROM phrases)
+              WHERE regexp_full_match(term, '\\p{L}+') AND term NOT IN (SELECT term FROM stopwords)) t
+        JOIN fit_docs f ON f.doc_id = t.doc_id
+        JOIN (SELECT topic_id, count(*) AS n FROM fit_docs GROUP BY topic_id) n ON n.topic_id = f.topic_id
+        GROUP BY f.topic_id, t.term""",
+}
+
+
+@query("C4 P20 C13 A14", with_views("SELECT topic_id, term, df, round(idf, 6) AS idf FROM topic_idf", TOPIC_MODELS))
+def topic_tfidf_models(spark, d):
+    """The tf-idf models of all topics, each fitted on the noun phrases of its judged documents."""
+    models = tfidf.topic_models(I.content_index(spark, d).documents, I.lexicon(spark, d), I.stopwords(spark, d))
+    return models.select("topic_id", "term", "df", r6("idf"))
+
+
+def topic_combined(name: str, keys: str, terms: str, whole: str, key: str) -> dict[str, str]:
+    """Keyword vector by the topic's model times five plus mean vector: ``<name>(keys, vec)``."""
+    both = keys.split(", ")
+    same = " AND ".join(f"b.{k} = a.{k}" for k in both)
+    own = ", ".join(f"a.{k}" for k in both)
+    return {
+        f"{name}_w": f"""
+            SELECT {own}, a.term, round(tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY {own})), 6) AS weight
+            FROM ({terms}) a JOIN topic_idf b ON b.topic_id = a.topic_id AND b.term = a.term""",
+        f"{name}_k": f"""
+            SELECT {keys}, term FROM (
+              SELECT {keys}, term, row_number() OVER (PARTITION BY {keys} ORDER BY weight DESC, term DESC) AS place FROM {name}_w)
+            WHERE place <= 10 AND length(term) > 1 AND term NOT IN (SELECT term FROM stopwords)""",
+        f"{name}_kn": f"SELECT {keys}, count(*) AS n FROM {name}_k GROUP BY {keys}",
+        f"{name}_ks": f"""
+            SELECT {own}, u.dim, sum(w.vec[u.dim]) AS v FROM {name}_k a JOIN word_vectors w ON w.term = a.term,
+                   (SELECT unnest(generate_series(1, 64)) AS dim) u GROUP BY {own}, u.dim""",
+        name: f"""
+            SELECT {own}, list(5 * coalesce(s.v / n.n, 0.0) + p.v ORDER BY p.dim) AS vec
+            FROM (SELECT DISTINCT {keys} FROM topic_hits) a JOIN {whole} p ON p.{key} = a.{key}
+            LEFT JOIN {name}_kn n ON {same.replace('b.', 'n.')} LEFT JOIN {name}_ks s ON {same.replace('b.', 's.')} AND s.dim = p.dim
+            GROUP BY {own}""",
+    }
+
+
+TOPIC_CHAIN = (
+    TOPIC_MODELS
+    | {
+        "topic_hits": """
+            SELECT h.query_id, q.topic_id, h.doc_id FROM content_hits h JOIN queries q ON q.query_id = h.query_id WHERE h.rank <= 150""",
+        "topic_scores": """
+            SELECT h.query_id, h.topic_id, h.doc_id,
+                   round(CASE WHEN list_dot_product(q.vec, q.vec) = 0 OR list_dot_product(c.vec, c.vec) = 0
+                         THEN NULL ELSE list_cosine_similarity(q.vec, c.vec) END, 6) AS score
+            FROM topic_hits h JOIN tq_comb q ON q.query_id = h.query_id JOIN td_comb c ON c.doc_id = h.doc_id AND c.topic_id = h.topic_id""",
+    }
+    | topic_combined(
+        "td_comb", "topic_id, doc_id",
+        "SELECT h.topic_id, t.doc_id, t.term, t.tf FROM (SELECT DISTINCT topic_id, doc_id FROM topic_hits) h JOIN doc_terms t ON t.doc_id = h.doc_id",
+        "doc_pool", "doc_id")
+    | topic_combined(
+        "tq_comb", "topic_id, query_id",
+        "SELECT q.topic_id, t.query_id, t.term, t.tf FROM query_terms_tf t JOIN queries q ON q.query_id = t.query_id",
+        "query_pool", "query_id")
+)
+
+
+@query("C4 P20 C13 T2 T3 F22 W1 J2", with_views(f"""
+    SELECT r.query_id, r.doc_id, r.score, r.rank, coalesce(a.grade, 0) AS grade
+    FROM (SELECT *, {rank('score')} AS rank FROM topic_scores) r
+    LEFT JOIN annotated a ON a.doc_id = r.doc_id AND a.topic_id = r.topic_id WHERE r.rank <= 20""", TOPIC_CHAIN))
+def topic_keyword_rerank(spark, d):
+    """150 candidates reranked by the keywords of their topic's model, twenty kept and graded."""
+    stored, queries = I.content_index(spark, d), I.queries(spark, d)
+    words, stops = I.word_vectors(spark, d), I.stopwords(spark, d)
+    models = tfidf.topic_models(stored.documents, I.lexicon(spark, d), stops)
+    ranked = tfidf.topic_rerank(
+        content_hits(spark, d, 150), stored.documents, queries, models, words, stops, I.DIMS, terms=tfidf.forward_terms(stored)
+    )
+    return evaluate.judge(ranked, queries, stored.documents)
+
+
 GRID_VIEWS = {
     "bm_run": "SELECT 'bm_25' AS approach, query_id, doc_id, rank FROM top20",
     "custom_run": "SELECT 'custom' AS approach, query_id, doc_id, rank FROM custom_hits WHERE rank <= 20",
@@ -388,7 +472,7 @@ GRID_VIEWS = {
 
 
 def grid_scores(spark, d):
-    queries, docs = I.queries(spark, d), I.corpus(spark, d)
+    queries, docs = I.queries(spark, d), I.content_index(spark, d).documents
     words, stops = I.word_vectors(spark, d), I.stopwords(spark, d)
     plain = materialise(content_hits(spark, d), "hits")
     custom = search.bm25_search(I.content_index(spark, d, "custom_content"), queries, "custom_content")
@@ -442,7 +526,7 @@ def result_page(spark, d):
     queries = query_or_topic_text(requests, I.topics(spark, d))
     hits = search.bm25_search(I.content_index(spark, d), queries, "content", 16)
     ranked = rerank.chunk_rerank(hits, I.chunk_vectors(spark, d), I.query_vectors(spark, d))
-    return report.enriched_hits(report.page(ranked, 0), queries, I.corpus(spark, d), 8)
+    return report.enriched_hits(report.page(ranked, 0), queries, I.content_index(spark, d).documents, 8)
 
 
 PAGE_SCORE_VIEWS = {
@@ -467,10 +551,31 @@ PAGE_SCORE_VIEWS = {
 def result_page_scores(spark, d):
     """What stands beside the hits of a page: metrics, number of hits and last page; the field goes by topic."""
     queries, both = report.search_fields(I.queries(spark, d), ["7"], special="title"), ["content", "title"]
-    hits = materialise(search.bm25_search(I.content_index(spark, d, *both), queries, both, 16), "hits")
-    scores = evaluate.score(evaluate.judge(hits, queries, I.corpus(spark, d)), queries, k=8)
+    stored = I.content_index(spark, d, *both)
+    hits = materialise(search.bm25_search(stored, queries, both, 16), "hits")
+    scores = evaluate.score(evaluate.judge(hits, queries, stored.documents), queries, k=8)
     counts = report.result_counts(hits).select("query_id", "max_pages")
     return scores.join(counts, "query_id", "left").select(
         "query_id", "n_hits", F.coalesce("max_pages", F.lit(0)).cast("long").alias("max_pages"),
         r6("prec"), r6("ap"), r6("ndcg"), r6("first_page_ratio"),
     )
+
+
+@query("C6 P6 P7 P9 J10 T1 A6 A7 A19 W3", with_views("""
+    SELECT r.query_id, r.doc_id, r.score, r.rank, CAST((r.rank - 1) // 8 AS BIGINT) AS page, c.title, substring(c.content, 1, 150) AS snippet,
+           coalesce(a.grade, 0) AS grade, m.n_hits, m.n_hits // 8 AS max_pages, round(CAST(m.prec AS DOUBLE), 6) AS prec, round(m.ap, 6) AS ap,
+           round(CASE WHEN m.best = 0 THEN 0.0 ELSE m.dcg / m.best END, 6) AS ndcg,
+           round(CASE WHEN m.best_page = 0 THEN 0.0 ELSE CAST(m.page AS DOUBLE) / CAST(m.best_page AS DOUBLE) END, 6) AS first_page_ratio
+    FROM routed r JOIN queries q ON q.query_id = r.query_id JOIN corpus c ON c.doc_id = r.doc_id JOIN page_metrics m ON m.query_id = r.query_id
+    LEFT JOIN annotated a ON a.doc_id = r.doc_id AND a.topic_id = q.topic_id""", PAGE_SCORE_VIEWS | {"routed": """
+        SELECT query_id, doc_id, score, rank FROM content_hits WHERE rank <= 16 AND NOT starts_with(query_id, '7-')
+        UNION ALL SELECT query_id, doc_id, score, rank FROM title_hits WHERE rank <= 16 AND starts_with(query_id, '7-')"""}))
+def routed_result_page(spark, d):
+    """Hits, each topic's from its field, with title, snippet, grade, page number, metrics and last page."""
+    queries, both = report.search_fields(I.queries(spark, d), ["7"], special="title"), ["content", "title"]
+    stored = I.content_index(spark, d, *both)
+    page = report.result_page(search.bm25_search(stored, queries, both, 16), queries, stored.documents)
+    return page.select(
+        "query_id", "doc_id", "score", "rank", "page", "title", "snippet", "grade", "n_hits", "max_pages",
+        r6("prec"), r6("ap"), r6("ndcg"), r6("first_page_ratio"),
+    )

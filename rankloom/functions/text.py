@@ -116,11 +116,11 @@ def analyze(field: str, text: Column) -> Column:
     return FIELD_ANALYZERS.get(field, standard_terms)(text)
 
 
-def count_terms(df: DataFrame, keep: list[str], tokens: str = "tokens", outer: bool = False) -> DataFrame:
-    """One row per distinct term of each row's token array: ``(*keep, n_tokens, term, tf)``.
+def term_counts(df: DataFrame, keep: list[str], tokens: str = "tokens") -> DataFrame:
+    """Distinct terms of each row's token array with their counts: ``(*keep, n_tokens, terms)``.
 
-    Counted inside the row (sort, then run lengths), so no shuffle is needed: a text's tokens never
-    leave its task. ``outer`` keeps rows without tokens, with a NULL term.
+    ``terms`` is an array of ``(term, tf)`` in term order. Counted inside the row (sort, then run
+    lengths), so no shuffle is needed: a text's tokens never leave its task.
     """
     held = df.select(*keep, F.sort_array(tokens).alias("_terms"))
     terms, starts = F.col("_terms"), F.col("_starts")
@@ -142,5 +142,13 @@ def count_terms(df: DataFrame, keep: list[str], tokens: str = "tokens", outer: b
             (F.coalesce(F.get(starts, i + 1), F.size(terms)) - start).alias("tf"),
         ),
     )
+    return runs.select(*keep, F.size(terms).alias("n_tokens"), counted.alias("terms"))
+
+
+def count_terms(df: DataFrame, keep: list[str], tokens: str = "tokens", outer: bool = False) -> DataFrame:
+    """One row per distinct term of each row's token array: ``(*keep, n_tokens, term, tf)``.
+
+    ``outer`` keeps rows without tokens, with a NULL term.
+    """
     unnest = F.inline_outer if outer else F.inline
-    return runs.select(*keep, F.size(terms).alias("n_tokens"), unnest(counted))
+    return term_counts(df, keep, tokens).select(*keep, "n_tokens", unnest("terms"))

@@ -5,24 +5,54 @@ from __future__ import annotations
 import uuid
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rankloom.functions.text import analyze, count_terms
+from rankloom.functions.text import analyze, term_counts
 
-PARTS = ("postings", "field_stats", "term_stats")
+PARTS = ("documents", "forward", "blocks", "bitmaps", "field_stats", "term_stats")
+# Postings of one block, and of one piece of a term: a term with more is cut by document. At most
+# ``MOST_CUT`` terms are cut; beyond that the limit rises with the index.
+BLOCK_POSTINGS = 256
+PIECE_POSTINGS = 1_000_000
+MOST_CUT = 100_000
+
+
+# A term of at least one in so many documents of a field also has bitmaps. Such terms are few: at most
+# this number times the distinct terms of a mean document.
+BITMAP_SHARE = 64
+# The usual parameters of BM25, under which impacts are stored.
+K1, B = 1.2, 0.75
 
 
 class Index(NamedTuple):
-    """Postings, field statistics and term statistics.
+    """An index as tables.
 
     ``postings(field, doc_id, term, tf, doc_len)``, ``field_stats(field, n_docs, avg_len)`` and
-    ``term_stats(field, term, df)``.
+    ``term_stats(field, term, df)``. A stored index also has:
+
+    * ``documents``: the stored columns of every document and its number ``doc_no``, bucketed and
+      sorted by ``doc_id``;
+    * ``forward(field, doc_id, doc_no, doc_len, terms)``: each document's terms, in the same buckets;
+      ``postings`` are these rows opened;
+    * ``bitmaps(field, part, term, bucket, bits)``: for frequent terms the numbers of their documents,
+      in the layout of Spark's bitmap functions;
+    * ``blocks(field, part, piece, term, block, n, impact, max_tf, min_len, entries)``: the postings by
+      term, partitioned by field and ``part``, a hash of the term. A block holds up to
+      ``BLOCK_POSTINGS`` documents of one term, those that it says most about first. ``impact`` is the
+      largest saturation (what a query word of weight 1 adds) under the usual parameters, ``max_tf``
+      and ``min_len`` bound it under any;
+    * in ``term_stats`` each term's ``part``, whether it is ``frequent``, and the same bounds of all its
+      blocks.
     """
 
     postings: DataFrame
     field_stats: DataFrame
     term_stats: DataFrame
+    documents: DataFrame | None = None
+    forward: DataFrame | None = None
+    blocks: DataFrame | None = None
+    bitmaps: DataFrame | None = None
 
 
 def index_documents(corpus: DataFrame) -> DataFrame:
@@ -42,28 +72,45 @@ def index_documents(corpus: DataFrame) -> DataFrame:
     )
 
 
-def analyzed_fields(docs: DataFrame, fields: list[str]) -> DataFrame:
-    """``(field, doc_id, tokens)``; one scan of the documents serves all fields."""
+def sources_of(fields: list[str] | dict[str, str]) -> dict[str, str]:
+    """The column that each index field analyses: its own, unless ``fields`` maps it to another."""
+    return fields if isinstance(fields, dict) else {f: f for f in fields}
+
+
+def analyzed_fields(docs: DataFrame, fields: list[str] | dict[str, str], *keep: str) -> DataFrame:
+    """``(field, doc_id, *keep, tokens)``; one scan of the documents serves all fields."""
     tokens = F.array(
         *[
-            F.struct(F.lit(f).alias("field"), analyze(f, F.col(f)).alias("tokens"))
-            for f in fields
+            F.struct(F.lit(f).alias("field"), analyze(f, F.col(column)).alias("tokens"))
+            for f, column in sources_of(fields).items()
         ]
     )
-    return docs.select("doc_id", F.inline(tokens)).select("field", "doc_id", "tokens")
+    return docs.select("doc_id", *keep, F.inline(tokens)).select("field", "doc_id", *keep, "tokens")
+
+
+def forward_rows(docs: DataFrame, fields: list[str] | dict[str, str], *keep: str) -> DataFrame:
+    """``(field, doc_id, *keep, doc_len, terms)``: the distinct terms of each field of each document.
+
+    Counted inside each document's row, without a shuffle.
+    """
+    counted = term_counts(analyzed_fields(docs, fields, *keep), ["field", "doc_id", *keep])
+    return counted.select("field", "doc_id", *keep, F.col("n_tokens").alias("doc_len"), "terms")
+
+
+def opened(forward: DataFrame, *keep: str) -> DataFrame:
+    """Postings ``(field, doc_id, *keep, term, tf, doc_len)`` of forward rows."""
+    rows = forward.select("field", "doc_id", *keep, "doc_len", F.inline("terms"))
+    return rows.select("field", "doc_id", *keep, "term", "tf", "doc_len")
 
 
-def build_index(docs: DataFrame, fields: list[str]) -> Index:
+def build_index(docs: DataFrame, fields: list[str] | dict[str, str]) -> Index:
     """Postings and field statistics of the named text fields.
 
-    Postings are counted inside each document's row, without a shuffle. All tables are lazy;
-    :func:`write_index` stores them, which pays off from the second search on.
+    All tables are lazy; :func:`write_index` stores them, which pays off from the second search on.
     """
-    analyzed = analyzed_fields(docs, fields)
-    postings = count_terms(analyzed, ["field", "doc_id"]).select(
-        "field", "doc_id", "term", "tf", F.col("n_tokens").alias("doc_len")
-    )
-    lengths = analyzed.select("field", F.size("tokens").alias("doc_len"))
+    forward = forward_rows(docs, fields)
+    postings = opened(forward)
+    lengths = analyzed_fields(docs, fields).select("field", F.size("tokens").alias("doc_len"))
     return Index(postings, field_statistics(lengths), term_statistics(postings))
 
 
@@ -81,6 +128,60 @@ def term_statistics(postings: DataFrame) -> DataFrame:
     return postings.groupBy("field", "term").agg(F.count("*").alias("df"))
 
 
+def saturation(tf: str, doc_len: str, average: Column | str, k1: float = K1, b: float = B) -> Column:
+    """What one query word of weight 1 adds: grows with ``tf``, falls with ``doc_len``."""
+    average = F.col(average) if isinstance(average, str) else average
+    return F.col(tf) * (k1 + 1) / (F.col(tf) + k1 * (1 - b + b * F.col(doc_len) / average))
+
+
+def bounds() -> list[Column]:
+    return [F.max("impact").alias("impact"), F.max("tf").alias("max_tf"), F.min("doc_len").alias("min_len")]
+
+
+def bounded_statistics(postings: DataFrame) -> DataFrame:
+    """As :func:`term_statistics`, with the bounds of each term's ``impact``, ``tf`` and length."""
+    return postings.groupBy("field", "term").agg(F.count("*").alias("df"), *bounds())
+
+
+def with_impact(postings: DataFrame, field_stats: DataFrame) -> DataFrame:
+    """Postings with their saturation under the usual parameters as ``impact``; one row per field is broadcast."""
+    averages = F.broadcast(field_stats.select("field", "avg_len"))
+    return postings.join(averages, "field").withColumn("impact", saturation("tf", "doc_len", "avg_len")).drop("avg_len")
+
+
+def term_blocks(postings: DataFrame, term_stats: DataFrame) -> DataFrame:
+    """The postings by term, in blocks: see :class:`Index`. ``postings`` have their ``part``.
+
+    A frequent term is cut into pieces by document before it is shuffled, so no task holds all of its
+    postings; the table of cut terms is bounded and broadcast.
+    """
+    total = term_stats.agg(F.sum("df")).scalar()
+    limit = F.greatest(F.lit(PIECE_POSTINGS), F.coalesce((total / MOST_CUT).cast("long"), F.lit(0)))
+    cut = term_stats.where(F.col("df") > limit).select("field", "term", F.ceil(F.col("df") / limit).cast("int").alias("pieces"))
+    group = ["field", "part", "piece"]
+    dealt = postings.join(F.broadcast(cut), ["field", "term"], "left").select(
+        "field",
+        "part",
+        F.pmod(F.xxhash64("doc_id"), F.coalesce("pieces", F.lit(1))).cast("int").alias("piece"),
+        "term",
+        "doc_id",
+        "doc_no",
+        "tf",
+        "doc_len",
+        "impact",
+    )
+    # One shuffle serves the order, the blocks and the files.
+    best = Window.partitionBy(*group, "term").orderBy(F.col("impact").desc(), "doc_id")
+    numbered = dealt.repartition(*group).withColumn(
+        "block", F.floor((F.row_number().over(best) - 1) / BLOCK_POSTINGS).cast("int")
+    )
+    return numbered.groupBy(*group, "term", "block").agg(
+        F.count("*").alias("n"),
+        *bounds(),
+        F.collect_list(F.struct("doc_id", "doc_no", "tf", "doc_len")).alias("entries"),
+    )
+
+
 def with_ordinal(scan: DataFrame) -> DataFrame:
     """Add the position of each row of a file scan, from 0, as ``ordinal``: files by path, then rows.
 
@@ -106,14 +207,43 @@ def with_ordinal(scan: DataFrame) -> DataFrame:
     )
 
 
-def write_index(docs: DataFrame, fields: list[str], name: str, path: str, buckets: int) -> None:
+def term_bitmaps(postings: DataFrame, term_stats: DataFrame) -> DataFrame:
+    """Numbers of the documents of each frequent term: see :class:`Index`. ``postings`` have their ``part``.
+
+    Combined in the tasks; the table of frequent terms is bounded and broadcast.
+    """
+    frequent = F.broadcast(term_stats.where("frequent").select("field", "term"))
+    return (
+        postings.join(frequent, ["field", "term"])
+        .select("field", "part", "term", *bit_of_document())
+        .groupBy("field", "part", "term", "bucket")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+
+
+def bit_of_document() -> list[Column]:
+    """``bucket`` and ``bit`` of a document's number; numbers are dense within a bucket of documents."""
+    number = F.col("doc_no") + 1
+    return [F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).alias("bit")]
+
+
+def write_index(
+    docs: DataFrame,
+    fields: list[str] | dict[str, str],
+    name: str,
+    path: str,
+    buckets: int,
+    parts: int | None = None,
+) -> None:
     """Create or replace the stored index ``name`` of ``docs`` under ``path``.
 
-    The documents are moved to their buckets before they are analysed, so the texts are shuffled
-    once and the far more numerous postings never. Postings are partitioned by field, bucketed by
-    document and sorted by term: a search reads the postings of its fields once and sums each
-    document's scores without a shuffle. Choose ``buckets`` so that a bucket stays within a few
-    hundred megabytes. Field and term statistics are counted on the stored postings.
+    ``fields`` are columns of ``docs``, or map a field to the column that it analyses; all columns are
+    stored. The documents are moved to their buckets once, and analysed there: documents and forward
+    rows are bucketed and sorted by ``doc_id``, so that they meet each other, and hits moved to their
+    buckets, without a shuffle. Term statistics come from the forward rows. The postings by term take
+    one shuffle; ``parts`` (as many as ``buckets`` unless given) is the number of folders of a field,
+    of which a search reads those of its terms. Choose ``buckets`` so that a bucket stays within a few
+    hundred megabytes.
 
     Every index has folders of its own; tables of the old index are dropped when the new files are
     complete, so a failed build leaves the old index as it was.
@@ -121,37 +251,33 @@ def write_index(docs: DataFrame, fields: list[str], name: str, path: str, bucket
     spark = docs.sparkSession
     path = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
     fresh = f"{name}_{uuid.uuid4().hex[:8]}"
-    placed = docs.select("doc_id", *fields).repartition(buckets, "doc_id")
-    (
-        build_index(placed, fields)
-        .postings.write.mode("overwrite")
-        .option("path", f"{path}/postings")
-        .partitionBy("field")
-        .bucketBy(buckets, "doc_id")
-        .sortBy("term")
-        .saveAsTable(f"{fresh}_postings")
-    )
-    stored = spark.table(f"{fresh}_postings")
-    lengths = stored.groupBy("field", "doc_id").agg(
-        F.first("doc_len").alias("doc_len")
-    )
-    (
-        field_statistics(lengths)
-        .write.mode("overwrite")
-        .option("path", f"{path}/field_stats")
-        .saveAsTable(f"{fresh}_field_stats")
-    )
-    (
-        term_statistics(stored)
-        .write.mode("overwrite")
-        .option("path", f"{path}/term_stats")
-        .partitionBy("field")
-        .saveAsTable(f"{fresh}_term_stats")
-    )
+
+    def stored(rows: DataFrame, part: str, by: list[str], bucketed: bool) -> DataFrame:
+        writer = rows.write.mode("overwrite").option("path", f"{path}/{part}")
+        writer = writer.partitionBy(*by) if by else writer
+        writer = writer.bucketBy(buckets, "doc_id").sortBy("doc_id") if bucketed else writer
+        writer.saveAsTable(f"{fresh}_{part}")
+        return spark.table(f"{fresh}_{part}")
+
+    numbered = docs.repartition(buckets, "doc_id").withColumn("doc_no", F.monotonically_increasing_id())
+    documents = stored(numbered, "documents", [], True)
+    forward = stored(forward_rows(documents, fields, "doc_no"), "forward", ["field"], True)
+    field_stats = stored(field_statistics(forward), "field_stats", [], False)
+    folder = F.pmod(F.xxhash64("term"), F.lit(parts or buckets)).cast("int")
+    postings = with_impact(opened(forward, "doc_no"), field_stats).withColumn("part", folder)
+    sizes = F.broadcast(field_stats.select("field", "n_docs"))
+    counted = bounded_statistics(postings).join(sizes, "field").withColumn("part", folder)
+    counted = counted.withColumn("frequent", F.col("df") * BITMAP_SHARE >= F.col("n_docs")).drop("n_docs")
+    term_stats = stored(counted, "term_stats", ["field"], False)
+    blocks = term_blocks(postings, term_stats)
+    stored(blocks.sortWithinPartitions("field", "part", "term"), "blocks", ["field", "part"], False)
+    bitmaps = term_bitmaps(postings, term_stats).repartition("field", "part")
+    stored(bitmaps.sortWithinPartitions("field", "part", "term"), "bitmaps", ["field", "part"], False)
     for part in PARTS:
         spark.sql(f"DROP TABLE IF EXISTS {name}_{part}")
         spark.sql(f"ALTER TABLE {fresh}_{part} RENAME TO {name}_{part}")
 
 
 def read_index(spark: SparkSession, name: str) -> Index:
-    return Index(*(spark.table(f"{name}_{part}") for part in PARTS))
+    documents, forward, blocks, bitmaps, field_stats, term_stats = (spark.table(f"{name}_{part}") for part in PARTS)
+    return Index(opened(forward), field_stats, term_stats, documents, forward, blocks, bitmaps)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.annotations import grade_for_topic, grade_of, topic_of, well_formed
 from rankloom.functions.text import snippet
-from rankloom.operators.evaluate import hits_with
+from rankloom.operators.evaluate import hits_with, score
+from rankloom.plans.scratch import materialise
 
 
 def relevance_counts(docs: DataFrame, topic_id: str | None = None) -> DataFrame:
@@ -76,6 +77,20 @@ def result_counts(hits: DataFrame, size: int = 8) -> DataFrame:
 
     Takes ranked hits, or the unranked scores if all matches are to be counted.
     """
-    return hits.groupBy("query_id").agg(
-        F.count("*").alias("n_hits"), F.floor(F.count("*") / size).alias("max_pages")
-    )
+    return with_pages(hits.groupBy("query_id").agg(F.count("*").alias("n_hits")), size)
+
+
+def with_pages(counts: DataFrame, size: int = 8) -> DataFrame:
+    """Add ``max_pages``, the number of the last page, to ``(query_id, n_hits)``."""
+    return counts.withColumn("max_pages", F.floor(F.col("n_hits") / size))
+
+
+def result_page(hits: DataFrame, queries: DataFrame, docs: DataFrame, depth: int = 16, size: int = 8) -> DataFrame:
+    """All that a result page shows, from one judged table.
+
+    The first ``depth`` hits with title, snippet, grade and page number, and beside each hit its
+    query's number of hits, last page and metrics at ``size``. The hits may come from several fields.
+    """
+    shown = materialise(enriched_hits(hits, queries, docs, depth), "page")
+    page_no = F.floor((F.col("rank") - 1) / size)
+    return shown.withColumn("page", page_no).join(with_pages(score(shown, queries, size), size), "query_id")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import analyze, count_terms
-from rankloom.operators.index import Index
-from rankloom.plans.joins import broadcast_if, small_table, split_join
+from rankloom.operators.index import K1, B, Index, bit_of_document, saturation
+from rankloom.plans.joins import broadcast_if, fits, small_table, split_join
 from rankloom.plans.ranking import ranked, rounded
 from rankloom.plans.scratch import materialise
 
@@ -43,8 +45,24 @@ def _statistic(index: Index, fields: list[str], name: str) -> Column:
     )
 
 
+def weighted_terms(index: Index, terms: DataFrame, fields: list[str], small: bool) -> DataFrame:
+    """Query terms that the index has: ``(query_id, field, term, weight)`` and the term's statistics."""
+    wanted = terms.select("field", "term").distinct()
+    # The query terms' row of the statistics, at most one for each of them.
+    stats = index.term_stats.where(F.col("field").isin(fields)).join(broadcast_if(wanted, small), ["field", "term"], "left_semi")
+    df, n_docs = F.col("df"), _statistic(index, fields, "n_docs")
+    return terms.join(broadcast_if(stats, small), ["field", "term"]).withColumn(
+        "weight", F.col("qtf") * F.log(1 + (n_docs - df + 0.5) / (df + 0.5))
+    ).drop("qtf")
+
+
+def _bound(average: Column, k1: float, b: float) -> Column:
+    """The largest saturation in a block, or of a term."""
+    return F.col("impact") if (k1, b) == (K1, B) else saturation("max_tf", "min_len", average, k1, b)
+
+
 def bm25_scores(
-    index: Index, queries: DataFrame, fields: list[str], k1: float = 1.2, b: float = 0.75
+    index: Index, queries: DataFrame, fields: list[str], k1: float = K1, b: float = B
 ) -> DataFrame:
     """Score of every document that holds a query term: ``(query_id, doc_id, score)``.
 
@@ -54,27 +72,16 @@ def bm25_scores(
     """
     terms = materialise(query_terms(queries, fields), "query-terms")
     small = small_table(terms)
-    wanted = terms.select("field", "term").distinct()
-    # The query terms' row of the statistics, at most one for each of them.
-    frequencies = index.term_stats.where(F.col("field").isin(fields)).join(broadcast_if(wanted, small), ["field", "term"], "left_semi")
-    df, n_docs = F.col("df"), _statistic(index, fields, "n_docs")
-    weights = terms.join(broadcast_if(frequencies, small), ["field", "term"]).select(
-        "query_id",
-        "field",
-        "term",
-        (F.col("qtf") * F.log(1 + (n_docs - df + 0.5) / (df + 0.5))).alias("weight"),
-    )
-    tf = F.col("tf")
-    length = k1 * (1 - b + b * F.col("doc_len") / _statistic(index, fields, "avg_len"))
+    known = weighted_terms(index, terms, fields, small)
+    weights = known.select("query_id", "field", "term", "weight")
     saturated = index.postings.where(F.col("field").isin(fields)).select(
-        "field", "doc_id", "term", (tf * (k1 + 1) / (tf + length)).alias("saturation")
+        "field", "doc_id", "term", saturation("tf", "doc_len", _statistic(index, fields, "avg_len"), k1, b).alias("saturation")
     )
     if small:
         matched = saturated.join(F.broadcast(weights), ["field", "term"])
     else:
-        matched = split_join(
-            saturated, weights, ["field", "term"], counts=frequencies.select("field", "term", F.col("df").alias("rows"))
-        )
+        counts = known.select("field", "term", F.col("df").alias("rows")).distinct()
+        matched = split_join(saturated, weights, ["field", "term"], counts=counts)
     return matched.groupBy("query_id", "doc_id").agg(
         rounded(F.sum(F.col("weight") * F.col("saturation"))).alias("score")
     )
@@ -85,12 +92,140 @@ def bm25_search(
     queries: DataFrame,
     fields: str | list[str] = "content",
     k: int = 20,
-    k1: float = 1.2,
-    b: float = 0.75,
+    k1: float = K1,
+    b: float = B,
+) -> DataFrame:
+    """The first ``k`` hits of each query: ``(query_id, doc_id, score, rank)``.
+
+    A stored index is searched with bounds (:func:`pruned_scores`), another one by scoring every
+    document that holds a query term; the hits are the same.
+    """
+    fields = [fields] if isinstance(fields, str) else fields
+    if index.blocks is None:
+        return ranked(bm25_scores(index, queries, fields, k1, b), k)
+    return ranked(pruned_scores(index, queries, fields, k, k1, b), k)
+
+
+# Terms of a query whose best blocks give the first candidates, and candidates taken of them, as a
+# multiple of k. A bound that is short of the threshold by less than SLACK is no reason to drop.
+SEED_TERMS = 8
+SEEDS = 3
+SLACK = 1e-5
+# The terms that are not read may add up to this share of the threshold: the lower, the more postings
+# are opened and the fewer documents are scored in full.
+UNREAD = 0.5
+
+
+def pruned_scores(
+    index: Index, queries: DataFrame, fields: list[str], k: int, k1: float = K1, b: float = B
+) -> DataFrame:
+    """Exact scores ``(query_id, doc_id, score)`` of all documents that can be among the first ``k``.
+
+    Two phases. The best blocks of each query's weightiest terms give candidates; their exact scores
+    give a threshold, at most the score of the k-th hit. Then every query ranks its terms by the most
+    that they can add: the weakest ones, which together stay below the threshold, cannot make a
+    document a hit by themselves and are not read. Of the others only blocks are opened that can still
+    reach the threshold, and of their documents only those are scored in full that can reach it, too.
+
+    Postings are read by the folders of the wanted terms (dynamic partition pruning); full scores come
+    from the forward rows of the few documents left, in their buckets.
+    """
+    terms = materialise(query_terms(queries, fields), "query-terms")
+    small = small_table(terms)
+    average = _statistic(index, fields, "avg_len")
+    known = weighted_terms(index, terms, fields, small).withColumn("average", average)
+    most = F.col("weight") * _bound(F.col("average"), k1, b)
+    known = materialise(known.withColumn("most", most).drop("impact", "max_tf", "min_len", "df", "frequent"), "query-weights")
+
+    by_weight = Window.partitionBy("query_id").orderBy(F.col("weight").desc(), "term")
+    heavy = known.withColumn("place", F.row_number().over(by_weight)).where(F.col("place") <= SEED_TERMS)
+    first = _opened(index, heavy, fields, small, F.col("block") == 0, k1, b)
+    seeds = ranked(first.groupBy("query_id", "field", "doc_id").agg(rounded(F.sum("part_score")).alias("score")), SEEDS * k, "field")
+    scores = ranked(_full_scores(index, materialise(seeds, "seeds"), known, fields, small, k1, b), k)
+    thresholds = materialise(scores.where(F.col("rank") == k).select("query_id", F.col("score").alias("threshold")), "thresholds")
+
+    weakest = Window.partitionBy("query_id").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("query_id")
+    reach = F.coalesce("threshold", F.lit(0.0)) - SLACK
+    bounded = known.join(broadcast_if(thresholds, small), "query_id", "left").select(
+        *known.columns,
+        reach.alias("reach"),
+        (F.sum("most").over(whole) - F.col("most")).alias("others"),
+        F.sum("most").over(weakest).alias("below"),
+    )
+    unread = F.col("below") < UNREAD * F.col("reach")
+    bounded = bounded.withColumn("rest", F.coalesce(F.max(F.when(unread, F.col("below"))).over(whole), F.lit(0.0)))
+    essential = materialise(bounded.where(~unread), "essential-terms")
+    block_most = F.col("weight") * _bound(F.col("average"), k1, b)
+    parts = _opened(index, essential, fields, small, block_most + F.col("others") >= F.col("reach"), k1, b)
+    near = (
+        parts.groupBy("query_id", "field", "doc_id")
+        .agg(F.sum("part_score").alias("found"), F.first("rest").alias("rest"), F.first("reach").alias("reach"))
+        .where(F.col("found") + F.col("rest") >= F.col("reach"))
+        .select("query_id", "field", "doc_id")
+    )
+    return _full_scores(index, materialise(near, "candidates"), known, fields, small, k1, b)
+
+
+def _opened(
+    index: Index, wanted: DataFrame, fields: list[str], small: bool, keep: Column, k1: float, b: float
+) -> DataFrame:
+    """Postings of the wanted terms from the blocks that ``keep`` wants, with what each adds to a score."""
+    blocks = index.blocks.where(F.col("field").isin(fields)).drop("piece", "n")
+    terms = wanted.where(F.col("most") > 0)
+    on = ["field", "part", "term"]
+    joined = blocks.join(F.broadcast(terms), on) if small else split_join(blocks, terms, on, spread_by="block")
+    held = [c for c in ("rest", "reach") if c in wanted.columns]
+    entries = joined.where(keep).select("query_id", "field", "weight", "average", *held, F.inline("entries"))
+    return entries.select(
+        "query_id", "field", "doc_id", *held, (F.col("weight") * saturation("tf", "doc_len", F.col("average"), k1, b)).alias("part_score")
+    )
+
+
+def _full_scores(
+    index: Index, pairs: DataFrame, known: DataFrame, fields: list[str], small: bool, k1: float, b: float
 ) -> DataFrame:
-    """The first ``k`` hits of each query: ``(query_id, doc_id, score, rank)``."""
+    """Scores of the given ``pairs(query_id, field, doc_id)`` from the documents' forward rows.
+
+    The pairs go to the documents' buckets, or are broadcast; the forward rows are not shuffled.
+    """
+    few = fits(pairs.count())
+    weights = known.select("query_id", "term", "weight", "average")
+    scored = []
+    for field in fields:
+        rows = index.forward.where(F.col("field") == field).select("doc_id", "doc_len", "terms")
+        asked = pairs.where(F.col("field") == field).select("query_id", "doc_id")
+        terms = rows.join(broadcast_if(asked, few), "doc_id").select("query_id", "doc_id", "doc_len", F.inline("terms"))
+        on = ["query_id", "term"]
+        matched = terms.join(F.broadcast(weights), on) if small else split_join(terms, weights, on)
+        part = F.col("weight") * saturation("tf", "doc_len", F.col("average"), k1, b)
+        scored.append(matched.groupBy("query_id", "doc_id").agg(rounded(F.sum(part)).alias("score")))
+    return reduce(DataFrame.unionByName, scored)
+
+
+def match_counts(index: Index, queries: DataFrame, fields: str | list[str] = "content") -> DataFrame:
+    """Number of documents that hold a word of each query, unscored: ``(query_id, n_hits)``.
+
+    From a stored index. The documents of frequent terms come as bitmaps, those of rare ones from
+    their postings; they are united by query and bucket of documents, so the state is a few kilobytes
+    for tens of thousands of documents.
+    """
     fields = [fields] if isinstance(fields, str) else fields
-    return ranked(bm25_scores(index, queries, fields, k1, b), k)
+    terms = materialise(query_terms(queries, fields), "query-terms")
+    small = small_table(terms)
+    known = weighted_terms(index, terms, fields, small).select("query_id", "field", "part", "term", "frequent", "weight")
+    known = materialise(known, "query-weights")
+
+    def matched(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        rows, wanted, on = rows.where(F.col("field").isin(fields)), wanted.where(F.col("weight") > 0), ["field", "part", "term"]
+        return rows.join(F.broadcast(wanted), on) if small else split_join(rows, wanted, on, spread_by=F.lit(0))
+
+    maps = matched(index.bitmaps, known.where("frequent")).groupBy("query_id", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    entries = matched(index.blocks.select("field", "part", "term", "entries"), known.where("NOT frequent"))
+    numbers = entries.select("query_id", F.explode("entries.doc_no").alias("doc_no")).select("query_id", *bit_of_document())
+    rare = numbers.groupBy("query_id", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    united = maps.unionByName(rare).groupBy("query_id", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return united.groupBy("query_id").agg(F.sum(F.bitmap_count("bits")).alias("n_hits"))
 
 
 def union_hits(*hits: DataFrame) -> DataFrame:

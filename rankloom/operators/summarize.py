@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.text import count_terms, standard_terms
 from rankloom.operators.tfidf import fit_tfidf, term_rows
-from rankloom.plans.joins import split_join
+from rankloom.plans.joins import small_table, split_join
 from rankloom.plans.ranking import rounded
+from rankloom.plans.scratch import materialise
 
 
 def chunks_of(text: Column, k: int = 1024, keep_empty_tail: bool = True) -> Column:
@@ -57,9 +58,12 @@ def sentence_weights(chunks: DataFrame, idf: DataFrame) -> DataFrame:
         "doc_id", "chunk_no", F.posexplode(sentences(F.col("chunk"))).alias("sentence_no", "s")
     ).select(*keys, standard_terms(F.col("s")).alias("tokens"))
     terms = count_terms(tokens, keys)
-    weighed = split_join(
-        terms, idf.select("term", "idf"), ["term"], spread_by=F.struct(*keys), counts=idf.select("term", F.col("df").alias("rows"))
-    )
+    idf = materialise(idf.select("term", "df", "idf"), "idf")
+    values = idf.select("term", "idf")
+    if small_table(values):
+        weighed = terms.join(F.broadcast(values), "term")
+    else:
+        weighed = split_join(terms, values, ["term"], spread_by=F.struct(*keys), counts=idf.select("term", F.col("df").alias("rows")))
     return weighed.groupBy(*keys).agg(
         rounded(F.sum(F.col("tf") * F.col("idf")) / F.first("n_tokens")).alias("weight")
     )
@@ -125,14 +129,15 @@ def summarize(
     docs: DataFrame,
     make_summarizer: Callable[[], Callable[[list[str], int, int], list[str]]] | None = None,
     k: int = 1024,
+    idf: DataFrame | None = None,
 ) -> DataFrame:
     """Summary of each document: chunk, summarise each chunk, join.
 
-    Without a model each chunk gives its sentence of highest mean tf-idf weight, with
-    document frequencies of the whole corpus.
+    Without a model each chunk gives its sentence of highest mean tf-idf weight, with document
+    frequencies of the whole corpus: those of ``idf(term, df, idf)`` if they are known already.
     """
     chunks = split_chunks(docs, k)
     if make_summarizer is not None:
         return join_summaries(model_summaries(chunks, make_summarizer))
-    idf = fit_tfidf(term_rows(docs), docs)
+    idf = fit_tfidf(term_rows(docs), docs) if idf is None else idf
     return join_summaries(extract_summaries(chunks, idf))

@@ -19,14 +19,16 @@ def best_first() -> list[Column]:
     return [F.col("score").desc_nulls_last(), F.col("doc_id").cast("string").desc()]
 
 
-def ranked(scored: DataFrame, k: int | None = None) -> DataFrame:
+def ranked(scored: DataFrame, k: int | None = None, *keep: str) -> DataFrame:
     """Rank ``(query_id, doc_id, score)`` within each query and keep the first ``k``.
 
+    The columns ``keep`` stay, too.
+
     With ``k`` the plan holds a WindowGroupLimit before the shuffle, so each task passes on at most
     ``k`` rows per query.
     """
     window = Window.partitionBy("query_id").orderBy(*best_first())
-    hits = scored.select("query_id", "doc_id", "score").withColumn(
+    hits = scored.select("query_id", *keep, "doc_id", "score").withColumn(
         "rank", F.row_number().over(window)
     )
     return hits if k is None else hits.where(F.col("rank") <= k)

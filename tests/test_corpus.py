@@ -193,3 +193,42 @@ def test_prepared_records(spark):
     assert record.summary_vector == [[1.0], [2.0]]
     rows = prepare.summary_sentences(docs).orderBy("sentence_no").collect()
     assert [r.sentence for r in rows] == ["s", " u", ""]
+
+
+def test_pooling_beyond_the_broadcast_limit(spark, monkeypatch):
+    texts = spark.createDataFrame([(1, "a", "Cars and cars, unknown"), (2, "b", "and"), (2, "c", ""), (3, "d", "cars trees")], "doc_id long, part string, content string")
+    words = spark.createDataFrame([("cars", [3.0, 0.0]), ("and", [9.0, 9.0]), ("trees", [0.0, 5.0])], "term string, vec array<double>")
+    stops = spark.createDataFrame([("and",)], "term string")
+    keys = ["doc_id", "part"]
+    local = sorted(pooling.mean_pool(texts, words, stops, 2, keys).collect())
+    monkeypatch.setattr(pooling, "small_table", lambda df: False)
+    assert sorted(pooling.mean_pool(texts, words, stops, 2, keys).collect()) == local
+    assert [r.vec for r in local] == [[2.0, 0.0], [0.0, 0.0], [0.0, 0.0], [1.5, 2.5]]
+
+
+def test_models_by_topic(spark):
+    """Each topic's weights come from its own model, whatever the vocabulary's size."""
+    docs = spark.createDataFrame(
+        [(1, "red car", "7-2"), (2, "red tree", "7-1"), (3, "red car", "8-2"), (4, "blue", ""), (5, "red car car", "9")],
+        "doc_id long, content string, annotation string",
+    )
+    lexicon = spark.createDataFrame([("red", "ADJ"), ("car", "NOUN"), ("tree", "NOUN")], "term string, tag string")
+    stops = spark.createDataFrame([("the",)], "term string")
+    models = tfidf.topic_models(docs, lexicon, stops)
+    by_term = {(r.topic_id, r.term): (r.df, r.idf) for r in models.collect()}
+    assert by_term[("7", "red")] == (2, 1.0) and by_term[("7", "car")] == (1, pytest.approx(np.log(3 / 2) + 1))
+    assert set(by_term) == {("7", "red"), ("7", "car"), ("7", "tree"), ("8", "red"), ("8", "car")}
+    first = tfidf.topic_models(docs, lexicon, stops, limit=1)
+    assert {(r.topic_id, r.term) for r in first.collect()} == {("7", "red"), ("7", "car"), ("8", "red"), ("8", "car")}
+    words = spark.createDataFrame([("red", [1.0, 0.0]), ("car", [0.0, 1.0]), ("tree", [1.0, 1.0])], "term string, vec array<double>")
+    asked = spark.createDataFrame([("a", "7", "tree car"), ("b", "8", "tree car"), ("c", "10", "car")], "query_id string, topic_id string, query_text string")
+    hits = spark.createDataFrame([(q, i) for q in "abc" for i in (1, 2, 4)], "query_id string, doc_id long")
+    got = {(r.query_id, r.doc_id): r.score for r in tfidf.topic_rerank(hits, docs, asked, models, words, stops, 2, keywords=1).collect()}
+
+    def angle(x, y):
+        return pytest.approx(round(float(np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y)), 6), abs=1e-6)
+
+    # Topic 7 knows "tree", topic 8 does not; topic 10 has no model, its texts stand alone.
+    assert got[("a", 2)] == angle([5 + 0.5, 5 + 1.0], [5 + 1.0, 5 + 0.5])
+    assert got[("b", 1)] == angle([0 + 0.5, 5 + 1.0], [5 + 0.5, 0 + 0.5])
+    assert got[("c", 1)] == angle([0, 1.0], [0.5, 0.5]) and got[("c", 4)] is None

@@ -1,10 +1,12 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from rankloom.operators import evaluate, index, report, rerank, search
 from rankloom.plans.ranking import ranked
+from rankloom.plans.scratch import materialise
 
 
 @pytest.fixture(scope="module")
@@ -190,4 +192,103 @@ def test_a_stored_index_has_its_statistics(spark, tmp_path):
     scores = search.bm25_scores(stored, queries, ["content"])
     scores.collect()
     plan = scores._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan")[0]
-    assert plan.count("small_index_postings") == 1
+    assert plan.count("small_index_forward") == 1
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """A stored index of small blocks and pieces over texts with common words, copies and empty ones."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(words, [1 / (i + 1) for i in range(60)], k=rng.randrange(1, 40))) for _ in range(300)]
+    rows = [(i, t, f"t {t[:5]}", f"7-{i % 3}") for i, t in enumerate(texts + texts[:40] + ["", "w0", "w0"])]
+    docs = spark.createDataFrame(rows, "doc_id long, content string, title string, annotation string")
+    patch = pytest.MonkeyPatch()
+    patch.setattr(index, "BLOCK_POSTINGS", 4)
+    patch.setattr(index, "PIECE_POSTINGS", 30)
+    patch.setattr(index, "MOST_CUT", 1000)
+    patch.setattr(index, "BITMAP_SHARE", 6)
+    index.write_index(docs, ["content", "title"], "skewed", str(tmp_path_factory.mktemp("skewed")), 4, parts=8)
+    patch.undo()
+    asked = [(f"q{i}", "7", " ".join(rng.sample(words, n))) for i, n in enumerate([1, 1, 2, 3, 5, 9, 20, 40])]
+    asked += [("twice", "7", "w0 w0 w30"), ("none", "7", "nothing here"), ("common", "7", "w0"), ("empty", "7", "")]
+    return index.read_index(spark, "skewed"), queries(spark, *asked), docs
+
+
+@pytest.mark.parametrize("parameters", [(1.2, 0.75), (0.9, 0.4)])
+@pytest.mark.parametrize("k", [1, 5, 400])
+def test_bounds_lose_no_hit(skewed, k, parameters):
+    stored, asked, _ = skewed
+    pruned = search.bm25_search(stored, asked, "content", k, *parameters)
+    full = ranked(search.bm25_scores(stored, asked, ["content"], *parameters), k)
+    assert sorted(pruned.collect()) == sorted(full.collect())
+
+
+def test_large_queries_are_searched_without_broadcasts(skewed, monkeypatch):
+    stored, asked, _ = skewed
+    full = sorted(ranked(search.bm25_scores(stored, asked, ["content"]), 3).collect())
+    counts = sorted(search.match_counts(stored, asked).collect())
+    monkeypatch.setattr(search, "small_table", lambda df: False)
+    monkeypatch.setattr(search, "fits", lambda rows: False)
+    assert sorted(search.bm25_search(stored, asked, "content", 3).collect()) == full
+    assert sorted(search.match_counts(stored, asked).collect()) == counts
+
+
+def test_match_counts(skewed):
+    stored, asked, _ = skewed
+    scored = search.bm25_scores(stored, asked, ["content"]).groupBy("query_id").count()
+    assert sorted(search.match_counts(stored, asked).collect()) == sorted(scored.collect())
+    assert stored.term_stats.where("frequent").count() < stored.term_stats.count()
+
+
+def test_fields_by_query_in_a_stored_index(skewed):
+    stored, asked, _ = skewed
+    both = report.search_fields(asked.withColumn("topic_id", F.col("query_id")), ["q3", "q4"], special="title")
+    pruned = search.bm25_search(stored, both, ["content", "title"], 4)
+    full = ranked(search.bm25_scores(stored, both, ["content", "title"]), 4)
+    assert sorted(pruned.collect()) == sorted(full.collect())
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_search_reads_the_folders_of_its_terms(spark, skewed):
+    stored, _, _ = skewed
+    stats = stored.term_stats.where("field = 'content' AND term IN ('w3', 'w50')")
+    wanted = materialise(
+        stats.selectExpr("'q' AS query_id", "field", "part", "term", "1.0D AS weight", "9.0D AS average", "1.0D AS most"), "wanted"
+    )
+    rows = search._opened(stored, wanted, ["content"], True, F.lit(True), 1.2, 0.75)
+    plan = plan_of(rows)
+    assert plan.count("skewed_blocks") == 1 and "dynamicpruning" in plan
+    assert rows.count() == stats.agg(F.sum("df")).first()[0]
+
+
+def test_documents_meet_hits_in_their_buckets(spark, skewed):
+    stored, asked, _ = skewed
+    hits = search.bm25_search(stored, asked, "content", 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = plan_of(evaluate.hits_with(hits, asked, stored.documents, 3))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Only the hits are exchanged by document.
+    assert plan.count("Exchange hashpartitioning(doc_id") == 1 and "Bucketed: true" in plan
+
+
+def test_cut_terms_stay_in_bounded_blocks(skewed):
+    stored, _, _ = skewed
+    sizes = stored.blocks.groupBy("field", "term", "piece").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+    assert sizes.agg(F.max("n"), F.max("most")).first()[1] <= 4 and sizes.where("piece > 0").count() > 0
+    back = stored.blocks.select("field", "term", F.inline("entries")).select("field", "doc_id", "term", "tf", "doc_len")
+    assert sorted(back.collect()) == sorted(stored.postings.collect())
+
+
+def test_result_page_has_hits_and_metrics(skewed):
+    stored, asked, docs = skewed
+    hits = search.bm25_search(stored, asked, "content", 16)
+    rows = report.result_page(hits, asked, stored.documents, 16, 4).where("query_id = 'common'").orderBy("rank").collect()
+    assert [r.page for r in rows] == [i // 4 for i in range(16)] and {r.max_pages for r in rows} == {4}
+    expected = evaluate.score(evaluate.judge(hits, asked, docs), asked, 4).where("query_id = 'common'").first()
+    assert {r.ndcg for r in rows} == {expected.ndcg} and all(r.title.startswith("t") for r in rows)
