@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.llm import packing, word_ids
+from rankloom.plans import scratch
 
 # Fixed values of the coding: ids in a word, and bits of each, by selector.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -26,10 +27,8 @@ BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 
 FRAME = 1024
 ESCAPE_BITS = 20
-# A block ends behind the document that brings it to so many ids.
+# A block ends before the document that would bring it beyond so many ids.
 BLOCK_IDS = 1 << 17
-# Bounds of the encoder: a task here also holds the sorted shuffle of the texts.
-REMEMBER, SLICE_BYTES = 250_000, 2 << 20
 WIDTHS = np.zeros(1 << ESCAPE_BITS, np.uint8)
 for _bit in range(ESCAPE_BITS):
     WIDTHS[1 << _bit :] += 1
@@ -138,54 +137,91 @@ def decode(coded: Coded, n: int) -> np.ndarray:
     return ids
 
 
-BLOCK_SCHEMA = (
-    "part long, block long, local_start long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
-    "words binary, frames binary, escape_at binary, escaped binary"
-)
+def block_schema(kind: str) -> str:
+    """Columns of a block; ``kind`` is the type of the documents' ids."""
+    return (
+        f"part long, block long, local_start long, n_tokens long, doc_ids array<{kind}>, doc_tokens array<long>, "
+        "words binary, frames binary, escape_at binary, escaped binary"
+    )
+
+
+def encoded_rows(docs: DataFrame, file: str, end_id: int) -> DataFrame:
+    """``(doc_id, wide, ids)``: each text's ids, two bytes each or, where a batch has larger ones, four."""
+
+    def made(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, ids, counts in word_ids.encoded(rows, file, end_id):
+            wide = bool(len(ids)) and int(ids.max()) >= 1 << 16
+            kind = "<u4" if wide else "<u2"
+            edges = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64) * np.dtype(kind).itemsize
+            blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(edges), pa.py_buffer(ids.astype(kind))])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([wide] * len(counts)), blobs.cast(pa.binary())], ["doc_id", "wide", "ids"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(made, f"doc_id {kind}, wide boolean, ids binary")
 
 
 def coded_blocks(docs: DataFrame, file: str, end_id: int) -> DataFrame:
-    """Blocks of whole documents in ascending doc_id order; ``part`` ascends with doc_id, too."""
+    """Blocks of whole documents in ascending doc_id order; ``part`` ascends with doc_id, too.
+
+    Texts are encoded where they lie and their ids are stored; only ids are then dealt out by ranges
+    of doc_id. Rows of one doc_id may lie in several ranges, in the order of a hash of their ids.
+    """
+    stored = scratch.materialise(encoded_rows(docs, file, end_id), "ids")
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select("doc_id", "text").repartitionByRange(width, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    order = [F.col("doc_id").asc_nulls_first(), F.col("mixed"), F.col("ids")]
+    ordered = stored.withColumn("mixed", F.xxhash64("ids")).repartitionByRange(width, *order[:2]).sortWithinPartitions(*order)
+
+    def flushed(part: int, block: int, before: int, doc_ids: list, kind: pa.DataType, ids: list[np.ndarray]) -> pa.RecordBatch:
+        counts = np.array([len(x) for x in ids], np.int64)
+        coded = encode(np.concatenate(ids))
+        return pa.RecordBatch.from_arrays(
+            [
+                *(pa.array([x], pa.int64()) for x in (part, block, before, int(counts.sum()))),
+                pa.array([doc_ids], pa.list_(kind)),
+                pa.array([counts], pa.list_(pa.int64())),
+                *(pa.array([x.astype(x.dtype.newbyteorder("<")).tobytes()], pa.binary()) for x in coded),
+            ],
+            ["part", "block", "local_start", "n_tokens", "doc_ids", "doc_tokens", "words", "frames", "escape_at", "escaped"],
+        )
 
     def made(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, before = TaskContext.get().partitionId(), 0, 0
-        for batch, ids, counts in word_ids.encoded(rows, file, end_id, REMEMBER, SLICE_BYTES):
-            ends = np.cumsum(counts)
-            doc_ids = batch.column("doc_id")
-            first = 0
-            while first < len(counts):
-                begin = int(ends[first] - counts[first])
-                last = max(first + 1, int(np.searchsorted(ends, begin + BLOCK_IDS, side="right")))
-                n = int(ends[last - 1]) - begin
-                coded = encode(ids[begin : begin + n])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(pa.array([x], pa.int64()) for x in (part, block, before, n)),
-                        pa.array([doc_ids.slice(first, last - first).to_pylist()], pa.list_(pa.int64())),
-                        pa.array([counts[first:last]], pa.list_(pa.int64())),
-                        *(pa.array([x.astype(x.dtype.newbyteorder("<")).tobytes()], pa.binary()) for x in coded),
-                    ],
-                    ["part", "block", "local_start", "n_tokens", "doc_ids", "doc_tokens", "words", "frames", "escape_at", "escaped"],
-                )
-                before, block, first = before + n, block + 1, last
-
-    return ordered.mapInArrow(made, BLOCK_SCHEMA)
+        doc_ids: list = []
+        ids: list[np.ndarray] = []
+        size, kind = 0, pa.int64()
+        for batch in rows:
+            kind = batch.column("doc_id").type
+            wide = batch.column("wide").to_pylist()
+            for doc_id, is_wide, blob in zip(batch.column("doc_id").to_pylist(), wide, batch.column("ids")):
+                found = np.frombuffer(blob.as_buffer(), "<u4" if is_wide else "<u2").astype(np.uint32)
+                if ids and size + len(found) > BLOCK_IDS:
+                    yield flushed(part, block, before, doc_ids, kind, ids)
+                    block, before, size, doc_ids, ids = block + 1, before + size, 0, [], []
+                doc_ids.append(doc_id)
+                ids.append(found)
+                size += len(found)
+        if ids:
+            yield flushed(part, block, before, doc_ids, kind, ids)
+
+    return ordered.select("doc_id", "wide", "ids").mapInArrow(made, block_schema(docs.schema["doc_id"].dataType.simpleString()))
 
 
 def write_ids(docs: DataFrame, path: str, file: str, end_id: int) -> None:
     """Write the ids of ``docs(doc_id, text)`` with ``end_id`` behind each text, in doc_id order.
 
-    Parquet files of blocks (``BLOCK_SCHEMA``). A null text counts as empty; null ids come first;
-    repeated rows are written once each, ordered by text; an empty table gives files without blocks.
+    Parquet files of blocks (:func:`block_schema`). Ids of documents may have any type with an order.
+    A null text counts as empty; null ids come first; repeated rows are written once each; an empty
+    table gives files without blocks.
     """
     coded_blocks(docs, file, end_id).write.parquet(path)
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """``(doc_id, start, n_tokens, ids)`` from written files; ids as little-endian unsigned 32-bit."""
-    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
+def read_ids(spark: SparkSession, path: str, kind: str = "bigint") -> DataFrame:
+    """``(doc_id, start, n_tokens, ids)`` from written files; ids as little-endian unsigned 32-bit.
+
+    ``kind`` is the type of the documents' ids.
+    """
+    blocks = spark.read.schema(block_schema(kind)).parquet(path)
     placed = blocks.join(F.broadcast(packing.partition_starts(blocks)), "part").withColumn(
         "at", F.col("base") + F.col("local_start")
     )
@@ -205,7 +241,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     columns = ("at", "n_tokens", "doc_ids", "doc_tokens", "words", "frames", "escape_at", "escaped")
-    return placed.select(*columns).mapInArrow(opened, "doc_id long, start long, n_tokens long, ids binary")
+    return placed.select(*columns).mapInArrow(opened, f"doc_id {kind}, start long, n_tokens long, ids binary")
 
 
 def checksums(read: DataFrame) -> DataFrame:
@@ -218,6 +254,7 @@ def checksums(read: DataFrame) -> DataFrame:
                 [*batch.columns[:3], pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"]
             )
 
+    kind = read.schema["doc_id"].dataType.simpleString()
     return read.select("doc_id", "start", "n_tokens", "ids").mapInArrow(
-        summed, "doc_id long, start long, n_tokens long, ids_crc32 long"
+        summed, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long"
     )

@@ -142,3 +142,17 @@ def test_empty_tables(spark, tmp_path):
     assert bpe_counts.token_counts(none, public_tokenizers.path("piece_bpe_32k.model")).isEmpty()
     simple8b.write_ids(none, str(tmp_path / "none"), file, 1)
     assert simple8b.read_ids(spark, str(tmp_path / "none")).agg(F.count("*")).first()[0] == 0
+
+
+def test_token_files_of_one_hot_id_and_of_names(spark, tmp_path):
+    file = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(file)
+    rows = [("hot", f"the same id, text {i % 50}") for i in range(400)] + [("a", "first"), (None, "none"), ("z", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    simple8b.write_ids(docs, str(tmp_path / "names"), file, 1)
+    found = simple8b.read_ids(spark, str(tmp_path / "names"), "string").orderBy("start").collect()
+    assert [r.doc_id for r in found] == [None, "a", *["hot"] * 400, "z"]
+    assert [r.start for r in found] == [sum(x.n_tokens for x in found[:i]) for i in range(len(found))]
+    wanted = sorted(library.encode(t or "", add_special_tokens=False).ids + [1] for _, t in rows)
+    assert sorted(np.frombuffer(r.ids, "<u4").tolist() for r in found) == wanted
+    assert len({r.part for r in spark.read.parquet(str(tmp_path / "names")).where("array_contains(doc_ids, 'hot')").collect()}) > 1
