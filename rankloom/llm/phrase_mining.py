@@ -27,15 +27,15 @@ from rankloom.llm import batches, shingles
 from rankloom.plans import joins, scratch
 
 SHARDS = 8
-# Bits of a filter: 2 ** 26, eight megabytes.
-FILTER_BITS = 26
+# Bits of a filter: 2 ** 25, four megabytes.
+FILTER_BITS = 25
 # Word places in a stored row, and places that a task counts at a time.
 ROW_PLACES = 1 << 20
-PLACES_AT_ONCE = 1 << 19
+PLACES_AT_ONCE = 1 << 18
 # Just below a power of two, to which the tables of the word hashes are rounded up.
-STRETCH_BYTES = (2 << 20) - 1
+STRETCH_BYTES = (1 << 20) - 1
 # Distinct words that a task holds before it passes their counts on.
-WORDS_HELD = 300_000
+WORDS_HELD = 150_000
 # Bytes between words, and bytes that also end a piece.
 BETWEEN = np.zeros(256, np.uint8)
 BETWEEN[list(b" \t")] = 1
@@ -93,6 +93,7 @@ class WordCounts:
             self.parts, self.rows = [], 0
             for batch in whole.to_batches(max_chunksize=20_000):
                 yield words_batch(**dict(zip(batch.schema.names, batch.columns)))
+            pa.default_memory_pool().release_unused()
 
 
 def word_rows(part: pa.RecordBatch, counted: WordCounts) -> Iterator[pa.RecordBatch]:
@@ -229,6 +230,7 @@ def counted(rows: DataFrame, count: Callable[[np.ndarray, np.ndarray], Iterator[
                 if size >= PLACES_AT_ONCE:
                     yield from flush(held)
                     held, size = {}, 0
+                    pa.default_memory_pool().release_unused()
         yield from flush(held)
 
     return rows.select("g", "places", "own").mapInArrow(made, schema)
