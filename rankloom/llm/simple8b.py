@@ -27,6 +27,8 @@ BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 
 FRAME = 1024
 ESCAPE_BITS = 20
+# Words that the encoder remembers, and bytes of a slice of texts; they bound a worker's memory.
+REMEMBER, SLICE_BYTES = 400_000, 2 << 20
 # A block ends before the document that would bring it beyond so many ids.
 BLOCK_IDS = 1 << 17
 WIDTHS = np.zeros(1 << ESCAPE_BITS, np.uint8)
@@ -149,7 +151,7 @@ def encoded_rows(docs: DataFrame, file: str, end_id: int) -> DataFrame:
     """``(doc_id, wide, ids)``: each text's ids, two bytes each or, where a batch has larger ones, four."""
 
     def made(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, ids, counts in word_ids.encoded(rows, file, end_id):
+        for batch, ids, counts in word_ids.encoded(rows, file, end_id, REMEMBER, SLICE_BYTES):
             wide = bool(len(ids)) and int(ids.max()) >= 1 << 16
             kind = "<u4" if wide else "<u2"
             edges = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64) * np.dtype(kind).itemsize
@@ -185,6 +187,8 @@ def coded_blocks(docs: DataFrame, file: str, end_id: int) -> DataFrame:
         )
 
     def made(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A worker that has encoded texts before need not keep the encoder's words.
+        word_ids.encoder.cache_clear()
         part, block, before = TaskContext.get().partitionId(), 0, 0
         doc_ids: list = []
         ids: list[np.ndarray] = []
@@ -227,6 +231,7 @@ def read_ids(spark: SparkSession, path: str, kind: str = "bigint") -> DataFrame:
     )
 
     def opened(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_ids.encoder.cache_clear()
         for batch in rows:
             for i in range(batch.num_rows):
                 row = {name: batch.column(name)[i] for name in batch.schema.names}
