@@ -42,8 +42,8 @@ def expansion_report(spark, d):
     """Expand the queries in every way, search, judge, write the scores as a file and average it."""
     queries, index = I.queries(spark, d), I.content_index(spark, d)
     runs = {"NONE": queries} | {s.value: expand(spark, d, s) for s in SenseStrategy}
-    approaches = {name: search.bm25_search(index, run, "content", 20) for name, run in runs.items()}
-    scores = evaluate.score_grid(approaches, queries, I.corpus(spark, d), 20)
+    approaches = search.shared_search(index, {name: (run, "content") for name, run in runs.items()}, 20)
+    scores = evaluate.score_grid(approaches, queries, index.documents, 20)
     path = fresh_path(spark, "scores")
     reports.write_scores(scores.select("topic_id", "query_type", "approach", "prec", "ap", "ndcg"), path)
     names = ["topic_id", "query_type", "approach", "prec", "ap", "ndcg"]

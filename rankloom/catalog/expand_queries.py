@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rankloom.catalog import inputs as I
 from rankloom.catalog.registry import query
 from rankloom.catalog.views import cased, norm_terms, pooled, with_views
+from rankloom.plans.scratch import materialise
 from rankloom.operators import graph, phrases, pooling, search, senses
 from rankloom.operators.expand_all import expand_queries
 from rankloom.operators.senses import SenseStrategy
@@ -61,9 +62,9 @@ def sense_candidates(spark, d):
     return senses.token_senses(tokens, I.senses(spark, d))
 
 
-def expand(spark, d, strategy):
+def expand(spark, d, strategy, queries=None):
     return senses.expand_senses(
-        I.queries(spark, d), I.senses(spark, d), I.lemmas(spark, d), I.definitions(spark, d),
+        I.queries(spark, d) if queries is None else queries, I.senses(spark, d), I.lemmas(spark, d), I.definitions(spark, d),
         I.stopwords(spark, d), strategy,
         I.word_vectors(spark, d) if strategy is SenseStrategy.VECTOR else None, I.DIMS,
     )
@@ -99,7 +100,7 @@ def vector_senses(spark, d):
     return senses.vector_senses(
         sense_candidates(spark, d),
         pooling.mean_pool(I.queries(spark, d), words, stops, I.DIMS, "query_id", "query_text"),
-        pooling.mean_pool(texts, words, stops, I.DIMS, "sense_id", "text"),
+        materialise(pooling.mean_pool(texts, words, stops, I.DIMS, "sense_id", "text"), "sense-vectors"),
     )
 
 
@@ -112,7 +113,7 @@ def sense_lemmas(spark, d):
 
 @query("C7 C9 F19 X3", with_views("SELECT query_id, topic_id, query_type, query_text FROM expanded", chosen("first_scored")))
 def expansion_by_first_sense(spark, d):
-    return expand_queries(I.queries(spark, d), lambda _: expand(spark, d, SenseStrategy.FIRST))
+    return expand_queries(I.queries(spark, d), lambda asked: expand(spark, d, SenseStrategy.FIRST, asked))
 
 
 @query("C7 F19", with_views("SELECT query_id, topic_id, query_type, query_text FROM expanded", chosen("lesk_scored")))

@@ -325,16 +325,37 @@ def lazy_index(spark: SparkSession, sf_dir: str, *fields: str) -> Index:
     return build_index(texts(spark, sf_dir), list(fields))
 
 
-@lru_cache
+# The fields of the usual index, and the column that each of them analyses.
+FIELDS = {"content": "content", "title": "title", "custom_content": "content"}
+
+
 def content_index(spark: SparkSession, sf_dir: str, *fields: str) -> Index:
-    """The stored index of the fields, written on first use in a session and then only read.
+    """The usual stored index, or one of other ``fields`` of the content."""
+    if set(fields) <= set(FIELDS):
+        return stored_index(spark, sf_dir, *FIELDS)
+    return stored_index(spark, sf_dir, *fields)
 
-    It holds the whole corpus with its annotations; all text fields but the title analyse the content.
-    """
-    fields = fields or ("content",)
+
+@lru_cache
+def stored_index(spark: SparkSession, sf_dir: str, *fields: str) -> Index:
+    """An index of the whole corpus, written on first use in a session and then only read."""
     path = fresh_path(spark, "index")
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     buckets = spark.sparkContext.defaultParallelism
-    sources = {f: "title" if f == "title" else "content" for f in fields}
+    sources = {f: FIELDS.get(f, "content") for f in fields}
     write_index(corpus(spark, sf_dir), sources, name, path, buckets)
     return read_index(spark, name)
+
+
+@lru_cache
+def stemmed_index(spark: SparkSession, sf_dir: str) -> Index:
+    """An index whose analyser takes the passages' plurals to their singulars and drops stop words."""
+    field, term = F.lit("stemmed_content").alias("field"), F.col("term")
+    plurals = bench_terms(spark, sf_dir).where((F.length(term) > 3) & F.endswith(term, F.lit("s")))
+    canonical = plurals.select(field, "term", F.substring(term, F.lit(1), F.length(term) - 1).alias("canonical"))
+    path = fresh_path(spark, "stemmed")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    buckets = spark.sparkContext.defaultParallelism
+    stops = stopwords(spark, sf_dir).select(field, "term")
+    write_index(corpus(spark, sf_dir), {"stemmed_content": "content"}, name, path, buckets, canonical=canonical, stops=stops)
+    return read_index(spark, name)

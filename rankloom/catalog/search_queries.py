@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankloom.catalog import inputs as I
 from rankloom.catalog.registry import query
-from rankloom.catalog.views import with_views
+from rankloom.catalog.views import folded, rank, tok, with_views
 from rankloom.functions import metrics
 from rankloom.operators import evaluate, index, report, search
 from rankloom.plans.joins import lookup_join
@@ -130,7 +130,7 @@ def mean_gain_by_approach(spark, d):
 def term_matches(spark, d):
     """Matched terms per query and document."""
     terms = search.query_terms(I.queries(spark, d), ["content"])
-    postings = I.content_index(spark, d).postings
+    postings = I.content_index(spark, d).postings.where("field = 'content'")
     matched = lookup_join(postings, terms, ["field", "term"])
     return matched.groupBy("query_id", "doc_id").agg(
         F.count("*").alias("n_terms"),
@@ -211,7 +211,7 @@ def search_without_stored_index(spark, d):
            CAST(min(doc_len) AS INTEGER) AS min_len FROM content_post GROUP BY term"""))
 def term_postings(spark, d):
     """The postings laid out by term: documents, words and bounds of every term, from its blocks."""
-    blocks = I.content_index(spark, d).blocks
+    blocks = I.content_index(spark, d).blocks.where("field = 'content'")
     words = F.aggregate("entries", F.lit(0).cast("long"), lambda s, e: s + e["tf"])
     return blocks.groupBy("term").agg(
         F.sum("n").alias("df"), F.sum(words).alias("n_words"), F.max("max_tf").alias("max_tf"), F.min("min_len").alias("min_len")
@@ -228,7 +228,7 @@ def stored_documents(spark, d):
     SELECT doc_id, doc_len, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS n_words FROM content_post GROUP BY doc_id, doc_len"""))
 def stored_postings(spark, d):
     """Create the bucketed index and read it back: distinct and total words per document."""
-    postings = I.content_index(spark, d).postings
+    postings = I.content_index(spark, d).postings.where("field = 'content'")
     doc_len = F.col("doc_len").cast("long").alias("doc_len")
     return postings.groupBy("doc_id", doc_len).agg(
         F.count("*").alias("n_terms"), F.sum("tf").alias("n_words")
@@ -247,6 +247,38 @@ def whitespace_field_search(spark, d):
     return search.bm25_search(I.content_index(spark, d, field), I.queries(spark, d), field)
 
 
+def stem_counts(key: str, text: str, source: str) -> str:
+    return f"""
+        SELECT {key}, term, count(*) AS tf
+        FROM (SELECT t.{key}, coalesce(c.canonical, t.term) AS term
+              FROM (SELECT {key}, unnest({tok(folded(f'lower({text})'))}) AS term FROM {source}) t LEFT JOIN stem_forms c ON c.term = t.term)
+        WHERE term NOT IN (SELECT term FROM stopwords) GROUP BY {key}, term"""
+
+
+STEM_VIEWS = {
+    "stem_forms": """
+        SELECT term, substring(term, 1, length(term) - 1) AS canonical FROM bench_terms WHERE length(term) > 3 AND ends_with(term, 's')""",
+    "stem_post": stem_counts("doc_id", "content", "corpus"),
+    "stem_qt": stem_counts("query_id", "query_text", "queries"),
+    "stem_len": "SELECT doc_id, sum(tf) AS doc_len FROM stem_post GROUP BY doc_id",
+    "stem_df": "SELECT term, count(*) AS df FROM stem_post GROUP BY term",
+    "stem_stat": "SELECT count(*) AS n_docs, avg(doc_len) AS avg_len FROM stem_len",
+    "stem_scores": """
+        SELECT q.query_id, p.doc_id,
+               round(sum(q.tf * ln(1 + (s.n_docs - f.df + 0.5) / (f.df + 0.5))
+                   * (p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * l.doc_len / s.avg_len)))), 6) AS score
+        FROM stem_qt q JOIN stem_df f ON f.term = q.term JOIN stem_post p ON p.term = q.term
+        JOIN stem_len l ON l.doc_id = p.doc_id, stem_stat s GROUP BY q.query_id, p.doc_id""",
+}
+
+
+@query("F5 F7 C1 P10", with_views(
+    f"SELECT * FROM (SELECT query_id, doc_id, score, {rank('score')} AS rank FROM stem_scores) WHERE rank <= 20", STEM_VIEWS))
+def stemmed_field_search(spark, d):
+    """A field whose analyser takes word tables, which apply to its documents and to the queries."""
+    return search.bm25_search(I.stemmed_index(spark, d), I.queries(spark, d), "stemmed_content")
+
+
 @query("P9", with_views("""
     SELECT query_id, doc_id, score, rank FROM content_hits WHERE rank <= 20 AND NOT starts_with(query_id, '7-')
     UNION ALL SELECT query_id, doc_id, score, rank FROM title_hits WHERE rank <= 20 AND starts_with(query_id, '7-')"""))
@@ -267,10 +299,8 @@ UNION_VIEWS = {
 
 def united_hits(spark: SparkSession, d: str) -> DataFrame:
     queries = I.queries(spark, d)
-    return search.union_hits(
-        content_hits(spark, d),
-        search.bm25_search(I.content_index(spark, d, "title"), queries, "title"),
-    )
+    runs = {"content": (queries, "content"), "title": (queries, "title")}
+    return search.union_hits(*search.shared_search(I.content_index(spark, d), runs).values())
 
 
 @query("U1", with_views("SELECT query_id, doc_id, score FROM united", UNION_VIEWS))

@@ -472,13 +472,12 @@ GRID_VIEWS = {
 
 
 def grid_scores(spark, d):
-    queries, docs = I.queries(spark, d), I.content_index(spark, d).documents
-    words, stops = I.word_vectors(spark, d), I.stopwords(spark, d)
-    plain = materialise(content_hits(spark, d), "hits")
-    custom = search.bm25_search(I.content_index(spark, d, "custom_content"), queries, "custom_content")
+    stored, queries = I.content_index(spark, d), I.queries(spark, d)
+    docs, words, stops = stored.documents, I.word_vectors(spark, d), I.stopwords(spark, d)
+    found = search.shared_search(stored, {"bm_25": (queries, "content"), "custom": (queries, "custom_content")})
+    plain = found["bm_25"]
     approaches = {
-        "bm_25": plain,
-        "custom": custom,
+        **found,
         "bert": rerank.rescore(plain, I.doc_vectors(spark, d), I.query_vectors(spark, d), 20),
         "fast": rerank.rescore(
             plain,

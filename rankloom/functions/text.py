@@ -103,8 +103,14 @@ def snippet(text: Column, length: int = 150) -> Column:
     return F.substring(text, 1, length)
 
 
+def folded_standard_terms(text: Column) -> Column:
+    """As :func:`standard_terms`, folded to ASCII."""
+    return standard_terms(fold_ascii(F.lower(text)))
+
+
 # Analyser of each index field; other text fields use the standard one.
 FIELD_ANALYZERS = {
+    "stemmed_content": folded_standard_terms,
     "custom_content": whitespace_terms,
     "whitespace_content": whitespace_terms,
     "classic_content": classic_terms,
@@ -116,12 +122,8 @@ def analyze(field: str, text: Column) -> Column:
     return FIELD_ANALYZERS.get(field, standard_terms)(text)
 
 
-def term_counts(df: DataFrame, keep: list[str], tokens: str = "tokens") -> DataFrame:
-    """Distinct terms of each row's token array with their counts: ``(*keep, n_tokens, terms)``.
-
-    ``terms`` is an array of ``(term, tf)`` in term order. Counted inside the row (sort, then run
-    lengths), so no shuffle is needed: a text's tokens never leave its task.
-    """
+def _counted(df: DataFrame, keep: list[str], tokens: str) -> tuple[DataFrame, Column]:
+    """Rows with their sorted tokens, and the array of ``(term, tf)`` as an expression on them."""
     held = df.select(*keep, F.sort_array(tokens).alias("_terms"))
     terms, starts = F.col("_terms"), F.col("_starts")
     first_of_run = F.filter(
@@ -142,7 +144,17 @@ def term_counts(df: DataFrame, keep: list[str], tokens: str = "tokens") -> DataF
             (F.coalesce(F.get(starts, i + 1), F.size(terms)) - start).alias("tf"),
         ),
     )
-    return runs.select(*keep, F.size(terms).alias("n_tokens"), counted.alias("terms"))
+    return runs, counted
+
+
+def term_counts(df: DataFrame, keep: list[str], tokens: str = "tokens") -> DataFrame:
+    """Distinct terms of each row's token array with their counts: ``(*keep, n_tokens, terms)``.
+
+    ``terms`` is an array of ``(term, tf)`` in term order. Counted inside the row (sort, then run
+    lengths), so no shuffle is needed: a text's tokens never leave its task.
+    """
+    runs, counted = _counted(df, keep, tokens)
+    return runs.select(*keep, F.size("_terms").alias("n_tokens"), counted.alias("terms"))
 
 
 def count_terms(df: DataFrame, keep: list[str], tokens: str = "tokens", outer: bool = False) -> DataFrame:
@@ -150,5 +162,15 @@ def count_terms(df: DataFrame, keep: list[str], tokens: str = "tokens", outer: b
 
     ``outer`` keeps rows without tokens, with a NULL term.
     """
+    runs, counted = _counted(df, keep, tokens)
     unnest = F.inline_outer if outer else F.inline
-    return term_counts(df, keep, tokens).select(*keep, "n_tokens", unnest("terms"))
+    return runs.select(*keep, F.size("_terms").alias("n_tokens"), unnest(counted))
+
+
+def open_terms(rows: DataFrame, keep: list[str], terms: str = "terms") -> DataFrame:
+    """One row per entry of an array of structs with a ``term``: ``(*keep, ...)``.
+
+    The outer form keeps the optimizer from inferring a filter on the array, which it would push
+    below the expressions that make the array and so evaluate them again for every element.
+    """
+    return rows.select(*keep, F.inline_outer(terms)).where("term IS NOT NULL")

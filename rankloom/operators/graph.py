@@ -8,25 +8,31 @@ from pyspark.sql import functions as F
 from rankloom.functions.text import cased_words
 from rankloom.operators.phrases import noun_pairs
 from rankloom.operators.senses import append_terms
+from rankloom.plans.joins import lookup_join
 from rankloom.plans.scratch import materialise
 
 
 def subclasses(roots: DataFrame, subclass_of: DataFrame) -> DataFrame:
     """Every class below the roots, the roots included: ``(phrase, class)``.
 
-    ``roots(phrase, class)``. Breadth first: each round joins the classes found last with the
-    subclass table and drops those already known, so cycles end it and no depth limit is needed.
-    Rounds are stored in the shared folder, which keeps the plan short and survives lost executors;
-    there are as many rounds as the hierarchy is deep.
+    ``roots(phrase, class)``. By path doubling: each round follows steps that reach twice as far as
+    those of the round before, so the rounds are the logarithm of the hierarchy's depth. A round
+    without new classes ends it, also in a cycle, because the steps always include those of one edge.
+    Rounds are stored in the shared folder, which keeps the plan short and survives lost executors.
     """
-    edges = subclass_of.select(F.col("parent").alias("class"), F.col("class").alias("child"))
-    known = frontier = materialise(roots.select("phrase", "class").distinct(), "classes")
-    while not frontier.isEmpty():
-        below = frontier.join(edges, "class").select("phrase", F.col("child").alias("class"))
-        fresh = below.distinct().join(known, ["phrase", "class"], "left_anti")
-        frontier = materialise(fresh, "classes")
-        known = known.unionByName(frontier)
-    return known
+    steps = subclass_of.select(F.col("parent").alias("class"), F.col("class").alias("below")).where("class <> below").distinct()
+    steps = materialise(steps, "steps")
+    known = materialise(roots.select("phrase", "class").distinct(), "classes")
+    count = known.count()
+    while True:
+        reached = known.join(steps, "class").select("phrase", F.col("below").alias("class"))
+        known = materialise(known.union(reached).distinct(), "classes")
+        before, count = count, known.count()
+        if count == before:
+            return known
+        further = steps.join(steps.select(F.col("class").alias("below"), F.col("below").alias("end")), "below")
+        further = further.select("class", F.col("end").alias("below")).where("class <> below")
+        steps = materialise(steps.union(further).distinct(), "steps")
 
 
 def phrase_entities(
@@ -39,27 +45,25 @@ def phrase_entities(
     """Instances of any class below an entity that is labelled with the phrase.
 
     ``phrases(phrase)`` gives ``(phrase, place, entity, label, description)``, at most ``limit``
-    entities per phrase by id; an entity without a label has its id as label. Of each class only the
-    first ``limit`` instances by id can be among them, so a class with very many is cut before the
-    join.
+    entities per phrase by id; an entity without a label has its id as label. Instances of other
+    classes are left where they are; of each class only the first ``limit`` instances by id can be
+    among them, so a class with very many is cut before the join.
     """
     roots = labels.join(
         phrases.select(F.col("phrase").alias("label")).distinct(), "label", "left_semi"
     ).select(F.col("label").alias("phrase"), F.col("entity").alias("class"))
+    classes = materialise(subclasses(roots, subclass_of), "phrase-classes")
+    wanted = lookup_join(
+        instance_of.select("class", "entity"), classes.select("class").distinct(), ["class"], "left_semi", spread_by="entity"
+    )
     by_id = Window.partitionBy("class").orderBy("entity")
     first = (
-        instance_of.select("class", "entity")
-        .distinct()
+        wanted.distinct()
         .withColumn("_no", F.row_number().over(by_id))
         .where(F.col("_no") <= limit)
         .drop("_no")
     )
-    members = (
-        subclasses(roots, subclass_of)
-        .join(first, "class")
-        .select("phrase", "entity")
-        .distinct()
-    )
+    members = classes.join(first, "class").select("phrase", "entity").distinct()
     order = Window.partitionBy("phrase").orderBy("entity")
     kept = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit)
     return kept.join(labels, "entity", "left").select(

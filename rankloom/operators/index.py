@@ -8,7 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rankloom.functions.text import analyze, term_counts
+from rankloom.functions.text import analyze, open_terms, term_counts
+from rankloom.plans.joins import lookup_join
 
 PARTS = ("documents", "forward", "blocks", "bitmaps", "field_stats", "term_stats")
 # Postings of one block, and of one piece of a term: a term with more is cut by document. At most
@@ -42,6 +43,8 @@ class Index(NamedTuple):
       ``BLOCK_POSTINGS`` documents of one term, those that it says most about first. ``impact`` is the
       largest saturation (what a query word of weight 1 adds) under the usual parameters, ``max_tf``
       and ``min_len`` bound it under any;
+    * if fields have word tables, ``canonical(field, term, canonical)`` and ``stops(field, term)``: what
+      the analyser does with terms, to documents and queries alike (:func:`with_word_tables`);
     * in ``term_stats`` each term's ``part``, whether it is ``frequent``, and the same bounds of all its
       blocks.
     """
@@ -53,6 +56,8 @@ class Index(NamedTuple):
     forward: DataFrame | None = None
     blocks: DataFrame | None = None
     bitmaps: DataFrame | None = None
+    canonical: DataFrame | None = None
+    stops: DataFrame | None = None
 
 
 def index_documents(corpus: DataFrame) -> DataFrame:
@@ -97,9 +102,34 @@ def forward_rows(docs: DataFrame, fields: list[str] | dict[str, str], *keep: str
     return counted.select("field", "doc_id", *keep, F.col("n_tokens").alias("doc_len"), "terms")
 
 
+def with_word_tables(terms: DataFrame, canonical: DataFrame, stops: DataFrame, spread_by: str) -> DataFrame:
+    """The second half of an analyser that takes tables: canonical forms, then without stop words.
+
+    ``terms(field, term, ...)``, ``canonical(field, term, canonical)``, ``stops(field, term)``; fields
+    without entries stay as they are. Rows are not merged; a NULL term stays.
+    """
+    named = lookup_join(terms, canonical, ["field", "term"], "left", spread_by=spread_by)
+    named = named.withColumn("term", F.coalesce("canonical", "term")).drop("canonical")
+    return lookup_join(named, stops, ["field", "term"], "left_anti", spread_by=spread_by)
+
+
+def retabled(forward: DataFrame, canonical: DataFrame, stops: DataFrame) -> DataFrame:
+    """Forward rows after :func:`with_word_tables`: terms of equal form are one, and lengths follow.
+
+    The rows keep their buckets, so nothing is shuffled while the tables can be broadcast.
+    """
+    keys = ["field", "doc_id", "doc_no"]
+    # The NULL term keeps documents that have no term left.
+    nothing = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).alias("tf")))
+    terms = forward.select(*keys, F.inline(F.concat("terms", nothing)))
+    counted = with_word_tables(terms, canonical, stops, "doc_id").groupBy(*keys, "term").agg(F.sum("tf").cast("int").alias("tf"))
+    held = counted.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("term", "tf"))).alias("terms"), F.sum("tf").cast("int").alias("doc_len"))
+    return held.select(*keys, "doc_len", F.filter("terms", lambda t: t["term"].isNotNull()).alias("terms"))
+
+
 def opened(forward: DataFrame, *keep: str) -> DataFrame:
     """Postings ``(field, doc_id, *keep, term, tf, doc_len)`` of forward rows."""
-    rows = forward.select("field", "doc_id", *keep, "doc_len", F.inline("terms"))
+    rows = open_terms(forward, ["field", "doc_id", *keep, "doc_len"])
     return rows.select("field", "doc_id", *keep, "term", "tf", "doc_len")
 
 
@@ -234,6 +264,8 @@ def write_index(
     path: str,
     buckets: int,
     parts: int | None = None,
+    canonical: DataFrame | None = None,
+    stops: DataFrame | None = None,
 ) -> None:
     """Create or replace the stored index ``name`` of ``docs`` under ``path``.
 
@@ -243,7 +275,8 @@ def write_index(
     buckets, without a shuffle. Term statistics come from the forward rows. The postings by term take
     one shuffle; ``parts`` (as many as ``buckets`` unless given) is the number of folders of a field,
     of which a search reads those of its terms. Choose ``buckets`` so that a bucket stays within a few
-    hundred megabytes.
+    hundred megabytes. ``canonical(field, term, canonical)`` and ``stops(field, term)`` are the word tables
+    of fields whose analyser takes some; they are stored with the index, and searches apply them too.
 
     Every index has folders of its own; tables of the old index are dropped when the new files are
     complete, so a failed build leaves the old index as it was.
@@ -261,7 +294,19 @@ def write_index(
 
     numbered = docs.repartition(buckets, "doc_id").withColumn("doc_no", F.monotonically_increasing_id())
     documents = stored(numbered, "documents", [], True)
-    forward = stored(forward_rows(documents, fields, "doc_no"), "forward", ["field"], True)
+    rows = forward_rows(documents, fields, "doc_no")
+    tables = {"canonical": canonical, "stops": stops}
+    if canonical is not None or stops is not None:
+        empty = "field string, term string, canonical string"
+        tables["canonical"] = spark.createDataFrame([], empty) if canonical is None else canonical.select("field", "term", "canonical")
+        tables["stops"] = (spark.createDataFrame([], empty) if stops is None else stops).select("field", "term").distinct()
+        tables = {part: stored(table, part, [], False) for part, table in tables.items()}
+        tabled = tables["canonical"].select("field").union(tables["stops"].select("field")).distinct()
+        own = [r.field for r in tabled.collect() if r.field in sources_of(fields)]
+        rows = rows.where(~F.col("field").isin(own)).select("field", "doc_id", "doc_no", "doc_len", "terms").unionByName(
+            retabled(rows.where(F.col("field").isin(own)), tables["canonical"], tables["stops"])
+        )
+    forward = stored(rows, "forward", ["field"], True)
     field_stats = stored(field_statistics(forward), "field_stats", [], False)
     folder = F.pmod(F.xxhash64("term"), F.lit(parts or buckets)).cast("int")
     postings = with_impact(opened(forward, "doc_no"), field_stats).withColumn("part", folder)
@@ -273,11 +318,13 @@ def write_index(
     stored(blocks.sortWithinPartitions("field", "part", "term"), "blocks", ["field", "part"], False)
     bitmaps = term_bitmaps(postings, term_stats).repartition("field", "part")
     stored(bitmaps.sortWithinPartitions("field", "part", "term"), "bitmaps", ["field", "part"], False)
-    for part in PARTS:
+    for part in (*PARTS, *tables):
         spark.sql(f"DROP TABLE IF EXISTS {name}_{part}")
-        spark.sql(f"ALTER TABLE {fresh}_{part} RENAME TO {name}_{part}")
+        if spark.catalog.tableExists(f"{fresh}_{part}"):
+            spark.sql(f"ALTER TABLE {fresh}_{part} RENAME TO {name}_{part}")
 
 
 def read_index(spark: SparkSession, name: str) -> Index:
     documents, forward, blocks, bitmaps, field_stats, term_stats = (spark.table(f"{name}_{part}") for part in PARTS)
-    return Index(opened(forward), field_stats, term_stats, documents, forward, blocks, bitmaps)
+    tables = (spark.table(f"{name}_{part}") if spark.catalog.tableExists(f"{name}_{part}") else None for part in ("canonical", "stops"))
+    return Index(opened(forward), field_stats, term_stats, documents, forward, blocks, bitmaps, *tables)

@@ -7,16 +7,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankloom.functions.text import analyze, count_terms
-from rankloom.operators.index import K1, B, Index, bit_of_document, saturation
+from rankloom.functions.text import analyze, count_terms, open_terms
+from rankloom.operators.index import K1, B, Index, bit_of_document, saturation, with_word_tables
 from rankloom.plans.joins import broadcast_if, fits, small_table, split_join
 from rankloom.plans.ranking import ranked, rounded
 from rankloom.plans.scratch import materialise
 
 
-def query_terms(queries: DataFrame, fields: list[str]) -> DataFrame:
+def query_terms(queries: DataFrame, fields: list[str], index: Index | None = None) -> DataFrame:
     """Analysed terms of the queries: ``(query_id, field, term, qtf)``.
 
+    With an ``index`` whose fields have word tables, these are applied as they were to its documents.
+
     ``queries`` has ``(query_id, query_text)``. With several ``fields`` it also has ``field``,
     the field that each query searches; its analyser is applied to the query text.
     """
@@ -27,9 +29,13 @@ def query_terms(queries: DataFrame, fields: list[str]) -> DataFrame:
         field = F.col("field")
         tokens = F.coalesce(*[F.when(field == f, analyze(f, text)) for f in fields])
     analyzed = queries.select("query_id", field.alias("field"), tokens.alias("tokens"))
-    return count_terms(analyzed, ["query_id", "field"]).select(
+    terms = count_terms(analyzed, ["query_id", "field"]).select(
         "query_id", "field", "term", F.col("tf").alias("qtf")
     )
+    if index is None or index.canonical is None:
+        return terms
+    named = with_word_tables(terms, index.canonical, index.stops, "query_id")
+    return named.groupBy("query_id", "field", "term").agg(F.sum("qtf").alias("qtf"))
 
 
 def _statistic(index: Index, fields: list[str], name: str) -> Column:
@@ -70,9 +76,12 @@ def bm25_scores(
     read twice. They are broadcast if they are small; otherwise frequent terms are cut into pieces
     by document, because a common word may occur in most documents and in most queries.
     """
-    terms = materialise(query_terms(queries, fields), "query-terms")
+    terms = materialise(query_terms(queries, fields, index), "query-terms")
     small = small_table(terms)
-    known = weighted_terms(index, terms, fields, small)
+    return _all_scores(index, weighted_terms(index, terms, fields, small), fields, small, k1, b)
+
+
+def _all_scores(index: Index, known: DataFrame, fields: list[str], small: bool, k1: float, b: float) -> DataFrame:
     weights = known.select("query_id", "field", "term", "weight")
     saturated = index.postings.where(F.col("field").isin(fields)).select(
         "field", "doc_id", "term", saturation("tf", "doc_len", _statistic(index, fields, "avg_len"), k1, b).alias("saturation")
@@ -97,8 +106,8 @@ def bm25_search(
 ) -> DataFrame:
     """The first ``k`` hits of each query: ``(query_id, doc_id, score, rank)``.
 
-    A stored index is searched with bounds (:func:`pruned_scores`), another one by scoring every
-    document that holds a query term; the hits are the same.
+    A stored index is searched with bounds (:func:`pruned_scores`) if the queries' words have many
+    postings; otherwise every document that holds a query term is scored. The hits are the same.
     """
     fields = [fields] if isinstance(fields, str) else fields
     if index.blocks is None:
@@ -113,7 +122,9 @@ SEEDS = 3
 SLACK = 1e-5
 # The terms that are not read may add up to this share of the threshold: the lower, the more postings
 # are opened and the fewer documents are scored in full.
-UNREAD = 0.5
+UNREAD = 0.3
+# Postings, counted for each query, up to which all matching documents are scored.
+EXHAUSTIVE_POSTINGS = 200_000_000
 
 
 def pruned_scores(
@@ -127,13 +138,19 @@ def pruned_scores(
     document a hit by themselves and are not read. Of the others only blocks are opened that can still
     reach the threshold, and of their documents only those are scored in full that can reach it, too.
 
+    Searches of at most ``EXHAUSTIVE_POSTINGS`` postings, counted once for each query that wants them,
+    score all matching documents at once, which takes fewer steps.
+
     Postings are read by the folders of the wanted terms (dynamic partition pruning); full scores come
     from the forward rows of the few documents left, in their buckets.
     """
-    terms = materialise(query_terms(queries, fields), "query-terms")
+    terms = materialise(query_terms(queries, fields, index), "query-terms")
     small = small_table(terms)
     average = _statistic(index, fields, "avg_len")
-    known = weighted_terms(index, terms, fields, small).withColumn("average", average)
+    known = materialise(weighted_terms(index, terms, fields, small), "known-terms")
+    if (known.agg(F.sum("df")).first()[0] or 0) <= EXHAUSTIVE_POSTINGS:
+        return _all_scores(index, known, fields, small, k1, b)
+    known = known.withColumn("average", average)
     most = F.col("weight") * _bound(F.col("average"), k1, b)
     known = materialise(known.withColumn("most", most).drop("impact", "max_tf", "min_len", "df", "frequent"), "query-weights")
 
@@ -195,7 +212,7 @@ def _full_scores(
     for field in fields:
         rows = index.forward.where(F.col("field") == field).select("doc_id", "doc_len", "terms")
         asked = pairs.where(F.col("field") == field).select("query_id", "doc_id")
-        terms = rows.join(broadcast_if(asked, few), "doc_id").select("query_id", "doc_id", "doc_len", F.inline("terms"))
+        terms = open_terms(rows.join(broadcast_if(asked, few), "doc_id"), ["query_id", "doc_id", "doc_len"])
         on = ["query_id", "term"]
         matched = terms.join(F.broadcast(weights), on) if small else split_join(terms, weights, on)
         part = F.col("weight") * saturation("tf", "doc_len", F.col("average"), k1, b)
@@ -211,7 +228,7 @@ def match_counts(index: Index, queries: DataFrame, fields: str | list[str] = "co
     for tens of thousands of documents.
     """
     fields = [fields] if isinstance(fields, str) else fields
-    terms = materialise(query_terms(queries, fields), "query-terms")
+    terms = materialise(query_terms(queries, fields, index), "query-terms")
     small = small_table(terms)
     known = weighted_terms(index, terms, fields, small).select("query_id", "field", "part", "term", "frequent", "weight")
     known = materialise(known, "query-weights")
@@ -228,6 +245,28 @@ def match_counts(index: Index, queries: DataFrame, fields: str | list[str] = "co
     return united.groupBy("query_id").agg(F.sum(F.bitmap_count("bits")).alias("n_hits"))
 
 
+def shared_search(
+    index: Index, runs: dict[str, tuple[DataFrame, str]], k: int = 20
+) -> dict[str, DataFrame]:
+    """Several searches as one: ``runs`` maps a name to queries and the field that they search.
+
+    All queries of all runs are searched together, so that the postings of a field are read once, and
+    the hits are stored once. Returns each run's hits.
+    """
+    fields = sorted({field for _, field in runs.values()})
+    tagged = [
+        queries.select(F.concat_ws("|", F.lit(name), "query_id").alias("query_id"), "query_text", F.lit(field).alias("field"))
+        for name, (queries, field) in runs.items()
+    ]
+    hits = materialise(bm25_search(index, reduce(DataFrame.unionByName, tagged), fields, k), "hits")
+
+    def of(name: str) -> DataFrame:
+        own = hits.where(F.startswith("query_id", F.lit(f"{name}|")))
+        return own.withColumn("query_id", F.substring("query_id", len(name) + 2, 1 << 30))
+
+    return {name: of(name) for name in runs}
+
+
 def union_hits(*hits: DataFrame) -> DataFrame:
     """Hits of several searches, each document once per query, unranked.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.annotations import grade_of, topic_of
-from rankloom.functions.text import count_terms, standard_terms, term_counts
+from rankloom.functions.text import count_terms, open_terms, standard_terms, term_counts
 from rankloom.functions.vectors import cosine, scaled_sum, zeros
 from rankloom.operators.index import Index
 from rankloom.operators.phrases import noun_pairs, phrase_terms
@@ -82,17 +82,19 @@ def weighted_texts(
     """
     on = [*(model or []), "term"]
     idf = materialise(idf.select(*on, "df", "idf"), "idf")
-    terms = rows.select(*keys, F.inline("terms"))
+    terms = open_terms(rows, keys)
     values = idf.select(*on, "idf")
     if small_table(values):
         known = terms.join(F.broadcast(values), on)
     else:
         known = split_join(terms, values, on, spread_by=F.struct(*keys), counts=idf.select(*on, F.col("df").alias("rows")))
-    raw = F.collect_list(F.struct((F.col("tf") * F.col("idf")).alias("raw"), "term"))
-    held = known.groupBy(*keys).agg(raw.alias("raw"))
-    length = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda s, x: s + x["raw"] * x["raw"]))
+    raw = F.col("tf") * F.col("idf")
+    # The length is an aggregate, because an expression on the array would be evaluated for every element.
+    held = known.groupBy(*keys).agg(
+        F.collect_list(F.struct(raw.alias("raw"), "term")).alias("raw"), F.sqrt(F.sum(raw * raw)).alias("length")
+    )
     scaled = F.transform("raw", lambda x: F.struct(rounded(x["raw"] / F.col("length")).alias("weight"), x["term"].alias("term")))
-    return held.withColumn("length", length).select(*keys, F.sort_array(scaled, asc=False).alias("weights"))
+    return held.select(*keys, F.sort_array(scaled, asc=False).alias("weights"))
 
 
 def tfidf_weights(terms: DataFrame, idf: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -103,7 +105,7 @@ def tfidf_weights(terms: DataFrame, idf: DataFrame, key: str = "doc_id") -> Data
 
 def opened_weights(weighted: DataFrame, keys: list[str]) -> DataFrame:
     """``(*keys, term, weight)`` of :func:`weighted_texts`."""
-    return weighted.select(*keys, F.inline("weights")).select(*keys, "term", "weight")
+    return open_terms(weighted, keys, "weights").select(*keys, "term", "weight")
 
 
 def heaviest(weighted: DataFrame, keys: list[str], k: int = 10) -> DataFrame:

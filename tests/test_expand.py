@@ -1,5 +1,6 @@
 import pytest
 
+from rankloom.plans.scratch import materialise
 from rankloom.operators import graph, phrases, senses
 from rankloom.operators.expand_all import expand_queries
 from rankloom.operators.senses import SenseStrategy
@@ -79,6 +80,26 @@ def test_closure_of_a_deep_chain(spark):
     assert graph.subclasses(roots, edges).count() == 7
 
 
+def test_closure_rounds_are_the_logarithm_of_the_depth(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(graph, "materialise", lambda df, name: (stored.append(name), materialise(df, name))[1])
+    roots = spark.createDataFrame([("p", "n0"), ("q", "n990")], "phrase string, class string")
+    edges = spark.createDataFrame([(f"n{i + 1}", f"n{i}") for i in range(999)], "class string, parent string")
+    found = graph.subclasses(roots, edges).groupBy("phrase").count().collect()
+    assert {r.phrase: r["count"] for r in found} == {"p": 1000, "q": 10}
+    assert stored.count("classes") - 1 <= 12
+
+
+def test_only_instances_of_the_wanted_classes_move(spark):
+    members = spark.range(500).select(F.format_string("Q1%04d", "id").alias("entity"), (F.col("id") % 100).cast("string").alias("class"))
+    labels = spark.createDataFrame([("7", "seven", None)], "entity string, label string, description string")
+    none = spark.createDataFrame([], "class string, parent string")
+    found = graph.phrase_entities(spark.createDataFrame([("seven",)], "phrase string"), members, none, labels)
+    assert sorted(r.entity for r in found.collect()) == [f"Q1{i:04d}" for i in range(7, 500, 100)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") > plan.index("row_number")
+
+
 def test_large_classes_are_cut_before_the_join(spark):
     members = spark.range(500).select(F.format_string("Q1%04d", "id").alias("entity"), F.lit("Q3").alias("class"))
     labels = spark.createDataFrame([("Q3", "big class", None)], "entity string, label string, description string")

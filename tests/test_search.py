@@ -217,8 +217,9 @@ def skewed(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("parameters", [(1.2, 0.75), (0.9, 0.4)])
 @pytest.mark.parametrize("k", [1, 5, 400])
-def test_bounds_lose_no_hit(skewed, k, parameters):
+def test_bounds_lose_no_hit(skewed, monkeypatch, k, parameters):
     stored, asked, _ = skewed
+    monkeypatch.setattr(search, "EXHAUSTIVE_POSTINGS", 0)
     pruned = search.bm25_search(stored, asked, "content", k, *parameters)
     full = ranked(search.bm25_scores(stored, asked, ["content"], *parameters), k)
     assert sorted(pruned.collect()) == sorted(full.collect())
@@ -228,6 +229,7 @@ def test_large_queries_are_searched_without_broadcasts(skewed, monkeypatch):
     stored, asked, _ = skewed
     full = sorted(ranked(search.bm25_scores(stored, asked, ["content"]), 3).collect())
     counts = sorted(search.match_counts(stored, asked).collect())
+    monkeypatch.setattr(search, "EXHAUSTIVE_POSTINGS", 0)
     monkeypatch.setattr(search, "small_table", lambda df: False)
     monkeypatch.setattr(search, "fits", lambda rows: False)
     assert sorted(search.bm25_search(stored, asked, "content", 3).collect()) == full
@@ -241,8 +243,9 @@ def test_match_counts(skewed):
     assert stored.term_stats.where("frequent").count() < stored.term_stats.count()
 
 
-def test_fields_by_query_in_a_stored_index(skewed):
+def test_fields_by_query_in_a_stored_index(skewed, monkeypatch):
     stored, asked, _ = skewed
+    monkeypatch.setattr(search, "EXHAUSTIVE_POSTINGS", 0)
     both = report.search_fields(asked.withColumn("topic_id", F.col("query_id")), ["q3", "q4"], special="title")
     pruned = search.bm25_search(stored, both, ["content", "title"], 4)
     full = ranked(search.bm25_scores(stored, both, ["content", "title"]), 4)
@@ -292,3 +295,19 @@ def test_result_page_has_hits_and_metrics(skewed):
     assert [r.page for r in rows] == [i // 4 for i in range(16)] and {r.max_pages for r in rows} == {4}
     expected = evaluate.score(evaluate.judge(hits, asked, docs), asked, 4).where("query_id = 'common'").first()
     assert {r.ndcg for r in rows} == {expected.ndcg} and all(r.title.startswith("t") for r in rows)
+
+
+def test_word_tables_apply_to_documents_and_queries(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "The cars and a car"), (2, "cars"), (3, "the the"), (4, "")], "doc_id long, content string")
+    canonical = spark.createDataFrame([("stemmed_content", "cars", "car")], "field string, term string, canonical string")
+    stops = spark.createDataFrame([("stemmed_content", "the"), ("stemmed_content", "a")], "field string, term string")
+    fields = {"content": "content", "stemmed_content": "content"}
+    index.write_index(docs, fields, "tabled", str(tmp_path / "tabled"), 2, canonical=canonical, stops=stops)
+    stored = index.read_index(spark, "tabled")
+    rows = stored.forward.where("field = 'stemmed_content'").orderBy("doc_id").collect()
+    assert [(r.doc_len, [tuple(t) for t in r.terms]) for r in rows] == [(3, [("and", 1), ("car", 2)]), (1, [("car", 1)]), (0, []), (0, [])]
+    asked = queries(spark, ("q", "1", "the CARS"))
+    assert {r.doc_id for r in search.bm25_search(stored, asked, "stemmed_content").collect()} == {1, 2}
+    assert {r.doc_id for r in search.bm25_search(stored, asked, "content").collect()} == {1, 2, 3}
+    index.write_index(docs, ["content"], "tabled", str(tmp_path / "plain"), 2)
+    assert index.read_index(spark, "tabled").canonical is None
