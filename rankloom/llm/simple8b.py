@@ -168,7 +168,9 @@ def coded_blocks(docs: DataFrame, file: str, end_id: int) -> DataFrame:
     Texts are encoded where they lie and their ids are stored; only ids are then dealt out by ranges
     of doc_id. Rows of one doc_id may lie in several ranges, in the order of a hash of their ids.
     """
-    stored = scratch.materialise(encoded_rows(docs, file, end_id), "ids")
+    rows, path = encoded_rows(docs, file, end_id), scratch.fresh_path(docs.sparkSession, "ids")
+    rows.write.option("compression", "zstd").parquet(path)
+    stored = docs.sparkSession.read.schema(rows.schema).parquet(path)
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").asc_nulls_first(), F.col("mixed"), F.col("ids")]
     ordered = stored.withColumn("mixed", F.xxhash64("ids")).repartitionByRange(width, *order[:2]).sortWithinPartitions(*order)
