@@ -261,18 +261,20 @@ def similar_sets(sets: DataFrame, percent: int) -> DataFrame:
     """``(a, b)``: links that connect all similar sets of ``sets``, not every similar pair."""
     rows = group_rows(sets)
     groups = scratch.materialise(rows.groupBy("h").agg(F.min(F.struct("v", "n")).alias("low"), F.count("*").alias("rows")).where("rows > 1"), "join-groups")
-    stars = joins.split_join(rows, groups.select("h", F.col("low.v").alias("centre"), F.col("low.n").alias("centre_n")), ["h"], spread_by="v", counts=groups.select("h", "rows"))
+    stars = joins.split_join(rows, groups.select("h", F.col("low.v").alias("centre"), F.col("low.n").alias("centre_n"), (F.col("rows") == 2).alias("alone")), ["h"], spread_by="v", counts=groups.select("h", "rows"))
     stars = stars.where(f"v <> centre AND 100 * least(n, centre_n) >= {percent} * greatest(n, centre_n)")
-    stars = stars.groupBy("v", "centre").agg(F.count("*").alias("shared"))
+    stars = stars.groupBy("v", "centre").agg(F.count("*").alias("shared"), F.bool_or("alone").alias("alone"))
     closest = Window.partitionBy("v").orderBy(F.col("shared").desc(), "centre")
-    stars = stars.withColumn("place", F.row_number().over(closest)).where(F.col("place") <= CENTRES)
-    stars = scratch.materialise(stars.select(F.col("centre").alias("a"), F.col("v").alias("b")), "join-stars")
-    linked = scratch.materialise(verified(stars, sets, percent), "join-links")
+    stars = stars.withColumn("place", F.row_number().over(closest)).where((F.col("place") <= CENTRES) | F.col("alone"))
+    stars = scratch.materialise(stars.select(F.col("centre").alias("a"), F.col("v").alias("b"), "shared", "place"), "join-stars")
+    linked = scratch.materialise(verified(stars.where(F.col("place") <= CENTRES).select("a", "b"), sets, percent), "join-links")
+    # Pairs of groups of two for which there was no place: no larger group holds them, so they wait with the others.
+    waiting = stars.where(F.col("place") > CENTRES).select("a", "b", "shared")
     roots = components.components(linked).withColumnRenamed("root", "_root")
     placed = rows.join(roots, "v", "left").select("h", "v", F.coalesce("_root", "v").alias("root"))
     counts = groups.where("rows > 2").select("h", "rows")
     large = joins.split_join(placed, counts.select("h"), ["h"], "left_semi", spread_by="v", counts=counts)
-    # A group of one component is done, and so is one of two sets; groups of equal members count once.
+    # A group of one component is done, and one of two sets is tried or waits; groups of equal members count once.
     apart = large.groupBy("h").agg(
         F.count("*").alias("rows"), F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.xxhash64("v").cast("decimal(38, 0)")).alias("sum"), F.bit_xor(F.xxhash64("v")).alias("mixed")
     ).where("low <> high")
@@ -282,7 +284,8 @@ def similar_sets(sets: DataFrame, percent: int) -> DataFrame:
     members = joins.split_join(placed, pieces, ["h"], spread_by="v", counts=apart)
     members = members.join(sets.select("v", "n", "first"), "v")
     calls = max(1, (apart.agg(F.sum("rows")).first()[0] or 0) // PIECE_SETS)
-    pairs = scratch.materialise(likely_pairs(members, calls, percent), "join-pairs")
+    pairs = likely_pairs(members, calls, percent).unionByName(waiting).groupBy("a", "b").agg(F.max("shared").alias("shared"))
+    pairs = scratch.materialise(pairs, "join-pairs")
     # Each component tries its likeliest pairs first: what they connect need not be compared any more.
     for _ in range(JOINING_ROUNDS):
         apart_pairs = in_different_components(pairs, linked)

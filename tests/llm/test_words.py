@@ -221,3 +221,16 @@ def test_one_error_equals_force(monkeypatch, alphabet):
         pairs = fm_index.one_error(fm_index.SuffixRanks(queries), queries, half if backwards else queries.lengths - half)
         found |= {(words[i], words[j]) for i, j in zip(*pairs)}
     assert found == {(a, b) for a in words for b in words if near(a, b)} and found
+
+
+def test_sets_alone_in_many_groups_keep_their_link(spark):
+    """A set shares more tokens with two others, of groups of two, than with the one that it is similar to."""
+    tokens = {10: list(range(100, 140)), 1: [100, 101, *range(200, 238)], 2: [102, 103, *range(300, 338)], 3: list(range(104, 140))}
+    rows = []
+    for v, held in tokens.items():
+        n = np.array([len(held)])
+        prefix = held[: int(ngram_join.held_length(n, 90)[0])]
+        rows.append((v, len(held), 1, int(ngram_join.prefix_length(n, 90)[0]), prefix, prefix, prefix, np.array(held, np.uint64).tobytes()))
+    schema = "v long, n long, need long, size long, first array<long>, second array<long>, third array<long>, set binary"
+    found = ngram_join.similar_sets(spark.createDataFrame(rows, schema), 90)
+    assert {tuple(r) for r in found.collect()} == {(3, 10)}
