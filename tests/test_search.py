@@ -311,3 +311,40 @@ def test_word_tables_apply_to_documents_and_queries(spark, tmp_path):
     assert {r.doc_id for r in search.bm25_search(stored, asked, "content").collect()} == {1, 2, 3}
     index.write_index(docs, ["content"], "tabled", str(tmp_path / "plain"), 2)
     assert index.read_index(spark, "tabled").canonical is None
+
+
+def test_blocks_follow_impact_and_count_every_posting(spark, tmp_path, monkeypatch):
+    """Blocks made of several chunks and batches: order, bounds and bitmaps agree with the postings."""
+    monkeypatch.setattr(index, "BLOCK_POSTINGS", 3)
+    monkeypatch.setattr(index, "CHUNK_DOCUMENTS", 2)
+    rng = random.Random(8)
+    rows = [(i % 50, " ".join(rng.choices(["a", "b", "é", "c"], [9, 5, 3, 1], k=rng.randrange(9)))) for i in range(70)] + [(None, "a b"), (99, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, content string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)
+    try:
+        index.write_index(docs, ["content"], "chunked", str(tmp_path / "chunked"), 3)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    stored = index.read_index(spark, "chunked")
+    average = stored.field_stats.first().avg_len
+    held = {}
+    for r in stored.blocks.orderBy("term", "block").collect():
+        impact = [e.tf * 2.2 / (e.tf + 1.2 * (0.25 + 0.75 * e.doc_len / average)) for e in r.entries]
+        assert (r.n, r.max_tf, r.min_len) == (len(impact), max(e.tf for e in r.entries), min(e.doc_len for e in r.entries))
+        assert r.impact == pytest.approx(impact[0]) and (r.n == 3 or r.block == len(held.get(r.term, [])) // 3)
+        held.setdefault(r.term, []).extend((-i, -1 if e.doc_id is None else e.doc_id) for i, e in zip(impact, r.entries))
+    assert all(v == sorted(v) for v in held.values())
+    assert {t: len(v) for t, v in held.items()} == {r.term: r.df for r in stored.term_stats.collect()}
+    bits = stored.bitmaps.groupBy("term").agg(F.sum(F.bitmap_count("bits")).alias("n"))
+    assert {r.term: r.n for r in bits.collect()} == {r.term: r.df for r in stored.term_stats.where("frequent").collect()}
+
+
+def test_buckets_follow_the_text(spark, tmp_path, monkeypatch):
+    from rankloom.catalog import inputs
+
+    spark.createDataFrame([(i, "x" * 1000, "en", "s", 1000) for i in range(100)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    assert inputs.index_buckets(spark, str(tmp_path)) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(inputs, "BUCKET_BYTES", 1000)
+    assert inputs.index_buckets(spark, str(tmp_path)) == 100
