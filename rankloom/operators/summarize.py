@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import count_terms, standard_terms
-from rankloom.operators.tfidf import fit_tfidf, term_rows
-from rankloom.plans.joins import small_table, split_join
+from rankloom.operators.tfidf import fit_tfidf, term_rows, with_idf
+from rankloom.plans.joins import small_table
 from rankloom.plans.ranking import rounded
 from rankloom.plans.scratch import materialise
 
@@ -50,8 +51,7 @@ def truncated(text: Column, k: int = 1024) -> Column:
 def sentence_weights(chunks: DataFrame, idf: DataFrame) -> DataFrame:
     """Mean tf-idf weight of each sentence: ``(doc_id, chunk_no, sentence_no, weight)``.
 
-    ``idf(term, df, idf)``; a word is at least as frequent as the texts that it is in, so ``df``
-    tells which words have to be cut into pieces.
+    ``idf(term, df, idf)``; ``df`` tells which words are common enough to be broadcast if not all can be.
     """
     keys = ["doc_id", "chunk_no", "sentence_no"]
     tokens = chunks.select(
@@ -61,12 +61,15 @@ def sentence_weights(chunks: DataFrame, idf: DataFrame) -> DataFrame:
     idf = materialise(idf.select("term", "df", "idf"), "idf")
     values = idf.select("term", "idf")
     if small_table(values):
-        weighed = terms.join(F.broadcast(values), "term")
+        parts = [terms.join(F.broadcast(values), "term")]
     else:
-        weighed = split_join(terms, values, ["term"], spread_by=F.struct(*keys), counts=idf.select("term", F.col("df").alias("rows")))
-    return weighed.groupBy(*keys).agg(
-        rounded(F.sum(F.col("tf") * F.col("idf")) / F.first("n_tokens")).alias("weight")
-    )
+        parts = with_idf(terms, idf, ["term"], F.struct(*keys))
+    # Beyond the broadcast limit only the sums of the sentences move, and the rows of rare words.
+    total, n_tokens = F.sum(F.col("tf") * F.col("idf")).alias("total"), F.first("n_tokens").alias("n_tokens")
+    sums = reduce(DataFrame.unionByName, [part.groupBy(*keys).agg(total, n_tokens) for part in parts])
+    if len(parts) > 1:
+        sums = sums.groupBy(*keys).agg(F.sum("total").alias("total"), n_tokens)
+    return sums.select(*keys, rounded(F.col("total") / F.col("n_tokens")).alias("weight"))
 
 
 def extract_summaries(chunks: DataFrame, idf: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.annotations import grade_of, topic_of
@@ -12,7 +12,7 @@ from rankloom.operators.index import Index
 from rankloom.operators.phrases import noun_pairs, phrase_terms
 from rankloom.operators.pooling import mean_pool, pool_terms
 from rankloom.operators.rerank import cosine_rerank
-from rankloom.plans.joins import broadcast_if, fits, small_table, split_join
+from rankloom.plans.joins import broadcast_if, fits, fitting_from, small_table, split_join
 from rankloom.plans.ranking import ranked, rounded
 from rankloom.plans.scratch import materialise
 
@@ -74,27 +74,60 @@ def weighted_texts(
     the fit has not seen are dropped, and so is a text without known terms. Tf times idf is scaled to
     unit length and ordered inside the row (ties by term, descending), so the term rows are exchanged
     once, to meet their text again, and not at all if ``rows`` are bucketed by the key. The vocabulary
-    is as large as the corpus makes it: beyond the broadcast limit its words are joined by a shuffle,
-    and ``df`` tells which are so common that they have to be cut into pieces by text.
+    is as large as the corpus makes it: beyond the broadcast limit its most common words, by ``df``, are
+    broadcast, and only the rows of the others are shuffled (:func:`with_idf`).
 
     With ``model``, columns of the keys, every value of them has an idf table of its own:
     ``idf(*model, term, df, idf)``.
     """
     on = [*(model or []), "term"]
     idf = materialise(idf.select(*on, "df", "idf"), "idf")
-    terms = open_terms(rows, keys)
     values = idf.select(*on, "idf")
     if small_table(values):
-        known = terms.join(F.broadcast(values), on)
-    else:
-        known = split_join(terms, values, on, spread_by=F.struct(*keys), counts=idf.select(*on, F.col("df").alias("rows")))
+        return _scaled(_raw_weights(open_terms(rows, keys).join(F.broadcast(values), on), keys), keys)
+    named = F.lit(True)
+    for key in keys:
+        named &= F.col(key).isNotNull()
+    known, rare = with_idf(open_terms(rows.where(named), keys), idf, on, F.struct(*keys))
+    common, rest = _raw_weights(known, keys), _raw_weights(rare, keys)
+    rest = rest.select(*keys, F.col("raw").alias("rare"), F.col("squares").alias("rare_squares"))
+    nothing = F.array().cast(common.schema["raw"].dataType)
+    both = common.join(rest, keys, "full").select(
+        *keys,
+        F.concat(F.coalesce("raw", nothing), F.coalesce("rare", nothing)).alias("raw"),
+        (F.coalesce("squares", F.lit(0.0)) + F.coalesce("rare_squares", F.lit(0.0))).alias("squares"),
+    )
+    # Rows without a key meet in no join by key.
+    counts = idf.select(*on, F.col("df").alias("rows"))
+    unnamed = split_join(open_terms(rows.where(~named), keys), values, on, spread_by=F.struct(*keys), counts=counts)
+    return _scaled(both.unionByName(_raw_weights(unnamed, keys)), keys)
+
+
+def with_idf(terms: DataFrame, idf: DataFrame, on: list[str], spread_by: Column) -> tuple[DataFrame, DataFrame]:
+    """``terms`` with their idf, for a vocabulary beyond the broadcast limit: the common words, then the rare ones.
+
+    As many of the most common words as fit are broadcast; most rows hold one of them and stay where
+    they are. Only rows with rarer words are shuffled.
+    """
+    least = fitting_from(idf, [*on, "idf"], "df")
+    common = F.broadcast(idf.where(F.col("df") >= least).select(*on, "idf"))
+    rare = idf.where(F.col("df") < least)
+    others = terms.join(common.select(*on), on, "left_anti")
+    counts = rare.select(*on, F.col("df").alias("rows"))
+    return terms.join(common, on), split_join(others, rare.select(*on, "idf"), on, spread_by=spread_by, counts=counts)
+
+
+def _raw_weights(known: DataFrame, keys: list[str]) -> DataFrame:
+    """``(*keys, raw, squares)``: tf times idf of each term, and the sum of their squares."""
     raw = F.col("tf") * F.col("idf")
+    return known.groupBy(*keys).agg(F.collect_list(F.struct(raw.alias("raw"), "term")).alias("raw"), F.sum(raw * raw).alias("squares"))
+
+
+def _scaled(held: DataFrame, keys: list[str]) -> DataFrame:
     # The length is an aggregate, because an expression on the array would be evaluated for every element.
-    held = known.groupBy(*keys).agg(
-        F.collect_list(F.struct(raw.alias("raw"), "term")).alias("raw"), F.sqrt(F.sum(raw * raw)).alias("length")
-    )
+    length = F.sqrt("squares")
     scaled = F.transform("raw", lambda x: F.struct(rounded(x["raw"] / F.col("length")).alias("weight"), x["term"].alias("term")))
-    return held.select(*keys, F.sort_array(scaled, asc=False).alias("weights"))
+    return held.select(*keys, "raw", length.alias("length")).select(*keys, F.sort_array(scaled, asc=False).alias("weights"))
 
 
 def tfidf_weights(terms: DataFrame, idf: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from rankloom.functions import vectors
 from rankloom.operators import phrases, pooling, prepare, summarize, tfidf
+from rankloom.plans import joins
+from rankloom.plans.scratch import materialise
 from rankloom.sources import corpus, reports, topics, triples, word_vectors
 
 
@@ -232,3 +234,28 @@ def test_models_by_topic(spark):
     assert got[("a", 2)] == angle([5 + 0.5, 5 + 1.0], [5 + 1.0, 5 + 0.5])
     assert got[("b", 1)] == angle([0 + 0.5, 5 + 1.0], [5 + 0.5, 0 + 0.5])
     assert got[("c", 1)] == angle([0, 1.0], [0.5, 0.5]) and got[("c", 4)] is None
+
+
+def test_only_rare_words_are_shuffled_beyond_the_broadcast_limit(spark, monkeypatch):
+    """Weights and summaries are the same with a vocabulary beyond the limit, also without a key or with equal keys."""
+    texts = [(1, "a a b. c rare"), (2, "a b c. b. two"), (2, "a other"), (None, "a c only. a"), (None, "a"), (3, ""), (4, "unseen"), (5, "a b c a")]
+    docs = spark.createDataFrame(texts, "doc_id long, content string")
+    idf = materialise(tfidf.fit_tfidf(tfidf.term_rows(docs), docs).where("term <> 'unseen'"), "idf")
+    chunks = summarize.split_chunks(docs.where("doc_id <> 2 AND doc_id IS NOT NULL"))
+
+    def results():
+        weights = tfidf.opened_weights(tfidf.weighted_texts(tfidf.term_arrays(docs), idf, ["doc_id"]), ["doc_id"])
+        return [sorted(map(str, df.collect())) for df in (weights, summarize.sentence_weights(chunks, idf))]
+
+    small = results()
+    least = joins.fitting_from(idf, ["term", "idf"], "df", 80)
+    assert 1 < least <= idf.agg(F.max("df")).first()[0] and joins.fitting_from(idf, ["term", "idf"], "df") == 1
+    for module in (tfidf, summarize):
+        monkeypatch.setattr(module, "small_table", lambda df: False)
+    for limit in (0, 80, 1 << 20):
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+        assert results() == small
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 80)
+    known, rare = tfidf.with_idf(tfidf.term_rows(docs), idf, ["term"], F.col("doc_id"))
+    assert {r.term for r in known.collect()} == {"a", "b", "c"} and "rare" in {r.term for r in rare.collect()}
+    assert "BroadcastHashJoin" in known._jdf.queryExecution().executedPlan().toString()
