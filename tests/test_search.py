@@ -252,6 +252,31 @@ def test_fields_by_query_in_a_stored_index(skewed, monkeypatch):
     assert sorted(pruned.collect()) == sorted(full.collect())
 
 
+@pytest.mark.parametrize("k", [1, 5, 400])
+@pytest.mark.parametrize("cells", [1, 100, 1 << 17])
+def test_rows_are_scored_where_they_lie(skewed, monkeypatch, k, cells):
+    """Beyond EXHAUSTIVE_POSTINGS, too: no posting is opened by its block, and no match is shuffled."""
+    stored, asked, _ = skewed
+    full = sorted(ranked(search.bm25_scores(stored, asked, ["content"]), k).collect())
+    monkeypatch.setattr(search, "EXHAUSTIVE_POSTINGS", 1000)
+    monkeypatch.setattr(search, "CELLS", cells)
+    for step in ("_opened", "_all_scores"):
+        monkeypatch.setattr(search, step, lambda *_: pytest.fail("the rows were to be scored"))
+    assert sorted(search.bm25_search(stored, asked, "content", k).collect()) == full
+
+
+def test_rows_of_one_id_are_scored_as_one_document(spark, tmp_path, monkeypatch):
+    rows = [(1, "red car"), (1, "red"), (2, "red car park"), (None, "red tree"), (None, "car"), (3, ""), (3, "car"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, content string")
+    index.write_index(docs, ["content"], "repeated_index", str(tmp_path), 2)
+    stored = index.read_index(spark, "repeated_index")
+    asked = spark.createDataFrame([("a", "red"), ("a", "red tree"), ("b", "car red car"), ("c", "none")], "query_id string, query_text string")
+    full = {(r.query_id, r.doc_id): r for r in ranked(search.bm25_scores(stored, asked, ["content"]), 3).collect()}
+    monkeypatch.setattr(search, "_opened", lambda *_: pytest.fail("the rows were to be scored"))
+    found = search.bm25_search(stored, asked, "content", 3).collect()
+    assert {(r.query_id, r.doc_id): r for r in found} == full and len(found) == len(full) == 6
+
+
 def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
