@@ -373,3 +373,19 @@ def test_buckets_follow_the_text(spark, tmp_path, monkeypatch):
     assert inputs.index_buckets(spark, str(tmp_path)) == spark.sparkContext.defaultParallelism
     monkeypatch.setattr(inputs, "BUCKET_BYTES", 1000)
     assert inputs.index_buckets(spark, str(tmp_path)) == 100
+
+
+def test_pairs_take_the_vectors_of_hit_documents_only(spark, monkeypatch):
+    from rankloom.catalog import inputs, vector_queries
+
+    hits = spark.createDataFrame([("q", 1), ("q", 3)], "query_id string, doc_id long")
+    chunks = spark.createDataFrame([(i, [1.0, float(i)]) for i in (1, 1, 2, 3)], "doc_id long, vec array<double>")
+    asked = spark.createDataFrame([("q", [0.5, 2.0])], "query_id string, vec array<double>")
+    for name, frame in (("chunk_vectors", chunks), ("query_vectors", asked)):
+        monkeypatch.setattr(inputs, name, lambda *_, frame=frame: frame)
+    monkeypatch.setattr(inputs, "doc_vectors", inputs.doc_vectors.__wrapped__)
+    monkeypatch.setattr(vector_queries, "content_hits", lambda *_: hits)
+    pairs = vector_queries.vector_pairs(spark, "")
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
+    assert sorted((r.doc_id, r.b) for r in pairs.collect()) == [(1, [1.0, 1.0]), (3, [1.0, 3.0])]
