@@ -3,12 +3,13 @@
 Every order ranks all tokens; a set's prefix under it is its first few tokens. Two sets of the wanted
 similarity share a known number of prefix tokens under *every* order, so the filters are intersected:
 a set stays in the race only if, order by order, enough of its prefix tokens occur in other sets that
-are still in it, and a pair is verified on full sets only if its prefixes share enough under each
-order. All orders put tokens that are common in the corpus last and differ in how they mix the rest.
+are still in it. All orders put tokens that are common in the corpus last and differ in how they mix
+the rest.
 
 Sets that share a token of the plain prefix are candidates of each other. First each group of them is
 compared with its smallest member, which connects groups of copies; groups that are still in
-several components are then compared by prefixes in pieces of bounded size.
+several components are then compared in pieces of bounded size. A pair is verified on full sets only if
+small bit maps of all tokens, which bound what two sets share, leave it possible.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ COMMON_IN_TASK, COMMON_FROM, COMMON_TOKENS = 4, 16, 1 << 20
 # Rounds in which the first order's filter is applied to what it left.
 ROUNDS = 2
 PIECE_SETS = 256
+# Bytes of bit maps that are compared at once.
+MAP_BYTES = 4 << 20
 # Smallest members that each set is compared with first: those with which it shares most tokens.
 CENTRES = 2
 # Rounds in which each component tries its likeliest pairs, before all pairs that are left are compared.
@@ -174,82 +177,131 @@ def group_rows(sets: DataFrame) -> DataFrame:
     return sets.select("v", "n", F.explode(F.slice("first", F.lit(1), F.col("size").cast("int"))).alias("h"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)``: those of ``pairs(a, b)`` that are similar. Prefixes are compared first, then full sets."""
+def sketched(sets: DataFrame) -> DataFrame:
+    """``(v, n, bits)``: a bit map of each set's tokens, with four to eight bits for each of ``n`` tokens.
 
-    def attached(left: DataFrame, name: str, *columns: str) -> DataFrame:
-        right = sets.select(F.col("v").alias(name), F.struct(*columns).alias(f"{name}_row"))
-        return joins.split_join(left, right, [name], spread_by=F.xxhash64("a", "b"))
+    A bit that only one of two sets has stands for a token that the other one lacks, so bit maps bound what
+    sets share (:func:`most_shared`), in a sixteenth to an eighth of the sets' bytes.
+    """
 
-    both = F.expr(f"({percent} * (a_row.n + b_row.n) + {99 + percent}) div {100 + percent}")
-    least = F.least(F.size("a_row.first") - F.col("a_row.n"), F.size("b_row.first") - F.col("b_row.n")) + both
-    likely = pairs
-    for name in ("a", "b"):
-        likely = attached(likely, name, "n", *ORDERS)
-    for order in ORDERS:
-        likely = likely.where(F.size(F.array_intersect(f"a_row.{order}", f"b_row.{order}")) >= least)
-    joined = scratch.materialise(likely.select("a", "b").distinct(), "join-likely")
-    for name in ("a", "b"):
-        joined = attached(joined, name, "set")
+    def made(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            maps = [bit_map(np.frombuffer(x.as_buffer(), np.uint64)) for x in batch.column("set")]
+            yield pa.RecordBatch.from_arrays([batch.column("v"), batch.column("n"), pa.array(maps, pa.binary())], ["v", "n", "bits"])
+
+    return sets.select("v", "n", "set").mapInArrow(made, "v long, n long, bits binary")
+
+
+def bit_map(tokens: np.ndarray) -> bytes:
+    """Bits at the lowest digits of the mixed tokens; their number is a power of two."""
+    size = 1 << max(6, (4 * len(tokens) - 1).bit_length())
+    flags = np.zeros(size, bool)
+    flags[(batches.mix(tokens) & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(flags).tobytes()
+
+
+def most_shared(x: np.ndarray, y: np.ndarray, n: int, other: int) -> int:
+    """At most so many tokens are in both sets, by their bit maps; the larger map is folded to the smaller."""
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_or.reduce(m.reshape(-1, size), axis=0) for m in (x, y))
+    return min(n - int(np.bitwise_count(x & ~y).sum()), other - int(np.bitwise_count(y & ~x).sum()))
+
+
+def attached(left: DataFrame, right: DataFrame, name: str, few: bool, column: str) -> DataFrame:
+    """``left`` with ``column`` of the rows of ``right(v, column)`` that ``name`` says, as ``{name}_{column}``."""
+    right = right.select(F.col("v").alias(name), F.col(column).alias(f"{name}_{column}"))
+    return right.join(F.broadcast(left), name) if few else joins.split_join(left, right, [name], spread_by=F.xxhash64("a", "b"))
+
+
+def likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """``(a, b, shared)``: those of the stored ``pairs(a, b)`` whose sets may be similar, and what they share at most."""
+    few = joins.fits(pairs.count())
+    joined = pairs.select("a", "b")
+    rows = sketches.select("v", F.struct("n", "bits").alias("map"))
+    joined = attached(attached(joined, rows, "a", few, "map"), rows, "b", False, "map")
 
     def decide(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            ends = [[np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(c)] for c in ("x", "y")]
+            n, other = batch.column("n").to_numpy(), batch.column("other").to_numpy()
+            maps = [[np.frombuffer(x.as_buffer(), np.uint8) for x in batch.column(c)] for c in ("x", "y")]
+            shared = np.array([most_shared(*pair) for pair in zip(*maps, n, other)], np.int64)
+            fine = pa.array(shared >= overlap(n, other, percent))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shared)], ["a", "b", "shared"]).filter(fine)
+
+    sides = joined.select("a", "b", F.col("a_map.n").alias("n"), F.col("a_map.bits").alias("x"), F.col("b_map.n").alias("other"), F.col("b_map.bits").alias("y"))
+    return sides.mapInArrow(decide, "a long, b long, shared long")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: those of the stored ``pairs(a, b)`` that are similar, by their full sets.
+
+    Few pairs are sent to where the sets of one side lie, and only sets that they name are shuffled.
+    """
+    few = joins.fits(pairs.count())
+    joined = pairs.select("a", "b")
+    joined = attached(joined, sets, "b", few, "set")
+    ends = sets.join(F.broadcast(pairs.select(F.col("a").alias("v"))), "v", "left_semi") if few else sets
+    joined = attached(joined, ends, "a", False, "set")
+
+    def decide(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            ends = [[np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(c)] for c in ("a_set", "b_set")]
             keep = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(*ends)):
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return joined.select("a", "b", F.col("a_row.set").alias("x"), F.col("b_row.set").alias("y")).mapInArrow(decide, "a long, b long")
-
-
-def shared_counts(lists: list[np.ndarray]) -> np.ndarray:
-    """How many tokens each pair of lists of distinct tokens has in common."""
-    n = len(lists)
-    _, column, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
-    of = np.repeat(np.arange(n), [len(x) for x in lists])
-    several = counts[column] > 1
-    column = (np.cumsum(counts > 1) - 1)[column[several]]
-    of, common, step = of[several], np.zeros((n, n), np.float32), 4096
-    place = np.argsort(column, kind="stable")
-    column, of = column[place], of[place]
-    for start in range(0, int(column[-1]) + 1 if len(column) else 0, step):
-        a, b = np.searchsorted(column, [start, start + step])
-        part = np.zeros((n, step), np.float32)
-        part[of[a:b], column[a:b] - start] = 1
-        common += part @ part.T
-    return common
+    return joined.select("a", "b", "a_set", "b_set").mapInArrow(decide, "a long, b long")
+
+
+def near_pairs(maps: list[np.ndarray], n: np.ndarray, fine: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs in ``fine`` whose sets may be similar by size and bit map, and what they share at most."""
+    smaller, larger = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
+    i, j = np.nonzero(np.triu(fine & (100 * smaller >= percent * larger), 1))
+    lengths = np.array([len(x) for x in maps])
+    swap = lengths[i] > lengths[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    most = np.zeros(len(i), np.int64)
+    for size in np.unique(lengths[i]):
+        own = np.flatnonzero(lengths[i] == size)
+        # Larger maps are folded to the smaller ones of their pairs.
+        place = np.full(len(maps), -1)
+        used = np.unique(np.concatenate([i[own], j[own]]))
+        place[used] = np.arange(len(used))
+        table = np.stack([np.bitwise_or.reduce(maps[r].reshape(-1, size), axis=0).view(np.uint64) for r in used])
+        step = max(1, MAP_BYTES // int(size))
+        for at in range(0, len(own), step):
+            some = own[at : at + step]
+            x, y = table[place[i[some]]], table[place[j[some]]]
+            most[some] = np.minimum(n[i[some]] - np.bitwise_count(x & ~y).sum(axis=1), n[j[some]] - np.bitwise_count(y & ~x).sum(axis=1))
+    near = most >= overlap(n[i], n[j], percent)
+    return i[near], j[near], most[near]
 
 
 def likely_pairs(members: DataFrame, calls: int, percent: int) -> DataFrame:
-    """``(a, b, shared)``: pairs of a group's members in different components that pass the first order's filter.
+    """``(a, b, shared)``: pairs of a group's members in different components that may be similar by their bit maps.
 
-    ``members(h, pieces, v, root, n, first)``. A group of several pieces is compared
-    piece by piece, so that a call holds two of them at most; small groups share ``calls`` calls.
+    ``members(h, pieces, v, root, n, bits)``. A group of several pieces is compared piece by piece, so that
+    a call holds two of them at most; small groups share ``calls`` calls.
     """
     own = F.pmod(F.xxhash64("v"), F.col("pieces")).cast("int")
     cut = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     unit = F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other"))
-    dealt = cut.select("v", "root", "n", "first", unit.alias("unit"), F.when(F.col("pieces") > 1, unit).otherwise(F.pmod(F.xxhash64("h"), F.lit(calls))).alias("deal"))
+    dealt = cut.select("v", "root", "n", "bits", unit.alias("unit"), F.when(F.col("pieces") > 1, unit).otherwise(F.pmod(F.xxhash64("h"), F.lit(calls))).alias("deal"))
 
     def decide(table: pa.Table) -> pa.Table:
         v, root, n, unit = (table[c].to_numpy() for c in ("v", "root", "n", "unit"))
         order = np.argsort(unit, kind="stable")
-        lists = table["first"].combine_chunks()
+        maps = table["bits"].combine_chunks()
         found = []
         for rows in np.split(order, np.flatnonzero(np.diff(unit[order])) + 1):
             if len(np.unique(root[rows])) < 2:
                 continue
-            sizes = n[rows].astype(np.int64)
-            held = held_length(sizes, percent)
-            both = overlap(sizes[:, None], sizes[None, :], percent)
-            least = np.minimum((held - sizes)[:, None], (held - sizes)[None, :]) + both
-            shared = shared_counts([lists[int(r)].values.to_numpy() for r in rows])
-            fine = (shared >= least) & (root[rows][:, None] != root[rows][None, :])
-            i, j = np.nonzero(np.triu(fine, 1))
+            held = [np.frombuffer(maps[int(r)].as_buffer(), np.uint8) for r in rows]
+            i, j, most = near_pairs(held, n[rows].astype(np.int64), root[rows][:, None] != root[rows][None, :], percent)
             ends = np.stack([v[rows[i]], v[rows[j]]])
-            found.append(np.stack([ends.min(axis=0), ends.max(axis=0), shared[i, j].astype(np.int64)]))
+            found.append(np.stack([ends.min(axis=0), ends.max(axis=0), most]))
         # A pair of several groups leaves the call once.
         pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
         return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1]), "shared": pa.array(pairs[2])})
@@ -266,10 +318,15 @@ def similar_sets(sets: DataFrame, percent: int) -> DataFrame:
     stars = stars.groupBy("v", "centre").agg(F.count("*").alias("shared"), F.bool_or("alone").alias("alone"))
     closest = Window.partitionBy("v").orderBy(F.col("shared").desc(), "centre")
     stars = stars.withColumn("place", F.row_number().over(closest)).where((F.col("place") <= CENTRES) | F.col("alone"))
-    stars = scratch.materialise(stars.select(F.col("centre").alias("a"), F.col("v").alias("b"), "shared", "place"), "join-stars")
-    linked = scratch.materialise(verified(stars.where(F.col("place") <= CENTRES).select("a", "b"), sets, percent), "join-links")
-    # Pairs of groups of two for which there was no place: no larger group holds them, so they wait with the others.
-    waiting = stars.where(F.col("place") > CENTRES).select("a", "b", "shared")
+    stars = scratch.materialise(stars.select(F.col("centre").alias("a"), F.col("v").alias("b")), "join-stars")
+    sketches = scratch.materialise(sketched(sets), "join-sketches")
+    nearest = Window.partitionBy("b").orderBy(F.col("shared").desc(), "a")
+    near = scratch.materialise(likely(stars, sketches, percent).withColumn("place", F.row_number().over(nearest)), "join-near")
+    best = scratch.materialise(near.where("place = 1").select("a", "b"), "join-best")
+    linked = scratch.materialise(verified(best, sets, percent), "join-links")
+    # Each set is compared with its nearest centre; the other centres, and pairs alone in their group, which no
+    # larger group holds, wait with the other pairs.
+    waiting = near.where("place > 1").select("a", "b", "shared")
     roots = components.components(linked).withColumnRenamed("root", "_root")
     placed = rows.join(roots, "v", "left").select("h", "v", F.coalesce("_root", "v").alias("root"))
     counts = groups.where("rows > 2").select("h", "rows")
@@ -282,7 +339,7 @@ def similar_sets(sets: DataFrame, percent: int) -> DataFrame:
     apart = scratch.materialise(apart, "join-apart")
     pieces = apart.select("h", F.ceil(F.col("rows") / PIECE_SETS).cast("int").alias("pieces"))
     members = joins.split_join(placed, pieces, ["h"], spread_by="v", counts=apart)
-    members = members.join(sets.select("v", "n", "first"), "v")
+    members = members.join(sketches, "v")
     calls = max(1, (apart.agg(F.sum("rows")).first()[0] or 0) // PIECE_SETS)
     pairs = likely_pairs(members, calls, percent).unionByName(waiting).groupBy("a", "b").agg(F.max("shared").alias("shared"))
     pairs = scratch.materialise(pairs, "join-pairs")
@@ -297,7 +354,8 @@ def similar_sets(sets: DataFrame, percent: int) -> DataFrame:
             return linked
         linked = scratch.materialise(linked.union(verified(chosen, sets, percent)), "join-links")
         pairs = scratch.materialise(pairs.join(chosen, ["a", "b"], "left_anti"), "join-pairs")
-    return linked.union(verified(in_different_components(pairs, linked).select("a", "b"), sets, percent))
+    rest = scratch.materialise(in_different_components(pairs, linked).select("a", "b"), "join-rest")
+    return linked.union(verified(rest, sets, percent))
 
 
 def in_different_components(pairs: DataFrame, links: DataFrame) -> DataFrame:
@@ -348,6 +406,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     same = joins.split_join(named.join(repeated, "doc_id", "left_semi"), classes.select(*keys, "v"), keys, counts=of_copies)
     same = same.select(F.col("doc_id").alias("a"), F.col("v").alias("b"))
     roots = components.components(similar.union(same))
+    tokens.destroy()
     of_class = classes.select(*keys, "v").join(roots, "v", "left").select(*keys, F.coalesce("root", "v").alias("root"))
     found = joins.split_join(named, of_class, keys, counts=of_copies).select("doc_id", F.col("n").alias("n_shingles"), F.col("root").alias("component_id"))
     return found.union(rows.where("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), "doc_id"))

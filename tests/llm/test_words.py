@@ -234,3 +234,36 @@ def test_sets_alone_in_many_groups_keep_their_link(spark):
     schema = "v long, n long, need long, size long, first array<long>, second array<long>, third array<long>, set binary"
     found = ngram_join.similar_sets(spark.createDataFrame(rows, schema), 90)
     assert {tuple(r) for r in found.collect()} == {(3, 10)}
+
+
+@pytest.mark.parametrize("percent", [50, 90])
+def test_bit_maps_bound_what_sets_share(percent):
+    rng = np.random.default_rng(percent)
+    pool = rng.integers(1, 1 << 63, 400, np.uint64)
+    sets = [np.unique(rng.choice(pool, n, False)) for n in (1, 3, 15, 16, 17, 60, 64, 65, 120, 300, 390)]
+    sets += [np.append(s[: max(1, len(s) - 4)], rng.integers(1, 1 << 63, k, np.uint64)) for s in sets for k in (0, 1, 5)]
+    sizes = np.array([len(s) for s in sets])
+    maps = [np.frombuffer(ngram_join.bit_map(s), np.uint8) for s in sets]
+    i, j, most = ngram_join.near_pairs(maps, sizes, np.ones((len(sets), len(sets)), bool), percent)
+    found = {(min(a, b), max(a, b)): m for a, b, m in zip(i.tolist(), j.tolist(), most.tolist())}
+    for a in range(len(sets)):
+        for b in range(a + 1, len(sets)):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            bound = ngram_join.most_shared(maps[a], maps[b], sizes[a], sizes[b])
+            assert common <= bound <= min(sizes[a], sizes[b])
+            assert found.get((a, b), bound) == bound
+            if 100 * common >= percent * (sizes[a] + sizes[b] - common):
+                assert (a, b) in found
+    assert len(found) < len(sets) * (len(sets) - 1) // 2
+
+
+def test_pairs_are_dropped_before_their_sets_move(spark):
+    """Pairs that share prefix tokens only are told by their bit maps; a similar pair stays."""
+    rng = np.random.default_rng(7)
+    sets = {v: np.unique(rng.integers(1, 1 << 63, 200, np.uint64)) for v in range(4)}
+    sets[4] = np.unique(np.append(sets[0][:195], rng.integers(1, 1 << 63, 5, np.uint64)))
+    rows = spark.createDataFrame([(v, len(s), s.tobytes()) for v, s in sets.items()], "v long, n long, set binary")
+    pairs = spark.createDataFrame([(a, b) for a in range(5) for b in range(a + 1, 5)], "a long, b long")
+    found = ngram_join.likely(pairs, ngram_join.sketched(rows), 90).collect()
+    assert [(r.a, r.b) for r in found] == [(0, 4)] and 195 <= found[0].shared <= 200
+    assert [tuple(r) for r in ngram_join.verified(pairs, rows, 90).collect()] == [(0, 4)]
