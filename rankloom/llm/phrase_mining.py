@@ -10,7 +10,8 @@ occurrence).
 
 Texts are turned once into stored rows of 64-bit word hashes, different for each language. What is
 frequent goes to the tasks as a bit map of hashes of fixed size: a phrase that passes by collision is
-only counted in vain. Phrases are told apart by the hashes of all their words.
+only counted in vain. For the same reason a shard's phrases move as sorted hashes cut to some 30 bits,
+of which only the gaps are written: about three bytes for each phrase. Phrases are told apart by the hashes of all their words.
 """
 
 from __future__ import annotations
@@ -32,6 +33,10 @@ FILTER_BITS = 25
 # Word places in a stored row, and places that a task counts at a time.
 ROW_PLACES = 1 << 20
 PLACES_AT_ONCE = 1 << 18
+# The same where phrases are looked for, occurrences of a shard's block of hashes, bits of a hash inside its block,
+# and bytes of such blocks that a task merges at a time.
+PHRASES_AT_ONCE, BLOCK_PHRASES, BLOCK_BITS = 1 << 19, 1 << 21, 26
+MERGED_BYTES = 2 << 20
 # Just below a power of two, to which the tables of the word hashes are rounded up.
 STRETCH_BYTES = (1 << 20) - 1
 # Distinct words that a task holds before it passes their counts on.
@@ -187,16 +192,21 @@ def passing(bits: np.ndarray, rolled: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
 
 
-def bit_filter(found: DataFrame) -> Broadcast:
-    """A bit map of the hashes in ``found(h)``, as a broadcast of ``2 ** FILTER_BITS`` bits."""
-    spark = found.sparkSession
+def filter_places(words: DataFrame) -> DataFrame:
+    """``(at)``: the places in a filter of the hashes in ``words(h)``."""
 
     def bits(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             at = batches.mix(batch.column("h").to_numpy().view(np.uint64)) >> np.uint64(64 - FILTER_BITS)
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(at).view(np.int64))], ["at"])
 
-    places = found.mapInArrow(bits, "at long").select(F.bitmap_bucket_number(F.col("at") + 1).alias("bucket"), F.bitmap_bit_position(F.col("at") + 1).alias("bit"))
+    return words.mapInArrow(bits, "at long")
+
+
+def bit_filter(places: DataFrame) -> Broadcast:
+    """A bit map with the bits ``places(at)`` set, as a broadcast of ``2 ** FILTER_BITS`` bits."""
+    spark = places.sparkSession
+    places = places.select(F.bitmap_bucket_number(F.col("at") + 1).alias("bucket"), F.bitmap_bit_position(F.col("at") + 1).alias("bit"))
     maps = places.repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
     whole = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     # At most 2 ** (FILTER_BITS - 15) rows of four kilobytes, whatever the table's size.
@@ -205,8 +215,68 @@ def bit_filter(found: DataFrame) -> Broadcast:
     return spark.sparkContext.broadcast(whole.tobytes())
 
 
-def counted(rows: DataFrame, count: Callable[[np.ndarray, np.ndarray], Iterator[list]], names: list[str], schema: str) -> DataFrame:
-    """Apply ``count(places, own)`` to the places of each group ``g`` in a task, a bounded number at a time.
+def short_bytes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers from 0, seven bits to a byte, the lowest first, and where each one starts and the last ends.
+
+    All bytes of a number but its last have the highest bit set.
+    """
+    values = values.astype(np.uint64)
+    sizes = np.ones(len(values), np.int64)
+    for k in range(1, 10):
+        longer = values >= np.uint64(1 << (7 * k))
+        if not longer.any():
+            break
+        sizes += longer
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    data = np.zeros(int(edges[-1]), np.uint8)
+    for k in range(int(sizes.max(initial=0))):
+        own = np.flatnonzero(sizes > k)
+        low = (values[own] >> np.uint64(7 * k)) & np.uint64(127)
+        data[edges[own] + k] = low.astype(np.uint8) | ((sizes[own] > k + 1).astype(np.uint8) << 7)
+    return data, edges
+
+
+def from_short_bytes(data: np.ndarray) -> np.ndarray:
+    """The numbers that :func:`short_bytes` wrote."""
+    last = np.flatnonzero(data < 128)
+    first = np.append(0, last[:-1] + 1) if len(last) else last
+    values, sizes = np.zeros(len(last), np.int64), last - first + 1
+    for k in range(int(sizes.max(initial=0))):
+        own = np.flatnonzero(sizes > k)
+        values[own] |= (data[first[own] + k] & 127).astype(np.int64) << (7 * k)
+    return values
+
+
+def in_blocks(keys: np.ndarray, times: np.ndarray) -> list[pa.Array]:
+    """Ascending ``keys`` and how often each occurs as rows ``(block, gaps, times)``, one for each block of keys."""
+    block = keys >> BLOCK_BITS
+    starts = np.flatnonzero(np.diff(block, prepend=-1))
+    low = keys & ((1 << BLOCK_BITS) - 1)
+    gaps = np.diff(low, prepend=0)
+    gaps[starts] = low[starts]
+    columns = []
+    for values in (gaps, times - 1):
+        data, edges = short_bytes(values)
+        offsets = np.append(edges[starts], len(data)).astype(np.int32)
+        columns.append(pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
+    return [pa.array(block[starts]), *columns]
+
+
+def from_blocks(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows of :func:`in_blocks`: each key's row, the key inside its block, and how often it occurs."""
+    data, offsets = batches.bytes_and_offsets(part.column("gaps").cast(pa.large_binary()))
+    before = np.concatenate([[0], np.cumsum(data < 128)])[offsets]
+    row = np.repeat(np.arange(part.num_rows), np.diff(before))
+    ends = np.cumsum(from_short_bytes(data))
+    base = np.concatenate([[0], ends])[before[:-1]]
+    counts, _ = batches.bytes_and_offsets(part.column("times").cast(pa.large_binary()))
+    return row, ends - base[row], from_short_bytes(counts) + 1
+
+
+def counted(
+    rows: DataFrame, count: Callable[[np.ndarray, np.ndarray], Iterator[list]], names: list[str], schema: str, at_once: int | None = None
+) -> DataFrame:
+    """Apply ``count(places, own)`` to the places of each group ``g`` in a task, ``at_once`` at a time.
 
     ``rows(g, places, own)``; ``own`` flags the places at which a phrase may start.
     """
@@ -219,6 +289,8 @@ def counted(rows: DataFrame, count: Callable[[np.ndarray, np.ndarray], Iterator[
                 if len(columns[0]):
                     yield pa.RecordBatch.from_arrays([pa.array([g] * len(columns[0])), *columns], ["g", *names])
 
+    limit = at_once or PLACES_AT_ONCE
+
     def made(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[object, list[tuple[np.ndarray, int]]] = {}
         size = 0
@@ -227,7 +299,7 @@ def counted(rows: DataFrame, count: Callable[[np.ndarray, np.ndarray], Iterator[
                 places = np.frombuffer(blob.as_buffer(), "<u8").astype(np.uint64)
                 held.setdefault(g, []).append((places, own))
                 size += len(places)
-                if size >= PLACES_AT_ONCE:
+                if size >= limit:
                     yield from flush(held)
                     held, size = {}, 0
                     pa.default_memory_pool().release_unused()
@@ -236,11 +308,11 @@ def counted(rows: DataFrame, count: Callable[[np.ndarray, np.ndarray], Iterator[
     return rows.select("g", "places", "own").mapInArrow(made, schema)
 
 
-def mined(rows: DataFrame, groups: DataFrame, shorter: Broadcast, length: int) -> DataFrame:
-    """``(h)``: hashes of the phrases of ``length`` words that are frequent in their shard.
+def phrase_blocks(rows: DataFrame, shorter: Broadcast, length: int, split: int) -> DataFrame:
+    """``(g, block, gaps, times)``: phrases of ``length`` words by shard, as hashes cut to ``BLOCK_BITS + split`` bits.
 
-    ``groups(g, local)`` holds the local support of each language and shard. Both parts of a phrase
-    without its first or last word must pass the filter of the shorter ones.
+    Both parts of a phrase without its first or last word must pass the filter of the shorter ones. A row holds
+    what a task has found in one of the ``2 ** split`` blocks of hashes: a few bytes for each phrase.
     """
 
     def count(places: np.ndarray, own: np.ndarray) -> Iterator[list]:
@@ -250,12 +322,54 @@ def mined(rows: DataFrame, groups: DataFrame, shorter: Broadcast, length: int) -
         whole, real = hashes(places, length)
         n = len(whole)
         some = np.flatnonzero(real & own[:n] & fine[:n] & fine[1 : n + 1])
-        found, times = np.unique(whole[some], return_counts=True)
-        yield [pa.array(found.view(np.int64)), pa.array(times)]
+        found = batches.mix(whole[some]) >> np.uint64(64 - BLOCK_BITS - split)
+        yield in_blocks(*np.unique(found.view(np.int64), return_counts=True))
+
+    return counted(rows, count, ["block", "gaps", "times"], "g long, block long, gaps binary, times binary", PHRASES_AT_ONCE)
 
-    # Counts are combined in the workers: a second combination before the shuffle would only take memory.
-    local = counted(rows, count, ["h", "n"], "g long, h long, n long").repartition("g", "h").groupBy("g", "h").agg(F.sum("n").alias("n"))
-    return joins.lookup_join(local, groups, ["g"], spread_by="h").where("n >= local").select("h").distinct()
+
+def frequent_places(rows: Iterator[pa.RecordBatch], split: int) -> Iterator[pa.RecordBatch]:
+    """``(at)``: filter places of what has ``local`` occurrences, from rows ``(g, block, local, gaps, times)`` in order."""
+    held: tuple[tuple[int, int, int], np.ndarray, np.ndarray] | None = None
+
+    def places(block: np.ndarray, low: np.ndarray) -> pa.RecordBatch:
+        at = ((block << BLOCK_BITS) | low) >> (BLOCK_BITS + split - FILTER_BITS)
+        return pa.RecordBatch.from_arrays([pa.array(np.unique(at))], ["at"])
+
+    for part in batches.slices(rows, "gaps", MERGED_BYTES):
+        g, block, local = (part.column(c).to_numpy() for c in ("g", "block", "local"))
+        run = np.cumsum(np.append(False, (g[1:] != g[:-1]) | (block[1:] != block[:-1])))
+        row, low, times = from_blocks(part)
+        key = (run[row] << BLOCK_BITS) | low
+        if held:
+            (held_g, held_block, held_local), held_low, held_times = held
+            if (held_g, held_block) == (g[0], block[0]):
+                key, times = np.concatenate([held_low, key]), np.concatenate([held_times, times])
+            else:
+                yield places(np.int64(held_block), held_low[held_times >= held_local])
+        distinct, of = np.unique(key, return_inverse=True)
+        sums = np.bincount(of, times, len(distinct)).astype(np.int64)
+        # The last block may go on in the next slice.
+        open_from = np.searchsorted(distinct, int(run[-1]) << BLOCK_BITS)
+        first = np.flatnonzero(np.diff(run, prepend=-1))
+        own = first[distinct[:open_from] >> BLOCK_BITS]
+        frequent = sums[:open_from] >= local[own]
+        low = distinct & ((1 << BLOCK_BITS) - 1)
+        yield places(block[own[frequent]], low[:open_from][frequent])
+        held = (int(g[-1]), int(block[-1]), int(local[-1])), low[open_from:], sums[open_from:]
+    if held:
+        yield places(np.int64(held[0][1]), held[1][held[2] >= held[0][2]])
+
+
+def mined(rows: DataFrame, groups: DataFrame, shorter: Broadcast, length: int, split: int) -> DataFrame:
+    """``(at)``: filter places of the phrases of ``length`` words that are frequent in their shard.
+
+    ``groups(g, local)`` holds the local support of each language and shard. Hashes that are equal in the bits that
+    are kept are counted as one: such a phrase passes in vain.
+    """
+    blocks = joins.lookup_join(phrase_blocks(rows, shorter, length, split), groups, ["g"], spread_by="block")
+    dealt = blocks.select("g", "block", "local", "gaps", "times").repartition("g", "block").sortWithinPartitions("g", "block")
+    return dealt.mapInArrow(lambda found: frequent_places(found, split), "at long").distinct()
 
 
 def exact_counts(rows: DataFrame, candidates: Broadcast) -> DataFrame:
@@ -295,10 +409,12 @@ def frequent_phrases(docs: DataFrame, support: int = 100) -> tuple[DataFrame, Da
     words = rows.where("places IS NULL").select("w", "word", "n").repartition("w").groupBy("w", "word").agg(F.sum("n").alias("n"))
     words = scratch.materialise(words.where(F.col("n") >= support), "phrase-vocabulary")
     of_shard = placed.select(F.xxhash64("lang", "shard").alias("g"), "places", "own")
-    candidates = single = words.select(F.col("w").alias("h"))
+    most = by_shard.agg(F.max("n")).first()[0] or 1
+    split = ((most - 1) // BLOCK_PHRASES).bit_length()
+    candidates = single = filter_places(words.select(F.col("w").alias("h")))
     shorter = bit_filter(single)
     for length in range(2, LONGEST + 1):
-        found = scratch.materialise(mined(of_shard, groups, shorter, length), "phrase-candidates")
+        found = scratch.materialise(mined(of_shard, groups, shorter, length, split), "phrase-candidates")
         candidates = candidates.union(found)
         shorter.unpersist()
         shorter = bit_filter(found)

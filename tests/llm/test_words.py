@@ -94,6 +94,47 @@ def test_local_support_keeps_every_frequent_phrase(spark, passages, monkeypatch)
     assert sorted(map(tuple, phrase_mining.collocations(docs, 4, 30).collect())) == phrases_by_force(passages, 4, 30)
 
 
+def test_short_bytes_and_blocks_give_back_what_they_hold():
+    values = np.array([0, 1, 127, 128, 16383, 16384, (1 << 21) - 1, 1 << 21, (1 << 62) + 5])
+    data, edges = phrase_mining.short_bytes(values)
+    assert (phrase_mining.from_short_bytes(data) == values).all() and list(np.diff(edges)) == [1, 1, 1, 2, 2, 3, 3, 4, 9]
+    rng = np.random.default_rng(3)
+    keys = np.unique(np.append(rng.integers(0, 1 << 30, 4000), [0, (1 << 30) - 1]))
+    times = rng.integers(1, 300, len(keys))
+    blocks = pa.RecordBatch.from_arrays(phrase_mining.in_blocks(keys, times), ["block", "gaps", "times"])
+    row, low, n = phrase_mining.from_blocks(blocks.slice(3, 7))
+    whole = keys >> phrase_mining.BLOCK_BITS
+    mine = (whole >= 3) & (whole < 10)
+    assert blocks.num_rows == 16 and (n == times[mine]).all()
+    assert ((blocks["block"].to_numpy()[row + 3] << phrase_mining.BLOCK_BITS) + low == keys[mine]).all()
+    assert phrase_mining.in_blocks(keys[:0], times[:0])[0].to_pylist() == []
+
+
+def test_phrases_of_a_shard_move_in_few_rows(spark, passages, monkeypatch):
+    docs = spark.createDataFrame(passages, "doc_id long, text string, lang string").coalesce(1)
+    rows = phrase_mining.described(docs).where("places IS NOT NULL").selectExpr("xxhash64(lang, shard) AS g", "places", "own")
+    every = spark.sparkContext.broadcast(bytes([255]) * (1 << (phrase_mining.FILTER_BITS - 3)))
+    groups = rows.select("g").distinct().count()
+    blocks = phrase_mining.phrase_blocks(rows, every, 2, 1).cache()
+    assert blocks.count() <= 2 * groups and blocks.groupBy("g", "block").count().where("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("merged", [1, 1 << 20])
+def test_blocks_of_phrases_are_merged(spark, passages, monkeypatch, merged):
+    monkeypatch.setattr(phrase_mining, "BLOCK_PHRASES", 40)  # several blocks in a shard
+    monkeypatch.setattr(phrase_mining, "MERGED_BYTES", merged)  # blocks go on from slice to slice
+    monkeypatch.setattr(phrase_mining, "PHRASES_AT_ONCE", 30)
+    docs = spark.createDataFrame(passages, "doc_id long, text string, lang string")
+    assert sorted(map(tuple, phrase_mining.collocations(docs.repartition(4), 4, 30).collect())) == phrases_by_force(passages, 4, 30)
+    rows = [(1, 0, 3, [(5, 2), (9, 1)]), (1, 0, 3, [(5, 1)]), (1, 1, 3, [(5, 2)]), (2, 1, 2, [(5, 2), (7, 1)]), (2, 1, 2, [(7, 1)])]
+    blobs = [phrase_mining.in_blocks(*map(np.array, zip(*[(k << 20, n) for k, n in found]))) for *_, found in rows]
+    batch = pa.RecordBatch.from_pydict(
+        dict(zip(("g", "block", "local"), map(list, zip(*[r[:3] for r in rows])))) | {"gaps": [b[1][0].as_py() for b in blobs], "times": [b[2][0].as_py() for b in blobs]}
+    )
+    at = [x for part in phrase_mining.frequent_places(iter([batch.slice(0, 2), batch.slice(2)]), 1) for x in part["at"].to_pylist()]
+    assert sorted(at) == sorted([5 << 18, (64 + 5) << 18, (64 + 7) << 18])
+
+
 def test_collocations_of_nothing(spark):
     assert phrase_mining.collocations(spark.createDataFrame([], "doc_id long, text string, lang string")).isEmpty()
 
