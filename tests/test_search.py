@@ -1,6 +1,12 @@
 import math
 import random
+import re
+import time
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -389,3 +395,53 @@ def test_pairs_take_the_vectors_of_hit_documents_only(spark, monkeypatch):
     plan = pairs._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Aggregate") < plan.index("LeftSemi")
     assert sorted((r.doc_id, r.b) for r in pairs.collect()) == [(1, [1.0, 1.0]), (3, [1.0, 3.0])]
+
+
+def test_a_built_index_leaves_no_shuffle_files(spark, tmp_path):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        """Bytes of each shuffle's files."""
+        sizes = {}
+        for name in disk.getAllFiles().mkString("\n").split("\n"):
+            if (found := re.search(r"/(shuffle_\d+)_", name)) and Path(name).exists():
+                sizes[found[1]] = sizes.get(found[1], 0) + Path(name).stat().st_size
+        return sizes
+
+    before = shuffled()
+    docs = spark.createDataFrame([(i, f"red car{i} tree") for i in range(200)], "doc_id long, content string")
+    index.write_index(docs, {"content": "content", "custom_content": "content"}, "swept", str(tmp_path), 3)
+    for _ in range(20):  # they are deleted in the background
+        left = sum(size for name, size in shuffled().items() if name not in before)
+        if left < 5_000:
+            break
+        time.sleep(0.1)
+    # At most those of small reads: no documents and no postings.
+    assert left < 5_000
+    codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in tmp_path.glob("**/*.parquet")}
+    assert codecs == {"ZSTD"}
+
+
+def test_document_numbers_are_short(spark, tmp_path):
+    docs = spark.createDataFrame([(i % 90 or None, f"w{i}") for i in range(200)], "doc_id long, content string")
+    index.write_index(docs, ["content"], "numbered", str(tmp_path), 4)
+    stored = index.read_index(spark, "numbered").documents
+    rows = stored.select("doc_no").collect()
+    assert len({r.doc_no for r in rows}) == 200 and max(r.doc_no for r in rows) < 4 * 200
+
+
+@pytest.mark.parametrize("ids", [pa.array([7, -3, 1 << 62]), pa.array([None, 3, 3], pa.int64()), pa.array(["x", "é", None])])
+def test_packed_postings_come_back(ids):
+    terms, n, doc, tf = pa.array(["a", "é", "zz"]), np.array([2, 1, 1]), np.array([0, 2, 1, 0]), np.array([1, 70_000, 3, 4])
+    held = (terms, n, doc, tf, np.array([5, 1 << 40, 9]), np.array([3, 4, 5]), ids)
+    back = index.unpacked_postings(index.packed_postings(*held), ids.type)
+    assert [list(x) for x in back] == [list(x) for x in held]
+
+
+def test_postings_of_other_keys_are_packed(spark, tmp_path):
+    rows = [("b", "red car"), (None, "red"), ("a", "car car"), ("é", "")]
+    docs = spark.createDataFrame(rows, "doc_id string, content string")
+    index.write_index(docs, ["content"], "keyed", str(tmp_path), 2)
+    stored = index.read_index(spark, "keyed")
+    back = stored.blocks.select("field", "term", F.inline("entries")).select("field", "doc_id", "term", "tf", "doc_len")
+    assert sorted(map(str, back.collect())) == sorted(map(str, stored.postings.collect()))
