@@ -445,3 +445,15 @@ def test_postings_of_other_keys_are_packed(spark, tmp_path):
     stored = index.read_index(spark, "keyed")
     back = stored.blocks.select("field", "term", F.inline("entries")).select("field", "doc_id", "term", "tf", "doc_len")
     assert sorted(map(str, back.collect())) == sorted(map(str, stored.postings.collect()))
+
+
+def test_chunk_vectors_move_lengths_and_not_texts(spark, tmp_path):
+    from rankloom.catalog import inputs
+
+    documents = [(1, "x" * 3000, "en", "s", 3000), (2, "é", "en", "s", 1), (3, None, "en", "s", 0)]
+    spark.createDataFrame(documents, inputs.SCHEMAS["documents"]).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, [float(i)], 0) for i in range(5)], inputs.SCHEMAS["embeddings"]).write.parquet(str(tmp_path / "embeddings.parquet"))
+    vectors = inputs.chunk_vectors(spark, str(tmp_path))
+    assert sorted((r.doc_id, r.chunk_no, *r.vec) for r in vectors.collect()) == [(1, 0, 1.0), (1, 1, 2.0), (1, 2, 3.0), (2, 0, 2.0)]
+    plan = vectors._jdf.queryExecution().optimizedPlan().toString()
+    assert "length(text" in plan[plan.index("RepartitionByExpression") :]
